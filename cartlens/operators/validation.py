@@ -18,7 +18,15 @@ from cartlens.functions.values import is_json_record, stripped
 
 ERRORS = "_errors"
 ERROR_CLASS = "ValidationError"
-_NUMERIC = (T.NumericType, T.BooleanType)
+_STORED_AS = {
+    "text": "string",
+    "value": "string",
+    "record": "string",
+    "flag": "boolean",
+    "number": "double",
+    "integer": "bigint",
+    "moment": "timestamp_ntz",
+}
 
 
 @dataclass(frozen=True)
@@ -110,7 +118,7 @@ class Validation:
 def _read(df: DataFrame, rule: Rule) -> Column:
     """The column as the rule wants it; null stands for absent or unreadable."""
     if rule.column not in df.columns:
-        return F.lit(rule.default)
+        return F.lit(rule.default).cast(_STORED_AS[rule.kind])
     column, dtype = F.col(rule.column), df.schema[rule.column].dataType
     text = isinstance(dtype, T.StringType)
     if rule.kind == "text":
@@ -118,7 +126,11 @@ def _read(df: DataFrame, rule: Rule) -> Column:
     if rule.kind == "number":
         if text:
             return column.try_cast("double")
-        return column if isinstance(dtype, _NUMERIC) else F.lit(None).cast("double")
+        return column if isinstance(dtype, T.NumericType) else F.lit(None).cast("double")
+    if rule.kind == "flag" and isinstance(dtype, T.NumericType):
+        return F.when(column.isin(0, 1), column.cast("boolean"))
+    if rule.kind == "flag":
+        return column.try_cast("boolean")
     if rule.kind == "integer":
         if isinstance(dtype, T.IntegralType):
             return column
@@ -129,7 +141,7 @@ def _read(df: DataFrame, rule: Rule) -> Column:
         instant = F.try_to_timestamp(F.regexp_replace(column, "Z$", "+00:00"))
         return F.when(iso, instant).cast("timestamp_ntz")
     if rule.kind == "moment":
-        return column if isinstance(dtype, S.TS.__class__) else column.cast("timestamp_ntz")
+        return column.cast("timestamp_ntz")
     return column
 
 
@@ -212,7 +224,7 @@ PRODUCT_RULES = [
     Rule("brand", "text", nullable=True),
     Rule("rating", "number", _within(0.0, 5.0), nullable=True),
     Rule("review_count", "integer", _within(0), nullable=True),
-    Rule("in_stock", "value", default=True, has_default=True),
+    Rule("in_stock", "flag", default=True, has_default=True),
 ]
 
 USER_RULES = [
@@ -223,7 +235,7 @@ USER_RULES = [
     Rule("country", "text", _length(2, 2)),
     Rule("city", "text", nullable=True),
     Rule("created_at", "moment"),
-    Rule("is_subscribed", "value", default=False, has_default=True),
+    Rule("is_subscribed", "flag", default=False, has_default=True),
     Rule("lifetime_value", "number", _within(0.0), default=0.0, has_default=True),
 ]
 
@@ -240,11 +252,9 @@ def validate_users(df: DataFrame) -> Validation:
     return check(df, USER_RULES)
 
 
-def require_validity(result: DataFrame, minimum: float = S.MIN_VALIDITY_RATE) -> dict:
-    """The validity figures; an error when the rate is below ``minimum``."""
-    figures = result.first().asDict()
+def require_validity(figures: dict, minimum: float = S.MIN_VALIDITY_RATE) -> None:
+    """The gate: an error when the rate is below ``minimum``."""
     if figures["validity_rate"] < minimum:
         raise ValueError(
             f"Validity rate {figures['validity_rate']:.1f}% is below threshold {minimum:.1f}%"
         )
-    return figures

@@ -14,9 +14,6 @@ from cartlens.functions.dates import moment_of
 from cartlens.functions.metrics import count_equal, count_type, growth, rate, revenue_where
 from cartlens.operators.rollup import with_distinct_counts
 
-BY_DATE = Window.orderBy("event_date")
-BY_CATEGORY = Window.partitionBy("category").orderBy("event_date")
-
 # Output name and value of the device and source breakdowns.
 DEVICE_BREAKDOWN = {"mobile": "mobile", "desktop": "desktop", "tablet": "tablet"}
 SOURCE_BREAKDOWN = {
@@ -28,6 +25,14 @@ SOURCE_BREAKDOWN = {
 }
 
 
+def _by_date() -> WindowSpec:
+    return Window.orderBy("event_date")
+
+
+def _by_category() -> WindowSpec:
+    return Window.partitionBy("category").orderBy("event_date")
+
+
 def _last(rows: int, window: WindowSpec) -> WindowSpec:
     """The current row and the ``rows - 1`` before it; rows, not days."""
     return window.rowsBetween(1 - rows, Window.currentRow)
@@ -95,7 +100,7 @@ def fct_daily_engagement(
         .join(sessions, F.col("event_date") == F.col("session_date"), "left")
         .drop("session_date")
     )
-    week = _last(7, BY_DATE)
+    week = _last(7, _by_date())
     return (
         days.withColumns(
             {
@@ -107,11 +112,11 @@ def fct_daily_engagement(
                 "dau_7d_avg": _mean("daily_active_users", week),
                 "revenue_7d_avg": _mean("total_revenue", week),
                 "wau_approximation": F.sum("daily_active_users").over(week),
-                "prev_day_dau": F.lag("daily_active_users", 1).over(BY_DATE),
-                "prev_day_revenue": F.lag("total_revenue", 1).over(BY_DATE),
-                "prev_day_purchases": F.lag("purchases", 1).over(BY_DATE),
-                "prev_week_dau": F.lag("daily_active_users", 7).over(BY_DATE),
-                "prev_week_revenue": F.lag("total_revenue", 7).over(BY_DATE),
+                "prev_day_dau": F.lag("daily_active_users", 1).over(_by_date()),
+                "prev_day_revenue": F.lag("total_revenue", 1).over(_by_date()),
+                "prev_day_purchases": F.lag("purchases", 1).over(_by_date()),
+                "prev_week_dau": F.lag("daily_active_users", 7).over(_by_date()),
+                "prev_week_revenue": F.lag("total_revenue", 7).over(_by_date()),
             }
         )
         .withColumns(
@@ -173,7 +178,7 @@ def fct_funnel(int_user_journey: DataFrame, as_of: dt.datetime) -> DataFrame:
         "avg_order_value": ("total_revenue", "users_at_purchase"),
         "revenue_per_visitor": ("total_revenue", "users_at_site"),
     }
-    week = _last(7, BY_DATE)
+    week = _last(7, _by_date())
     return (
         daily_funnel(int_user_journey)
         .withColumns({name: rate(*pair) for name, pair in rates.items()})
@@ -181,8 +186,8 @@ def fct_funnel(int_user_journey: DataFrame, as_of: dt.datetime) -> DataFrame:
             {
                 "conversion_rate_7d_avg": _mean("overall_conversion_rate", week),
                 "cart_abandonment_7d_avg": _mean("cart_abandonment_rate", week),
-                "prev_week_conversion_rate": F.lag("overall_conversion_rate", 7).over(BY_DATE),
-                "prev_week_cart_abandonment": F.lag("cart_abandonment_rate", 7).over(BY_DATE),
+                "prev_week_conversion_rate": F.lag("overall_conversion_rate", 7).over(_by_date()),
+                "prev_week_cart_abandonment": F.lag("cart_abandonment_rate", 7).over(_by_date()),
                 "_updated_at": moment_of(as_of),
             }
         )
@@ -232,7 +237,7 @@ def fct_revenue(stg_events: DataFrame, stg_products: DataFrame, as_of: dt.dateti
         F.avg(F.col("price").cast("double")).alias("category_avg_price")
     )
     total = F.sum("gross_revenue").over(Window.partitionBy("event_date"))
-    running = BY_CATEGORY.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = _by_category().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         daily_category_revenue(stg_events)
         .join(prices, "category", "left")
@@ -241,11 +246,11 @@ def fct_revenue(stg_events: DataFrame, stg_products: DataFrame, as_of: dt.dateti
             {
                 "category_revenue_share": F.col("gross_revenue").cast("double")
                 / F.nullif(F.col("daily_total_revenue").cast("double"), F.lit(0.0)),
-                "revenue_7d_rolling": F.sum("gross_revenue").over(_last(7, BY_CATEGORY)),
-                "revenue_7d_avg": _mean("gross_revenue", _last(7, BY_CATEGORY)),
-                "revenue_30d_rolling": F.sum("gross_revenue").over(_last(30, BY_CATEGORY)),
-                "prev_day_revenue": F.lag("gross_revenue", 1).over(BY_CATEGORY),
-                "prev_week_revenue": F.lag("gross_revenue", 7).over(BY_CATEGORY),
+                "revenue_7d_rolling": F.sum("gross_revenue").over(_last(7, _by_category())),
+                "revenue_7d_avg": _mean("gross_revenue", _last(7, _by_category())),
+                "revenue_30d_rolling": F.sum("gross_revenue").over(_last(30, _by_category())),
+                "prev_day_revenue": F.lag("gross_revenue", 1).over(_by_category()),
+                "prev_week_revenue": F.lag("gross_revenue", 7).over(_by_category()),
                 "cumulative_revenue": F.sum("gross_revenue").over(running),
             }
         )

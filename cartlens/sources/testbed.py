@@ -133,3 +133,72 @@ def raw_users(spark: SparkSession, folder: str) -> DataFrame:
         (key % 5 < 2).alias("is_subscribed"),
         F.lit(0.0).alias("lifetime_value"),
     )
+
+
+def damaged_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The click stream with one kind of damage per leading byte of the event id.
+
+    Some kinds are repaired by validation (surrounding whitespace), most are
+    rejected, one names users nobody knows.
+    """
+    events = raw_events(spark, folder)
+    damage = {
+        "event_id": {
+            "00": F.lower("event_id"),
+            "03": F.concat(F.lit(" \t"), "event_id", F.lit("\n")),
+        },
+        "event_type": {"07": F.lit("invalid_type")},
+        "user_id": {
+            "0D": F.lit(None),
+            "10": F.concat(F.lit("USER_"), F.substring("event_id", 9, 12)),
+        },
+        "session_id": {"06": F.lit(None)},
+        "properties": {"04": F.lit("[1]"), "08": F.lit('{"k": '), "0E": F.lit('"text"')},
+        "device": {"02": F.lit(" mobile ")},
+        "country": {"05": F.lit("USA"), "0B": F.lit(" US ")},
+        "traffic_source": {"0C": F.lit("radio")},
+        "product_id": {"09": F.lit("PROD_1")},
+        "revenue": {
+            "01": F.lit(-1).cast("decimal(18,2)"),
+            "0A": F.lit("100000.01").cast("decimal(18,2)"),
+            "0F": F.lit(None),
+        },
+    }
+    lead = F.substring("event_id", 5, 2)
+
+    def column(name: str) -> Column:
+        value = F.col(name)
+        for code, broken in damage.get(name, {}).items():
+            value = F.when(lead == code, broken).otherwise(value)
+        return value.alias(name)
+
+    return events.select(*[column(name) for name in events.columns])
+
+
+def damaged_products(spark: SparkSession, folder: str) -> DataFrame:
+    lead = F.substring("product_id", 6, 1)
+    return raw_products(spark, folder).withColumns(
+        {
+            "price": F.when(lead == "0", 0.0).otherwise(F.col("price")),
+            "rating": F.when(lead == "1", 6.0).otherwise(F.col("rating")),
+            "product_name": F.when(lead == "2", "  ").otherwise(F.col("product_name")),
+            "category": F.when(lead == "3", F.lit(None)).otherwise(F.col("category")),
+            "review_count": F.when(lead == "4", -1).otherwise(F.col("review_count")),
+        }
+    )
+
+
+def damaged_users(spark: SparkSession, folder: str) -> DataFrame:
+    lead = F.substring("user_id", 6, 1)
+    return raw_users(spark, folder).withColumns(
+        {
+            "segment": F.when(lead == "0", "invalid_segment").otherwise(F.col("segment")),
+            "lifetime_value": F.when(lead == "1", -5.0).otherwise(F.col("lifetime_value")),
+            "country": F.when(lead == "2", " UK ").otherwise(F.col("country")),
+        }
+    )
+
+
+def with_copies(events: DataFrame) -> DataFrame:
+    """All events, those of one leading byte twice."""
+    return events.unionByName(events.filter(F.substring("event_id", 5, 2) == "00"))
