@@ -7,9 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# The characters with the White_Space property.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def stripped(column: Column | str) -> Column:
-    """Without surrounding whitespace of any kind (``trim`` removes blanks only)."""
-    return F.regexp_replace(F.regexp_replace(column, r"\A\s+", ""), r"\s+\z", "")
+    """Without surrounding whitespace of any kind (plain ``trim`` removes blanks only)."""
+    return F.btrim(column, F.lit(WHITESPACE))
 
 
 def hash_key(column: Column | str, length: int = 8) -> Column:
@@ -17,23 +24,27 @@ def hash_key(column: Column | str, length: int = 8) -> Column:
     return F.upper(F.substring(F.md5(column), 1, length))
 
 
-def parsed_json(column: Column | str) -> Column:
-    """Variant of a JSON text, null when the text is not exactly one JSON value.
+def _json_values(text: Column) -> Column:
+    """The JSON values a text consists of, null when it is no JSON.
 
-    The text is parsed as the only element of an array, because the parser itself
+    The text is parsed as the content of an array, because the parser itself
     ignores whatever follows the first value.
     """
-    text = F.col(column) if isinstance(column, str) else column
     wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    single = F.try_variant_get(wrapped, "$[1]", "variant").isNull()
-    return F.when(single, F.try_variant_get(wrapped, "$[0]", "variant"))
+    return F.try_variant_get(wrapped, "$", "array<variant>")
+
+
+def parsed_json(column: Column | str) -> Column:
+    """Variant of a JSON text, null when the text is not exactly one JSON value."""
+    values = _json_values(F.col(column) if isinstance(column, str) else column)
+    return F.when(F.size(values) == 1, F.get(values, F.lit(0)))
 
 
 def is_json_record(column: Column | str) -> Column:
     """True for a JSON object or a JSON string."""
     text = F.col(column) if isinstance(column, str) else column
     shape = text.rlike(r"""(?s)\A[ \t\r\n]*(\{.*\}|".*")[ \t\r\n]*\z""")
-    return F.coalesce(shape & parsed_json(text).isNotNull(), F.lit(False))
+    return F.coalesce(shape & (F.size(_json_values(text)) == 1), F.lit(False))
 
 
 def json_or_empty(column: Column | str) -> Column:

@@ -55,18 +55,22 @@ class Validation:
 
     @property
     def valid(self) -> DataFrame:
-        return self.checked.filter(F.size(ERRORS) == 0).select(*self.columns)
+        """Normalised rows that break no rule."""
+        return self.checked.filter(F.col(ERRORS) == "").select(*self.columns)
 
     @property
     def invalid(self) -> DataFrame:
-        return self.checked.filter(F.size(ERRORS) > 0).withColumnRenamed(ERRORS, "errors")
+        """Broken rows with the codes of their rules in ``errors``."""
+        return self.checked.filter(F.col(ERRORS) != "").select(
+            *[c for c in self.checked.columns if c != ERRORS], F.split(ERRORS, ",").alias("errors")
+        )
 
     def result(self) -> DataFrame:
         """One row: totals and the validity rate in percent (0 for no rows)."""
         total, good = F.col("total_records"), F.col("valid_records")
         return self.checked.agg(
             F.count(F.lit(1)).alias("total_records"),
-            F.count_if(F.size(ERRORS) == 0).alias("valid_records"),
+            F.count_if(F.col(ERRORS) == "").alias("valid_records"),
         ).select(
             total,
             good,
@@ -77,18 +81,13 @@ class Validation:
         )
 
     def error_summary(self) -> DataFrame:
-        """Rows per error class and, finer, per broken rule."""
-        broken = self.checked.filter(F.size(ERRORS) > 0)
+        """Broken rows per error class (rule ``any``) and, finer, per rule."""
+        codes = F.when(F.col(ERRORS) != "", F.concat(F.col(ERRORS), F.lit(",any")))
         return (
-            broken.select(F.explode(ERRORS).alias("rule"))
+            self.checked.select(F.explode(F.split(codes, ",")).alias("rule"))
             .groupBy("rule")
             .agg(F.count(F.lit(1)).alias("errors"))
             .select(F.lit(ERROR_CLASS).alias("error_class"), "rule", "errors")
-            .unionByName(
-                broken.agg(F.count(F.lit(1)).alias("errors"))
-                .filter(F.col("errors") > 0)
-                .select(F.lit(ERROR_CLASS).alias("error_class"), F.lit("any").alias("rule"), "errors")
-            )
         )
 
     def error_samples(self, order_by: str, limit: int = 5) -> DataFrame:
@@ -100,16 +99,17 @@ class Validation:
         data = F.substring(F.to_json(F.struct(*self.columns)), 1, 200)
         ranked = Window.partitionBy("rule").orderBy(order_by, "data")
         return (
-            self.checked.filter(F.size(ERRORS) > 0)
-            .select(F.explode(ERRORS).alias("rule"), F.col(order_by), data.alias("data"))
+            self.checked.select("*", F.explode(F.split(ERRORS, ",")).alias("rule"))
+            .filter(F.col("rule") != "")
+            .select("rule", order_by, data.alias("data"))
             .withColumn("position", F.row_number().over(ranked))
             .filter(F.col("position") <= limit)
         )
 
     def fail_fast(self) -> DataFrame:
         """The valid rows; the job fails as soon as a broken row is met."""
-        message = F.concat(F.lit(f"{ERROR_CLASS}: "), F.concat_ws(", ", ERRORS))
-        checked = F.when(F.size(ERRORS) == 0, F.lit(True)).otherwise(
+        message = F.concat(F.lit(f"{ERROR_CLASS}: "), F.col(ERRORS))
+        checked = F.when(F.col(ERRORS) == "", F.lit(True)).otherwise(
             F.raise_error(message).cast("boolean")
         )
         return self.checked.filter(checked).select(*self.columns)
@@ -177,8 +177,8 @@ def check(df: DataFrame, rules: list[Rule]) -> Validation:
         *others,
         (F.struct(*raw) if raw else F.lit(None)).alias("_raw"),
     )
-    codes = F.array(*[_broken(df, rule) for rule in rules])
-    checked = prepared.withColumn(ERRORS, F.filter(codes, lambda code: code.isNotNull()))
+    # joined text instead of an array: null codes vanish without a lambda
+    checked = prepared.withColumn(ERRORS, F.concat_ws(",", *[_broken(df, r) for r in rules]))
     return Validation(checked.drop("_raw"), ruled)
 
 
