@@ -32,6 +32,15 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def _dealt_out(df: DataFrame) -> DataFrame:
+    """A table with fewer read tasks than cores, dealt out to all of them.
+
+    Only tables of a few files are shuffled that way, so the cost stays bounded.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _pick(position: Column, values: list[str]) -> Column:
     """The value at ``position``; null beyond the end of the list."""
     return reduce(
@@ -62,7 +71,7 @@ def _numbered_events(spark: SparkSession, folder: str) -> DataFrame:
         "product_view", "add_to_cart", "remove_from_cart", "begin_checkout", "purchase"
     )
     source = (
-        read(spark, folder, "events")
+        _dealt_out(read(spark, folder, "events"))
         .withColumn("k", F.get_json_object("props", "$.k").cast("int"))
         .withColumn("type", event_type)
         .withColumn(

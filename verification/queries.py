@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from cartlens.functions import metrics, values
 from cartlens.operators import assertions, quality, ranking, sessionize, validation
 from cartlens.plans import calendar, dashboard, dimensions, facts, flat, intermediate, staging
-from cartlens.plans.job import JobConfig, run_flat_job
-from cartlens.session import configure, shared_folder
+from cartlens.plans.job import JobConfig, layered_models, run_flat_job
+from cartlens.session import configure, durable, shared_folder
 from cartlens.sources import testbed
 from cartlens.sources.tables import read_file
 from cartlens.sources.testbed import AS_OF, MID_MONTH
@@ -144,22 +144,15 @@ def _metric_summary(t: Tables) -> DataFrame:
 
 
 def _assert_columns(t: Tables) -> DataFrame:
+    """All declared assertions on the raw tables and the twelve models."""
+    models = layered_models(
+        t.spark, t.events, t.products, t.users, AS_OF, keep=lambda name, table: durable(table)
+    )
     tables = {
         "raw.events": t.events,
         "seeds.products": t.products,
         "seeds.users": t.users,
-        "stg_events": t.stg_events,
-        "stg_products": t.stg_products,
-        "stg_users": t.stg_users,
-        "int_sessions": t.sessions,
-        "int_user_journey": t.journey,
-        "int_product_performance": t.performance,
-        "dim_users": t.dim_users,
-        "dim_products": t.dim_products,
-        "dim_date": t.dim_date,
-        "fct_daily_engagement": t.engagement,
-        "fct_funnel": t.funnel,
-        "fct_revenue": t.revenue,
+        **models,
     }
     return _union([assertions.violations(df, name) for name, df in tables.items()])
 
