@@ -22,7 +22,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: str | int = "*", app: str = "cartlens") -> SparkSession:
+def local_session(
+    cpus: str | int = "*", app: str = "cartlens", settings: dict[str, str] | None = None
+) -> SparkSession:
     """Single-machine session for tests and the benchmark."""
     partitions = "8" if cpus == "*" else str(cpus)
     builder = (
@@ -33,7 +35,7 @@ def local_session(cpus: str | int = "*", app: str = "cartlens") -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", partitions)
     )
-    for key, value in SETTINGS.items():
+    for key, value in (SETTINGS | (settings or {})).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
