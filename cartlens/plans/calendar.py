@@ -18,7 +18,7 @@ def days_between(bounds: DataFrame, name: str = "date") -> DataFrame:
     """
     span = F.sequence(F.to_date("first"), F.to_date("last"), F.expr("interval 1 day"))
     ordered = F.col("last") >= F.col("first")
-    return bounds.filter(ordered).select(F.explode(span).alias(name))
+    return bounds.select(F.explode(F.when(ordered, span)).alias(name))
 
 
 def date_range(
