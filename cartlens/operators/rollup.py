@@ -14,6 +14,7 @@ def distinct_counts(
     keys: list[str],
     counts: dict[str, tuple[str, str | None]],
     flags: dict[str, Column] | None = None,
+    sums: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Exact ``COUNT(DISTINCT entity) [FILTER (WHERE flag)]`` columns per key.
 
@@ -25,43 +26,54 @@ def distinct_counts(
     an entity or without any wanted flag are dropped before the shuffle. The first
     aggregation is keyed by the entity itself, so a key holding a large part of all
     rows is spread over all tasks; the second one only adds up partial counts.
+
+    ``sums`` are plain sums that ride along with the first entity, for inputs that
+    are themselves expensive and should be computed once.
     """
-    flags = flags or {}
+    flags, sums = flags or {}, sums or {}
     entities = list(dict.fromkeys(entity for entity, _ in counts.values()))
     code = {entity: position for position, entity in enumerate(entities)}
     bit = {flag: 1 << position for position, flag in enumerate(flags)}
+    carried = {name: f"_sum_{name}" for name in sums}
 
     def tagged(entity: str) -> Column:
         value = F.col(entity).cast("string")
         needed = [flag for e, flag in counts.values() if e == entity]
         if None not in needed:
             value = F.when(reduce(or_, [flags[flag] for flag in needed]), value)
-        return F.struct(F.lit(code[entity]).alias("kind"), value.alias("value"))
+        # null in the type of the measure on all entities but the first
+        first = F.lit(code[entity] == 0)
+        measures = [F.when(first, sums[name]).alias(column) for name, column in carried.items()]
+        return F.struct(F.lit(code[entity]).alias("_kind"), value.alias("_value"), *measures)
 
     mask = reduce(
         lambda bits, flag: bits.bitwiseOR(F.when(flags[flag], bit[flag]).otherwise(0)),
         flags,
         F.lit(0),
     )
+    tall = df.select(
+        *keys,
+        mask.cast("bigint").alias("_mask"),
+        F.inline(F.array(*[tagged(entity) for entity in entities])),
+    )
+    useful = F.col("_value").isNotNull()
+    if sums:
+        useful = useful | (F.col("_kind") == 0)
     seen = (
-        df.select(
-            *keys,
-            mask.cast("bigint").alias("_mask"),
-            F.explode(F.array(*[tagged(entity) for entity in entities])).alias("_entity"),
-        )
-        .filter(F.col("_entity.value").isNotNull())
-        .groupBy(*keys, F.col("_entity.kind").alias("_kind"), F.col("_entity.value").alias("_value"))
-        .agg(F.bit_or("_mask").alias("_mask"))
+        tall.filter(useful)
+        .groupBy(*keys, "_kind", "_value")
+        .agg(F.bit_or("_mask").alias("_mask"), *[F.sum(c).alias(c) for c in carried.values()])
     )
 
     def counted(entity: str, flag: str | None) -> Column:
-        of_kind = F.col("_kind") == code[entity]
-        if flag is None:
-            return F.count_if(of_kind)
-        return F.count_if(of_kind & (F.col("_mask").bitwiseAND(bit[flag]) != 0))
+        found = (F.col("_kind") == code[entity]) & F.col("_value").isNotNull()
+        if flag is not None:
+            found = found & (F.col("_mask").bitwiseAND(bit[flag]) != 0)
+        return F.count_if(found)
 
     return seen.groupBy(*keys).agg(
-        *[counted(entity, flag).alias(name) for name, (entity, flag) in counts.items()]
+        *[counted(entity, flag).alias(name) for name, (entity, flag) in counts.items()],
+        *[F.sum(column).alias(name) for name, column in carried.items()],
     )
 
 
@@ -74,8 +86,8 @@ def with_distinct_counts(
 ) -> DataFrame:
     """Plain aggregates and exact distinct counts of the same groups, side by side.
 
-    The measures are reduced map-side to one row per key and task, so they never
-    ride along with the entity rows. A key without any entity counts 0; null keys
+    For inputs that are cheap to read twice: the measures are reduced map-side to
+    one row per key and task and never widen the entity rows. A key without any entity counts 0; null keys
     form a group.
     """
     plain = df.groupBy(*keys).agg(*measures)

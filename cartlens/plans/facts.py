@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cartlens.functions.dates import moment_of
 from cartlens.functions.metrics import count_equal, count_type, growth, rate, revenue_where
-from cartlens.operators.rollup import with_distinct_counts
+from cartlens.operators.rollup import distinct_counts, with_distinct_counts
 
 # Output name and value of the device and source breakdowns.
 DEVICE_BREAKDOWN = {"mobile": "mobile", "desktop": "desktop", "tablet": "tablet"}
@@ -75,19 +75,37 @@ def daily_events(stg_events: DataFrame) -> DataFrame:
     )
 
 
+def _means(columns: dict[str, str]) -> dict[str, Column]:
+    """Sums and counts from which ``_mean_of`` gets the mean of non-null values."""
+    sums = {f"{name}_sum": F.col(column) for name, column in columns.items()}
+    known = {
+        f"{name}_known": F.when(F.col(column).isNotNull(), 1) for name, column in columns.items()
+    }
+    return sums | known
+
+
+def _mean_of(name: str) -> Column:
+    return (F.col(f"{name}_sum").cast("double") / F.col(f"{name}_known")).alias(name)
+
+
 def daily_sessions(int_sessions: DataFrame) -> DataFrame:
-    """Sessions by the date they started on."""
-    return with_distinct_counts(
+    """Sessions by the date they started on, in one pass over the sessions."""
+    means = {
+        "avg_session_duration": "session_duration_seconds",
+        "avg_events_per_session": "total_events",
+        "avg_engagement_score": "engagement_score",
+    }
+    counts = {
+        "sessions": ("session_id", None),
+        "converted_sessions": ("session_id", "converted"),
+    }
+    return distinct_counts(
         int_sessions,
         ["session_date"],
-        [
-            F.avg("session_duration_seconds").alias("avg_session_duration"),
-            F.avg("total_events").alias("avg_events_per_session"),
-            F.avg("engagement_score").alias("avg_engagement_score"),
-        ],
-        {"sessions": ("session_id", None), "converted_sessions": ("session_id", "converted")},
+        counts,
         {"converted": F.col("is_converted")},
-    )
+        sums=_means(means),
+    ).select("session_date", *counts, *[_mean_of(name) for name in means])
 
 
 def fct_daily_engagement(
@@ -133,7 +151,8 @@ def fct_daily_engagement(
 
 
 def daily_funnel(int_user_journey: DataFrame) -> DataFrame:
-    """Distinct users and sessions per stage and drop-off, and mean stage times."""
+    """Distinct users and sessions per stage and drop-off, and mean stage times, in
+    one pass over the journeys."""
     stages = ["site", "product", "cart", "checkout", "purchase"]
     drop_offs = {
         "bounced_users": "landing_bounce",
@@ -142,26 +161,29 @@ def daily_funnel(int_user_journey: DataFrame) -> DataFrame:
         "checkout_abandoned_users": "checkout_abandoned",
         "converted_users": "converted",
     }
-    times = [
-        "time_to_product_view",
-        "time_to_cart",
-        "time_to_checkout",
-        "time_to_purchase",
-        "total_time_to_purchase",
-    ]
-    return with_distinct_counts(
-        int_user_journey,
-        ["event_date"],
-        [
-            F.sum("total_revenue").alias("total_revenue"),
-            *[F.avg(time).alias(f"avg_{time}") for time in times],
-        ],
+    means = {
+        f"avg_{time}": time
+        for time in (
+            "time_to_product_view",
+            "time_to_cart",
+            "time_to_checkout",
+            "time_to_purchase",
+            "total_time_to_purchase",
+        )
+    }
+    counts = (
         {f"users_at_{stage}": ("user_id", stage) for stage in stages}
         | {f"sessions_at_{stage}": ("session_id", stage) for stage in stages}
-        | {name: ("user_id", stage) for name, stage in drop_offs.items()},
+        | {name: ("user_id", stage) for name, stage in drop_offs.items()}
+    )
+    return distinct_counts(
+        int_user_journey,
+        ["event_date"],
+        counts,
         {stage: F.col(f"reached_{stage}") for stage in stages}
         | {stage: F.col("drop_off_stage") == stage for stage in drop_offs.values()},
-    )
+        sums={"total_revenue": F.col("total_revenue")} | _means(means),
+    ).select("event_date", *counts, "total_revenue", *[_mean_of(name) for name in means])
 
 
 def fct_funnel(int_user_journey: DataFrame, as_of: dt.datetime) -> DataFrame:

@@ -9,7 +9,7 @@ from cartlens.functions.dates import seconds_crossed
 from cartlens.functions.metrics import count_type, rate, revenue_where
 from cartlens.operators.ranking import continuous_percentiles
 from cartlens.operators.rollup import with_distinct_counts
-from cartlens.schemas import MAX_SESSION_HOURS
+from cartlens.schemas import EVENT_TYPES, MAX_SESSION_HOURS
 from cartlens.session import durable
 
 # Weight of one event in the engagement score.
@@ -26,10 +26,13 @@ ENGAGEMENT_WEIGHTS = {
 def int_sessions(stg_events: DataFrame, max_hours: int = MAX_SESSION_HOURS) -> DataFrame:
     """One row per session and user; sessions longer than ``max_hours`` are dropped.
 
-    Device, country and source are the smallest value of the session.
+    Device, country and source are the smallest value of the session. The known
+    event types are told apart by their counts, so only other types have to be
+    counted as distinct values.
     """
+    unknown_type = F.when(~F.col("event_type").isin(EVENT_TYPES), F.col("event_type"))
     grouped = with_distinct_counts(
-        stg_events,
+        stg_events.withColumn("unknown_type", unknown_type),
         ["session_id", "user_id"],
         [
             F.min("event_timestamp").alias("session_start"),
@@ -46,15 +49,29 @@ def int_sessions(stg_events: DataFrame, max_hours: int = MAX_SESSION_HOURS) -> D
             count_type("remove_from_cart").alias("remove_from_cart_events"),
             count_type("begin_checkout").alias("checkout_starts"),
             count_type("purchase").alias("purchases"),
+            count_type("signup").alias("signups"),
+            count_type("login").alias("logins"),
             F.sum("revenue_amount").alias("session_revenue"),
             F.max("revenue_amount").alias("max_order_value"),
         ],
         {
-            "unique_event_types": ("event_type", None),
+            "unknown_types": ("unknown_type", None),
             "unique_products_viewed": ("product_id", None),
             "unique_categories_viewed": ("product_category", None),
         },
     )
+    counted_types = [
+        "page_views",
+        "product_views",
+        "searches",
+        "add_to_cart_events",
+        "remove_from_cart_events",
+        "checkout_starts",
+        "purchases",
+        "signups",
+        "logins",
+    ]
+    types = sum((F.when(F.col(c) > 0, 1).otherwise(0) for c in counted_types), F.col("unknown_types"))
     duration = F.col("session_duration_seconds")
     bought, checkout, cart = (
         F.col(name) > 0 for name in ("purchases", "checkout_starts", "add_to_cart_events")
@@ -72,6 +89,7 @@ def int_sessions(stg_events: DataFrame, max_hours: int = MAX_SESSION_HOURS) -> D
                 .when(duration < 600, "Engaged")
                 .when(duration < 1800, "Deep")
                 .otherwise("Extended"),
+                "unique_event_types": types,
                 "is_converted": bought,
                 "has_cart_activity": cart,
                 "started_checkout": checkout,
@@ -83,6 +101,7 @@ def int_sessions(stg_events: DataFrame, max_hours: int = MAX_SESSION_HOURS) -> D
                 .otherwise("Low Engagement"),
             }
         )
+        .drop("unknown_types", "signups", "logins")
     )
 
 

@@ -188,6 +188,12 @@ def test_session_quality(make_events, types, quality):
     assert session.session_quality == quality
 
 
+def test_unknown_event_types_count_as_types(make_events):
+    kinds = ["odd", "odd", "strange", "login", "login", "signup", None]
+    session = sessions_of(make_events, *[{"event_type": kind} for kind in kinds]).first()
+    assert (session.total_events, session.unique_event_types) == (7, 4)
+
+
 def test_events_without_a_session_form_one_per_user(make_events):
     found = sessions_of(make_events, {"session_id": None}, {"session_id": None}, {"user_id": "U2"})
     assert sorted(rows(found, "user_id", "total_events", "unique_event_types")) == [
