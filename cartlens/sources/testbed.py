@@ -8,14 +8,10 @@ of its input row; a product event looks its category up in ``part``.
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.functions.dates import moment_of
-from cartlens.functions.values import hash_key
-
 AS_OF = dt.datetime(2024, 1, 31)
 MID_MONTH = dt.datetime(2024, 1, 15)
 
@@ -32,26 +28,23 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def _dealt_out(df: DataFrame) -> DataFrame:
+def _dealt_out(df: DataFrame, key: str) -> DataFrame:
     """A table with fewer read tasks than cores, dealt out to all of them.
 
     Only tables of a few files are shuffled that way, so the cost stays bounded.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
-def _pick(position: Column, values: list[str]) -> Column:
-    """The value at ``position``; null beyond the end of the list."""
-    return reduce(
-        lambda chain, item: chain.when(position == item[0], item[1]),
-        list(enumerate(values))[1:],
-        F.when(position == 0, values[0]),
-    )
+def _pick(position: str, values: list[str]) -> str:
+    """SQL for the value at ``position``; null beyond the end of the list."""
+    branches = " ".join(f"WHEN {i} THEN '{value}'" for i, value in enumerate(values))
+    return f"CASE {position} {branches} END"
 
 
-def _id(prefix: str, column: Column, length: int) -> Column:
-    return F.concat(F.lit(prefix), hash_key(column, length))
+def _id(prefix: str, text: str, length: int) -> str:
+    return f"concat('{prefix}', upper(substring(md5({text}), 1, {length})))"
 
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -59,93 +52,78 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _numbered_events(spark: SparkSession, folder: str) -> DataFrame:
-    k, user, key = F.col("k"), F.col("user_id"), F.col("product_key")
-    kind = F.col("event_type")
-    event_type = (
-        F.when(kind == "view", F.when(k < 50, "page_view").otherwise("product_view"))
-        .when(kind == "click", _pick(k % 3, ["add_to_cart", "begin_checkout", "remove_from_cart"]))
-        .when(kind == "error", F.when(k % 2 == 0, "search").otherwise("login"))
-        .otherwise(kind)
-    )
-    about_product = F.col("type").isin(
-        "product_view", "add_to_cart", "remove_from_cart", "begin_checkout", "purchase"
-    )
-    source = (
-        _dealt_out(read(spark, folder, "events"))
-        .withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-        .withColumn("type", event_type)
-        .withColumn(
-            "product_key",
-            F.when(about_product, (F.col("event_id") * 7 + k) % SOLD_PRODUCTS),
+    clicks = _pick("k % 3", ["add_to_cart", "begin_checkout", "remove_from_cart"])
+    typed = (
+        _dealt_out(read(spark, folder, "events"), "event_id")
+        .selectExpr("*", "cast(get_json_object(props, '$.k') AS int) AS k")
+        .selectExpr(
+            "*",
+            f"""CASE event_type WHEN 'view' THEN if(k < 50, 'page_view', 'product_view')
+                     WHEN 'click' THEN {clicks}
+                     WHEN 'error' THEN if(k % 2 = 0, 'search', 'login')
+                     ELSE event_type END AS type""",
+        )
+        .selectExpr(
+            "*",
+            f"""CASE WHEN type IN ('product_view', 'add_to_cart', 'remove_from_cart',
+                                   'begin_checkout', 'purchase')
+                     THEN (event_id * 7 + k) % {SOLD_PRODUCTS} END AS product_key""",
         )
     )
     # at most SOLD_PRODUCTS rows, whatever the scale factor
     kinds = (
         read(spark, folder, "part")
-        .filter(F.col("p_partkey") < SOLD_PRODUCTS)
-        .select(F.col("p_partkey").alias("product_key"), "p_type")
+        .filter(f"p_partkey < {SOLD_PRODUCTS}")
+        .selectExpr("p_partkey AS product_key", "p_type")
     )
-    user_day = F.concat(user.cast("string"), F.lit("@"), F.to_date("ts").cast("string"))
-    return source.join(F.broadcast(kinds), "product_key", "left").select(
-        _id("EVT_", F.col("event_id").cast("string"), 16).alias("event_id"),
-        F.col("type").alias("event_type"),
-        _id("USER_", user.cast("string"), 12).alias("user_id"),
-        _id("SES_", user_day, 16).alias("session_id"),
-        F.col("ts").alias("timestamp"),
-        F.col("props").alias("properties"),
-        _pick(k % 4, DEVICES).alias("device"),
-        _pick(user % 5, COUNTRIES).alias("country"),
-        _pick(k % 7, SOURCES).alias("traffic_source"),
-        F.when(key.isNotNull(), _id("PROD_", key.cast("string"), 8)).alias("product_id"),
-        F.when(F.col("type") != "remove_from_cart", F.col("p_type")).alias("category"),
-        F.when(F.col("type") == "purchase", F.col("value"))
-        .otherwise(F.lit(0.0))
-        .cast("decimal(18,2)")
-        .alias("revenue"),
-        F.col("event_id").alias("number"),
+    user_day = "concat(cast(user_id AS string), '@', cast(to_date(ts) AS string))"
+    return typed.join(F.broadcast(kinds), "product_key", "left").selectExpr(
+        f"{_id('EVT_', 'cast(event_id AS string)', 16)} AS event_id",
+        "type AS event_type",
+        f"{_id('USER_', 'cast(user_id AS string)', 12)} AS user_id",
+        f"{_id('SES_', user_day, 16)} AS session_id",
+        "ts AS timestamp",
+        "props AS properties",
+        f"{_pick('k % 4', DEVICES)} AS device",
+        f"{_pick('user_id % 5', COUNTRIES)} AS country",
+        f"{_pick('k % 7', SOURCES)} AS traffic_source",
+        f"{_id('PROD_', 'cast(product_key AS string)', 8)} AS product_id",
+        "if(type <> 'remove_from_cart', p_type, NULL) AS category",
+        "cast(if(type = 'purchase', value, 0.0D) AS decimal(18,2)) AS revenue",
+        "event_id AS number",
     )
 
 
 def raw_products(spark: SparkSession, folder: str) -> DataFrame:
-    return read(spark, folder, "part").select(
-        _id("PROD_", F.col("p_partkey").cast("string"), 8).alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.lit(None).cast("string").alias("subcategory"),
-        (F.col("p_retailprice") * F.col("p_size") / 50.0).alias("price"),
-        F.col("p_brand").alias("brand"),
-        (F.col("p_size") / 10.0).cast("double").alias("rating"),
-        (F.col("p_partkey") % 5000).alias("review_count"),
-        (F.col("p_partkey") % 10 != 0).alias("in_stock"),
+    return read(spark, folder, "part").selectExpr(
+        f"{_id('PROD_', 'cast(p_partkey AS string)', 8)} AS product_id",
+        "p_name AS product_name",
+        "p_type AS category",
+        "cast(NULL AS string) AS subcategory",
+        "p_retailprice * p_size / 50.0D AS price",
+        "p_brand AS brand",
+        "p_size / 10.0D AS rating",
+        "p_partkey % 5000 AS review_count",
+        "p_partkey % 10 <> 0 AS in_stock",
     )
 
 
 def raw_users(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
-    segments = {
-        "BUILDING": "power_buyer",
-        "AUTOMOBILE": "browser",
-        "MACHINERY": "occasional",
-        "HOUSEHOLD": "new_user",
-    }
-    segment = reduce(
-        lambda chain, pair: chain.when(F.col("c_mktsegment") == pair[0], pair[1]),
-        list(segments.items())[1:],
-        F.when(F.col("c_mktsegment") == "BUILDING", "power_buyer"),
-    )
     customers, nations = read(spark, folder, "customer"), read(spark, folder, "nation")
     return customers.join(
         nations, customers["c_nationkey"] == nations["n_nationkey"], "left"
-    ).select(
-        _id("USER_", key.cast("string"), 12).alias("user_id"),
-        segment.alias("segment"),
-        _pick(key % 4, DEVICES).alias("primary_device"),
-        _pick(key % 7, SOURCES).alias("traffic_source"),
-        _pick(F.col("c_nationkey") % 5, COUNTRIES).alias("country"),
-        F.col("n_name").alias("city"),
-        (moment_of(AS_OF) - F.make_dt_interval(days=(key * 7 % 730).cast("int"))).alias("created_at"),
-        (key % 5 < 2).alias("is_subscribed"),
-        F.lit(0.0).alias("lifetime_value"),
+    ).selectExpr(
+        f"{_id('USER_', 'cast(c_custkey AS string)', 12)} AS user_id",
+        """CASE c_mktsegment WHEN 'BUILDING' THEN 'power_buyer' WHEN 'AUTOMOBILE' THEN 'browser'
+                WHEN 'MACHINERY' THEN 'occasional' WHEN 'HOUSEHOLD' THEN 'new_user' END AS segment""",
+        f"{_pick('c_custkey % 4', DEVICES)} AS primary_device",
+        f"{_pick('c_custkey % 7', SOURCES)} AS traffic_source",
+        f"{_pick('c_nationkey % 5', COUNTRIES)} AS country",
+        "n_name AS city",
+        f"timestamp_ntz'{AS_OF:%Y-%m-%d}' - make_dt_interval(cast(c_custkey * 7 % 730 AS int)) "
+        "AS created_at",
+        "c_custkey % 5 < 2 AS is_subscribed",
+        "0.0D AS lifetime_value",
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,19 +26,29 @@ def comparable(df: DataFrame) -> DataFrame:
     """One textual or double form per value, so that two engines hash alike."""
     columns = []
     for field in df.schema.fields:
-        column, dtype = F.col(f"`{field.name}`"), field.dataType
+        name, dtype = f"`{field.name}`", field.dataType
+        form = name
         if isinstance(dtype, T.DateType):
-            column = F.date_format(column, "yyyy-MM-dd")
+            form = f"date_format({name}, 'yyyy-MM-dd')"
         elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            form = f"date_format({name}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
         elif isinstance(dtype, (T.DecimalType, T.DoubleType, T.FloatType)):
-            column = F.round(column.cast("double"), 6)
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            form = f"round(cast({name} AS double), 6)"
+        columns.append(f"{form} AS {name}")
+    return df.selectExpr(*columns)
+
+
+@lru_cache(maxsize=16)
+def tables(spark: SparkSession, folder: str) -> Tables:
+    """The tables of one scale factor, so that their plans are built once."""
+    return Tables(spark, folder)
 
 
 class Tables:
-    """The raw and derived tables of one scale factor."""
+    """The raw and derived tables of one scale factor.
+
+    Lazy plans are kept; tables that store something on the way are built anew.
+    """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = configure(spark), folder
@@ -45,39 +56,39 @@ class Tables:
     def read(self, table: str) -> DataFrame:
         return testbed.read(self.spark, self.folder, table)
 
-    @property
+    @cached_property
     def events(self) -> DataFrame:
         return testbed.raw_events(self.spark, self.folder)
 
-    @property
+    @cached_property
     def damaged(self) -> DataFrame:
         return testbed.damaged_events(self.spark, self.folder)
 
-    @property
+    @cached_property
     def products(self) -> DataFrame:
         return testbed.raw_products(self.spark, self.folder)
 
-    @property
+    @cached_property
     def users(self) -> DataFrame:
         return testbed.raw_users(self.spark, self.folder)
 
-    @property
+    @cached_property
     def stg_events(self) -> DataFrame:
         return staging.stg_events(self.events, AS_OF)
 
-    @property
+    @cached_property
     def stg_products(self) -> DataFrame:
         return staging.stg_products(self.products, AS_OF)
 
-    @property
+    @cached_property
     def stg_users(self) -> DataFrame:
         return staging.stg_users(self.users, AS_OF)
 
-    @property
+    @cached_property
     def sessions(self) -> DataFrame:
         return intermediate.int_sessions(self.stg_events)
 
-    @property
+    @cached_property
     def journey(self) -> DataFrame:
         return intermediate.int_user_journey(self.stg_events)
 
@@ -93,7 +104,7 @@ class Tables:
     def dim_products(self) -> DataFrame:
         return dimensions.dim_products(self.stg_products, self.performance, AS_OF)
 
-    @property
+    @cached_property
     def event_days(self) -> DataFrame:
         """Calendar range: the days of the events and 30 more."""
         return self.read("events").agg(
@@ -101,38 +112,38 @@ class Tables:
             F.date_add(F.to_date(F.max("ts")), 30).alias("last"),
         )
 
-    @property
+    @cached_property
     def order_days(self) -> DataFrame:
         return self.read("orders").agg(
             F.to_date(F.min("o_orderdate")).alias("first"),
             F.to_date(F.max("o_orderdate")).alias("last"),
         )
 
-    @property
+    @cached_property
     def dim_date(self) -> DataFrame:
         return calendar.dim_date(self.event_days, AS_OF)
 
-    @property
+    @cached_property
     def engagement(self) -> DataFrame:
         return facts.fct_daily_engagement(self.stg_events, self.sessions, AS_OF)
 
-    @property
+    @cached_property
     def funnel(self) -> DataFrame:
         return facts.fct_funnel(self.journey, AS_OF)
 
-    @property
+    @cached_property
     def revenue(self) -> DataFrame:
         return facts.fct_revenue(self.stg_events, self.stg_products, AS_OF)
 
-    @property
+    @cached_property
     def flat_sessions(self) -> DataFrame:
         return flat.flat_sessions(self.events)
 
-    @property
+    @cached_property
     def daily(self) -> DataFrame:
         return flat.flat_daily_metrics(self.events)
 
-    @property
+    @cached_property
     def flat_products(self) -> DataFrame:
         return flat.flat_product_performance(self.events)
 
@@ -338,7 +349,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
 
 
 def _query(plan: Callable[[Tables], DataFrame]) -> Query:
-    return lambda spark, folder: comparable(plan(Tables(spark, folder)))
+    return lambda spark, folder: comparable(plan(tables(spark, folder)))
 
 
 QUERIES: dict[str, Query] = {name: _query(plan) for name, plan in PLANS.items()}
