@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from cartlens.functions.dates import literal_like
 from cartlens.schemas import MAX_NULL_RATE, MAX_REVENUE_Z, MAX_SESSION_EVENTS
+from cartlens.session import durable
 
 SEVERITIES = ["high", "medium", "low"]
 
@@ -173,7 +174,11 @@ def high_severity(issues: DataFrame) -> DataFrame:
 
 
 def report(events: DataFrame, issues: DataFrame) -> DataFrame:
-    """Totals first, then the issues by severity."""
+    """Totals first, then the issues by severity.
+
+    The issues, a row per check and column at most, are stored once and read twice.
+    """
+    issues = durable(issues)
     rank = F.array_position(F.array(*[F.lit(s) for s in SEVERITIES]), F.col("severity"))
     totals = (
         events.agg(F.count(F.lit(1)).alias("total_records"))

@@ -87,13 +87,15 @@ def with_distinct_counts(
     """Plain aggregates and exact distinct counts of the same groups, side by side.
 
     For inputs that are cheap to read twice: the measures are reduced map-side to
-    one row per key and task and never widen the entity rows. A key without any entity counts 0; null keys
-    form a group.
+    one row per key and task and never widen the entity rows. A key without any entity
+    counts 0; null keys form a group; without keys the result is one row.
     """
     plain = df.groupBy(*keys).agg(*measures)
-    distinct = distinct_counts(df, keys, counts, flags).withColumnsRenamed(
-        {key: f"_{key}" for key in keys}
-    )
+    distinct = distinct_counts(df, keys, counts, flags)
+    if not keys:
+        found = distinct.select(F.struct(*counts)).scalar()
+        return plain.withColumns({name: found[name] for name in counts})
+    distinct = distinct.withColumnsRenamed({key: f"_{key}" for key in keys})
     matched = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
     zeros = {name: F.coalesce(F.col(name), F.lit(0).cast("bigint")) for name in counts}
     return (

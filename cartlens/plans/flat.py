@@ -7,7 +7,7 @@ denominator counts as one, and groups with a null key are dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions.dates import seconds_elapsed, weekday_from_monday
@@ -112,7 +112,6 @@ def metric_summary(events: DataFrame, event_column: str = "event_type") -> DataF
     Columns the table does not have leave their figures out or at 0.
     """
     have = set(events.columns)
-    keyed = events.withColumn("_all", F.lit(0))
     measures = [F.count(F.lit(1)).alias("total_events")]
     if event_column in have:
         measures += [
@@ -129,47 +128,40 @@ def metric_summary(events: DataFrame, event_column: str = "event_type") -> DataF
     distinct = {"unique_users": "user_id", "unique_sessions": "session_id"}
     counted = {name: (column, None) for name, column in distinct.items() if column in have}
     if counted:
-        totals = with_distinct_counts(keyed, ["_all"], measures, counted)
+        totals = with_distinct_counts(events, [], measures, counted)
     else:
-        totals = keyed.groupBy("_all").agg(*measures)
+        totals = events.agg(*measures)
     totals = totals.withColumns({name: F.lit(0) for name in distinct if name not in counted})
-    if event_column in have:
-        totals = totals.withColumns(
-            {
-                "view_to_cart_rate": rate("_carts", "_views"),
-                "cart_to_purchase_rate": rate("_purchases", "_carts"),
-                "overall_conversion_rate": rate("_purchases", "_views"),
-            }
-        ).drop("_views", "_carts", "_purchases")
-        # one entry per event type
-        breakdown = (
-            value_counts(events, event_column)
-            .groupBy(F.lit(0).alias("_all"))
-            .agg(
-                F.map_from_entries(F.collect_list(F.struct(event_column, "count"))).alias(
-                    "event_breakdown"
-                )
-            )
-        )
-        totals = totals.join(breakdown, "_all", "left")
-    return totals.drop("_all")
+    if event_column not in have:
+        return totals
+    # one entry per event type
+    entries = F.collect_list(F.struct(event_column, "count"))
+    breakdown = _counts(events, event_column).agg(F.map_from_entries(entries).alias("types"))
+    return totals.withColumns(
+        {
+            "view_to_cart_rate": rate("_carts", "_views"),
+            "cart_to_purchase_rate": rate("_purchases", "_carts"),
+            "overall_conversion_rate": rate("_purchases", "_views"),
+            "event_breakdown": breakdown.scalar(),
+        }
+    ).drop("_views", "_carts", "_purchases")
+
+
+def _counts(df: DataFrame, column: str) -> DataFrame:
+    known = df.filter(F.col(column).isNotNull())
+    return known.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Number of rows per non-null value, most frequent first."""
-    return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("count"))
-        .orderBy(F.desc("count"), column)
-    )
+    return _counts(df, column).orderBy(F.desc("count"), column)
 
 
 def event_profile(events: DataFrame) -> DataFrame:
     """Event types with share, next to the totals of the whole data set."""
     totals = with_distinct_counts(
-        events.withColumn("_all", F.lit(0)),
-        ["_all"],
+        events,
+        [],
         [
             F.count(F.lit(1)).alias("total_events"),
             F.min("timestamp").alias("first_event"),
@@ -178,17 +170,10 @@ def event_profile(events: DataFrame) -> DataFrame:
         ],
         {"unique_users": ("user_id", None), "unique_sessions": ("session_id", None)},
     )
-    # one row per event type, so one partition is enough
-    everything = Window.partitionBy("_all")
-    types = (
-        events.filter(F.col("event_type").isNotNull())
-        .groupBy("event_type")
-        .agg(F.count(F.lit(1)).alias("count"))
-        .withColumn("_all", F.lit(0))
-    )
+    total = totals.select(F.struct(*totals.columns)).scalar()
     return (
-        types.join(totals, "_all")
-        .withColumn("percent", F.col("count") * 100.0 / F.sum("count").over(everything))
-        .drop("_all")
+        _counts(events, "event_type")
+        .withColumns({name: total[name] for name in totals.columns})
+        .withColumn("percent", F.col("count") * 100.0 / F.col("total_events"))
         .orderBy(F.desc("count"), "event_type")
     )
