@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,16 +90,16 @@ def with_distinct_counts(
     one row per key and task and never widen the entity rows. A key without any entity
     counts 0; null keys form a group; without keys the result is one row.
     """
-    plain = df.groupBy(*keys).agg(*measures)
-    distinct = distinct_counts(df, keys, counts, flags)
     if not keys:
-        found = distinct.select(F.struct(*counts)).scalar()
-        return plain.withColumns({name: found[name] for name in counts})
-    distinct = distinct.withColumnsRenamed({key: f"_{key}" for key in keys})
-    matched = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
-    zeros = {name: F.coalesce(F.col(name), F.lit(0).cast("bigint")) for name in counts}
-    return (
-        plain.join(distinct, matched, "left")
-        .drop(*[f"_{key}" for key in keys])
-        .withColumns(zeros)
+        found = distinct_counts(df, [], counts, flags).select(F.struct(*counts)).scalar()
+        return df.agg(*measures).withColumns({name: found[name] for name in counts})
+    # as one record the keys are equal also where fields are null, and both sides
+    # meet in the partitioning they were aggregated in
+    keyed = df.withColumn("_key", F.struct(*keys))
+    plain = keyed.groupBy("_key").agg(*measures)
+    distinct = distinct_counts(keyed, ["_key"], counts, flags)
+    return plain.join(distinct, "_key", "left").select(
+        "_key.*",
+        *[name for name in plain.columns if name != "_key"],
+        *[F.coalesce(F.col(name), F.lit(0).cast("bigint")).alias(name) for name in counts],
     )
