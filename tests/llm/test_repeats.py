@@ -1,0 +1,127 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from cartlens.llm import repeats
+from tests.llm import brute
+
+
+def check(df, docs, length, **options):
+    found = {
+        r["doc_id"]: (r["n_bytes"], r["n_removed"], [(s["start"], s["end"]) for s in r["spans"]], bytes(r["kept"]))
+        for r in repeats.remove_repeats(df, length, **options).collect()
+    }
+    assert found == brute.repeats({k: (v or "").encode() for k, v in docs.items()}, length)
+
+
+def test_given_documents(documents, texts):
+    check(documents, texts, 100)
+
+
+@pytest.mark.parametrize("most_windows", [65_536, 1])
+def test_passages_and_periods(make_documents, most_windows):
+    chance = random.Random(1)
+    words = ["ab", "c", "dé", "the", "of", "ñu", "xyz"]
+
+    def prose(n):
+        return " ".join(chance.choice(words) + str(chance.randrange(1000)) for _ in range(n))
+
+    passage, long = prose(40), prose(300)
+    rows = [(i, prose(chance.randrange(60)) + passage[i % 7 :] + prose(chance.randrange(60))) for i in range(40)]
+    rows += [(40 + i, long[: 900 + i] + prose(20)) for i in range(5)]
+    rows += [(50, "Orre " * 400), (51, "xOrre Orre " * 90), (52, ""), (53, None), (54, "é" * 300), (55, "é" * 49)]
+    rows += [(60 + i, passage * 3) for i in range(6)]
+    check(make_documents(*rows), dict(rows), 100, most_windows=most_windows)
+
+
+def test_long_repeats(make_documents):
+    chance = random.Random(2)
+    long = "".join(chance.choice("abc ") for _ in range(5000))
+    rows = [(1, long), (2, "zz" + long[7:]), (3, long[2000:2300] + "q" + long[100:900])]
+    check(make_documents(*rows), dict(rows), 100)
+
+
+def test_rows_that_repeat_ids(make_documents):
+    text, other = "a" * 40 + "b" * 90, "c" * 30 + "b" * 100
+    rows = [(1, text), (1, text), (1, other), (None, other), (2, text)]
+    found = repeats.remove_repeats(make_documents(*rows), 100).collect()
+    got = sorted((r["doc_id"] is not None, r["doc_id"], r["n_removed"]) for r in found if r["doc_id"] is not None)
+    assert len(found) == 5
+    assert [x[2] for x in got if x[1] == 2] == [130]
+    assert [r["n_removed"] for r in found if r["doc_id"] is None] == [0]  # a missing id comes first
+    assert sorted(x[2] for x in got if x[1] == 1) == [0, 0, 130]
+
+
+def test_empty_table(make_documents):
+    assert repeats.remove_repeats(make_documents((1, "a")).limit(0), 100).collect() == []
+
+
+def test_groups_hold_all_occurrences(make_documents):
+    chance = random.Random(3)
+    passage = "".join(chance.choice("abcdefgh ") for _ in range(110))
+    rows = [(i, f"{i}{i * 7}-" + passage + f"+{i}") for i in range(12)]
+    groups = repeats.repeat_groups(make_documents(*rows), 100).where("length >= 100").collect()
+    held = {}
+    for r in groups:
+        held.setdefault((r["repeat"], r["length"]), []).append(r)
+    best = max(held.values(), key=len)
+    assert sorted(r["doc"] for r in best) == list(range(12))
+    assert [r["doc"] for r in best if r["first"]] == [0]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("ab", min_size=4, max_size=14), min_size=1, max_size=5))
+def test_stack_scan_against_all_pairs(given_texts):
+    """Every string that occurs twice lies in a maximal repeat with all its occurrences."""
+    length = 3
+    texts = [x.encode() for x in given_texts]
+    starts = [len(x) - length + 1 for x in texts]
+    found = {}
+    for size, text, place in repeats.maximal_repeats(texts, starts, length):
+        occurrences = set(zip(text.tolist(), place.tolist(), strict=True))
+        strings = {texts[t][p : p + size] for t, p in occurrences}
+        assert len(strings) == 1 and len(occurrences) > 1
+        found[strings.pop()] = occurrences
+    everywhere = {}
+    for t, text in enumerate(texts):
+        for p in range(len(text) - length + 1):
+            for size in range(length, len(text) - p + 1):
+                everywhere.setdefault(text[p : p + size], set()).add((t, p))
+    for string, places in everywhere.items():
+        if len(places) < 2:
+            continue
+        before = {texts[t][p - 1] if p else (t, p) for t, p in places}
+        after = {texts[t][p + len(string)] if p + len(string) < len(texts[t]) else (t, p) for t, p in places}
+        if len(before) > 1 and len(after) > 1:
+            assert found.get(string) == places
+
+
+def test_windows_across_slices(monkeypatch):
+    """Cut into slices, every start of a string is in exactly one window."""
+    import numpy as np
+    import pyarrow as pa
+
+    chance = random.Random(8)
+    texts = ["".join(chance.choice("ab ") for _ in range(n)).encode() for n in (3000, 99, 100, 0, 700)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(5), pa.int64()), pa.array([0] * 5, pa.int64()), pa.array(texts, pa.binary())],
+        ["doc", "tag", "bytes"],
+    )
+    for size in (1 << 20, 256, 101):
+        monkeypatch.setattr(repeats, "SLICE", size)
+        (out,) = repeats._windows(100)(iter([batch]))
+        starts = []
+        for doc, at, n in zip(*(out.column(x).to_pylist() for x in ("doc", "at", "n")), strict=True):
+            starts += [(doc, (at >> repeats.TAG_BITS) + i) for i in range(n)]
+        expected = [(d, i) for d, x in enumerate(texts) for i in range(len(x) - 99)]
+        assert sorted(starts) == expected
+        # equal strings have the same anchor hash wherever a slice was cut
+        if size == 1 << 20:
+            anchors = out.column("h").to_numpy()
+        else:
+            assert set(out.column("h").to_numpy()) == set(anchors)
+    assert np.all(out.column("copies").to_numpy() >= 0)
