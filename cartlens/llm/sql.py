@@ -29,7 +29,7 @@ boilerplate AS (
     HAVING count(DISTINCT text) > {quality.MOST_DOCUMENTS}
 ),
 removed AS (
-    SELECT doc_id, sum(len(string_split(plain, ' '))) AS removed
+    SELECT doc_id, sum(len(string_split(normal.plain, ' '))) AS removed
     FROM normal JOIN boilerplate b ON normal.plain = b.plain AND normal.source IS NOT DISTINCT FROM b.source
     GROUP BY doc_id
 ),
