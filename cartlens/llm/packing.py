@@ -35,40 +35,64 @@ END = 1
 #: Pieces that are packed together, on average.
 BLOCK = 4096
 #: Words whose tokens a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = f"{PIECES}, sequence_id long, offset long"
 
 
-class Tokens:
-    """Token ids of texts, word by word, as little-endian unsigned 32-bit integers.
+class Tokens(dict[bytes, bytes]):
+    """Token ids of words, as little-endian unsigned 32-bit integers.
 
-    For tokenizers that never join what white space separates.
+    For tokenizers that split at white space, keep runs of letters together, lower-case them and
+    know them by their bytes. Words of Latin letters, perhaps with marks behind them, go to the
+    model directly, as a run of letters and a run of marks are tokenised apart; all others take
+    the tokenizer's whole way.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def of(self, words: list[str]) -> bytes:
-        known = self.known
-        new = [word for word in set(words) if word not in known]
-        if new:
-            if len(known) > REMEMBERED:
-                known.clear()
-                new = list(set(words))
-            for i in range(0, len(new), 10_000):
-                part = new[i : i + 10_000]
-                for word, found in zip(
-                    part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True
-                ):
-                    known[word] = np.array(found.ids, "<u4").tobytes()
-        return b"".join([known[word] for word in words])
-
-
-_SPACE = re.compile(r"[\x20\x09-\x0D]+")
+        self.model = self.tokenizer.model
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [chr(x) for x in range(0x180) if chr(x).isalpha() and len(chr(x).lower()) == 1]
+        #: how the model writes each letter, upper-case ones as lower-case
+        self.written = {ord(x): level.pre_tokenize_str(x.lower())[0][0] for x in letters}
+        # marks are one run too; an apostrophe may begin a contraction
+        self.latin = re.compile("([" + "".join(letters) + r"]+)([!-&(-/:-@\[-`{-~]*)")
+        self.runs: dict[str, bytes] = {}
+        self.written_ids = [x.to_bytes(4, "little") for x in range(self.tokenizer.get_vocab_size())]
+
+    def of(self, text: bytes) -> bytes:
+        """The ids of a text."""
+        if len(self) > REMEMBERED:
+            self.clear()
+        if len(self.runs) > REMEMBERED:
+            self.runs.clear()
+        return b"".join(map(self.__getitem__, text.split()))
+
+    def __missing__(self, word: bytes) -> bytes:
+        plain = word.decode()
+        found = self.latin.fullmatch(plain)
+        if found:
+            run, mark = found.groups()
+            ids = self._run(run.translate(self.written)) + (self._run(mark) if mark else b"")
+        else:
+            ids = np.array(self.tokenizer.encode(plain, add_special_tokens=False).ids, "<u4").tobytes()
+        self[word] = ids
+        return ids
+
+    def _run(self, written: str) -> bytes:
+        ids = self.runs.get(written)
+        if ids is None:
+            ids = self.runs[written] = b"".join(
+                [self.written_ids[x.id] for x in self.model.tokenize(written)]
+            )
+        return ids
+
+
 _TOKENS: dict[str, Tokens] = {}
 
 
@@ -88,7 +112,7 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY) -> DataFra
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = tokens.of([x for x in _SPACE.split(text.as_py()) if x]) + end
+                ids = tokens.of(text.as_py()) + end
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     part = ids[4 * start : 4 * (start + capacity)]
@@ -98,7 +122,7 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY) -> DataFra
                 names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    rows = documents.select(documents["doc_id"].cast("long").alias("doc_id"), text_of(documents).alias("text"))
+    rows = documents.select(documents["doc_id"].cast("long").alias("doc_id"), text_of(documents).cast("binary").alias("text"))
     return rows.mapInArrow(run, PIECES)
 
 

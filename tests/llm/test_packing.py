@@ -89,3 +89,11 @@ def test_fill_against_all_choices(counts, capacity):
     chosen = packing.best_fill(lengths, [counts[x] for x in lengths], capacity)
     assert all(0 < n <= counts[x] for x, n in chosen.items())
     assert sum(x * n for x, n in chosen.items()) == best
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.characters(max_codepoint=0x250, exclude_categories=["Cs"]) | st.sampled_from("aé.,;' \u0301\u0130"), max_size=40))
+def test_words_against_the_whole_text(text):
+    tokens = packing.tokens_of(vocabulary())
+    ids = tokens.tokenizer.encode(text, add_special_tokens=False).ids
+    assert tokens.of(text.encode()) == np.array(ids, "<u4").tobytes()
