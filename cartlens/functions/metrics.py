@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -49,12 +49,3 @@ def revenue_where(condition: Column, revenue: Column | str = "revenue_amount") -
     """Revenue of the rows that meet a condition; the others add 0."""
     amount = _col(revenue)
     return F.sum(F.when(condition, amount).otherwise(amount * 0))
-
-
-def quintile(value: Column | str, *tie_break: Column | str) -> Column:
-    """NTILE(5) window expression for small inputs.
-
-    A window without partitions runs in one task; use
-    ``operators.ranking.with_ntile`` for tables that grow.
-    """
-    return F.ntile(5).over(Window.orderBy(value, *tie_break))

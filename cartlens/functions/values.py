@@ -41,10 +41,14 @@ def parsed_json(column: Column | str) -> Column:
 
 
 def is_json_record(column: Column | str) -> Column:
-    """True for a JSON object or a JSON string."""
+    """True for a JSON object or a JSON string; numbers may be NaN or infinite."""
     text = F.col(column) if isinstance(column, str) else column
     shape = text.rlike(r"""(?s)\A[ \t\r\n]*(\{.*\}|".*")[ \t\r\n]*\z""")
-    return F.coalesce(shape & (F.size(_json_values(text)) == 1), F.lit(False))
+    # the words stand where a value may stand; inside a text they change nothing that matters here
+    finite = F.regexp_replace(text, r"([:,\[]\s*)(?:NaN|-?Infinity)(?=\s*[,\]}])", "$10")
+    plain = F.size(_json_values(text)) == 1
+    loose = text.rlike("NaN|Infinity") & (F.size(_json_values(finite)) == 1)
+    return F.coalesce(shape & (F.coalesce(plain, F.lit(False)) | F.coalesce(loose, F.lit(False))), F.lit(False))
 
 
 def json_or_empty(column: Column | str) -> Column:

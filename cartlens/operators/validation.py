@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,6 +65,13 @@ class Validation:
             *[c for c in self.checked.columns if c != ERRORS], F.split(ERRORS, ",").alias("errors")
         )
 
+    def observed(self, seen: Observation) -> Validation:
+        """The same, counting all and valid rows in whatever job reads them."""
+        counts = F.count(F.lit(1)), F.count_if(F.col(ERRORS) == "")
+        names = ("total_records", "valid_records")
+        watched = self.checked.observe(seen, *(c.alias(n) for c, n in zip(counts, names, strict=True)))
+        return Validation(watched, self.columns)
+
     def result(self) -> DataFrame:
         """One row: totals and the validity rate in percent (0 for no rows)."""
         total, good = F.col("total_records"), F.col("valid_records")
@@ -140,8 +147,13 @@ def _read(df: DataFrame, rule: Rule) -> Column:
         iso = column.rlike(r"\A\d{4}-?\d{2}-?\d{2}([T ]\d{2}|\z)")
         instant = F.try_to_timestamp(F.regexp_replace(column, "Z$", "+00:00"))
         return F.when(iso, instant).cast("timestamp_ntz")
+    if rule.kind == "moment" and isinstance(dtype, T.IntegralType):
+        # seconds since 1970, or milliseconds where seconds would lie beyond the year 2286
+        seconds = F.timestamp_seconds(column)
+        return F.when(F.abs(column) <= 10**10, seconds).otherwise(F.timestamp_millis(column)).cast("timestamp_ntz")
     if rule.kind == "moment":
-        return column.cast("timestamp_ntz")
+        known = isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
+        return column.cast("timestamp_ntz") if known else F.lit(None).cast("timestamp_ntz")
     return column
 
 
@@ -252,9 +264,20 @@ def validate_users(df: DataFrame) -> Validation:
     return check(df, USER_RULES)
 
 
+def validity_of(counts: dict) -> dict:
+    """The figures of ``Validation.result`` from observed counts."""
+    total, valid = counts["total_records"], counts["valid_records"]
+    rate = valid / total * 100 if total else 0.0
+    return {
+        "total_records": total,
+        "valid_records": valid,
+        "invalid_records": total - valid,
+        "validity_rate": rate,
+    }
+
+
 def require_validity(figures: dict, minimum: float = S.MIN_VALIDITY_RATE) -> None:
     """The gate: an error when the rate is below ``minimum``."""
-    if figures["validity_rate"] < minimum:
-        raise ValueError(
-            f"Validity rate {figures['validity_rate']:.1f}% is below threshold {minimum:.1f}%"
-        )
+    rate = figures["validity_rate"]
+    if rate < minimum:
+        raise ValueError(f"only {rate:.1f}% of the rows are valid, {minimum:.1f}% are required")

@@ -124,9 +124,11 @@ def sessions_by_device(sessions: DataFrame) -> DataFrame:
     return value_counts(sessions, "devices")
 
 
-def sessions_by_quality(sessions: DataFrame) -> DataFrame | None:
-    """None when the session table has no quality column."""
-    return value_counts(sessions, "session_quality") if "session_quality" in sessions.columns else None
+def sessions_by_quality(sessions: DataFrame) -> DataFrame:
+    """Empty when the session table has no quality column."""
+    if "session_quality" not in sessions.columns:
+        sessions = sessions.limit(0).withColumn("session_quality", F.lit(None).cast("string"))
+    return value_counts(sessions, "session_quality")
 
 
 def events_by_source(events: DataFrame) -> DataFrame:

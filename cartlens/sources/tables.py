@@ -6,18 +6,56 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NAMESPACES = ("raw", "staging", "intermediate", "seeds", "analytics")
+NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
 FLAT_TABLES = ("fct_events", "fct_sessions", "fct_daily_metrics", "fct_product_performance")
 
 
 def read_event_files(
     spark: SparkSession, folder: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """All ``events_*.parquet`` of a folder as one table; an error if there is none."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{folder}/events_*.parquet")
+    """All ``events_*.parquet`` of a folder as one table; an error if there is none.
+
+    Without a schema the table has the columns of all files; a row is null in those that its
+    file lacks. Files whose timestamps count nanoseconds are read to the microsecond.
+    """
+    pattern = f"{folder}/events_*.parquet"
+    if schema is not None:
+        return spark.read.schema(schema).parquet(pattern)
+    try:
+        return spark.read.option("mergeSchema", True).parquet(pattern)
+    except AnalysisException as error:
+        if not _counts_nanoseconds(error):
+            raise
+    # file by file: only in those that are refused is a 64-bit number a time
+    files = spark.read.format("binaryFile").load(pattern).select("path").collect()
+    parts = [_read_either(spark, row["path"]) for row in files]
+    # the reading tasks need it as well
+    spark.conf.set(NANOS_AS_LONG, "true")
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part, allowMissingColumns=True)
+    return whole
+
+
+def _counts_nanoseconds(error: AnalysisException) -> bool:
+    return error.getCondition() == "PARQUET_TYPE_ILLEGAL" and "TIMESTAMP(NANOS" in str(error)
+
+
+def _read_either(spark: SparkSession, path: str) -> DataFrame:
+    spark.conf.set(NANOS_AS_LONG, "false")
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if not _counts_nanoseconds(error):
+            raise
+    spark.conf.set(NANOS_AS_LONG, "true")
+    df = spark.read.parquet(path)
+    moment = F.timestamp_micros(F.expr("timestamp div 1000")).cast("timestamp_ntz")
+    return df.withColumn("timestamp", moment) if dict(df.dtypes).get("timestamp") == "bigint" else df
 
 
 def source(spark: SparkSession, namespace: str, table: str) -> DataFrame:

@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 AS_OF = dt.datetime(2024, 1, 31)
 MID_MONTH = dt.datetime(2024, 1, 15)
 
-# Size of the catalogue at the smallest scale factor, so that every product event
-# finds its part at all scale factors.
-SOLD_PRODUCTS = 200
-
 COUNTRIES = ["US", "UK", "DE", "FR"]
 DEVICES = ["mobile", "desktop", "tablet"]
 SOURCES = ["organic", "paid_search", "social", "email", "direct", "referral"]
@@ -28,23 +24,15 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def _dealt_out(df: DataFrame, key: str) -> DataFrame:
-    """A table with fewer read tasks than cores, dealt out to all of them.
-
-    Only tables of a few files are shuffled that way, so the cost stays bounded.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def _pick(position: str, values: list[str]) -> str:
     """SQL for the value at ``position``; null beyond the end of the list."""
     branches = " ".join(f"WHEN {i} THEN '{value}'" for i, value in enumerate(values))
     return f"CASE {position} {branches} END"
 
 
-def _id(prefix: str, text: str, length: int) -> str:
-    return f"concat('{prefix}', upper(substring(md5({text}), 1, {length})))"
+def _id(prefix: str, key: str, length: int) -> str:
+    """SQL for the key in hexadecimal digits: different keys have different ids."""
+    return f"concat('{prefix}', lpad(hex({key}), {length}, '0'))"
 
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,8 +41,10 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def _numbered_events(spark: SparkSession, folder: str) -> DataFrame:
     clicks = _pick("k % 3", ["add_to_cart", "begin_checkout", "remove_from_cart"])
+    parts = read(spark, folder, "part")
+    products = parts.count()  # from the files' footers
     typed = (
-        _dealt_out(read(spark, folder, "events"), "event_id")
+        read(spark, folder, "events")
         .selectExpr("*", "cast(get_json_object(props, '$.k') AS int) AS k")
         .selectExpr(
             "*",
@@ -67,27 +57,22 @@ def _numbered_events(spark: SparkSession, folder: str) -> DataFrame:
             "*",
             f"""CASE WHEN type IN ('product_view', 'add_to_cart', 'remove_from_cart',
                                    'begin_checkout', 'purchase')
-                     THEN (event_id * 7 + k) % {SOLD_PRODUCTS} END AS product_key""",
+                     THEN (event_id * 7 + k) % {products} ELSE -1 - event_id END AS product_key""",
         )
     )
-    # at most SOLD_PRODUCTS rows, whatever the scale factor
-    kinds = (
-        read(spark, folder, "part")
-        .filter(f"p_partkey < {SOLD_PRODUCTS}")
-        .selectExpr("p_partkey AS product_key", "p_type")
-    )
-    user_day = "concat(cast(user_id AS string), '@', cast(to_date(ts) AS string))"
-    return typed.join(F.broadcast(kinds), "product_key", "left").selectExpr(
-        f"{_id('EVT_', 'cast(event_id AS string)', 16)} AS event_id",
+    # events without a product have keys of their own, so that the join spreads them
+    kinds = parts.selectExpr("p_partkey AS product_key", "p_type")
+    return typed.join(kinds, "product_key", "left").selectExpr(
+        f"{_id('EVT_', 'event_id', 16)} AS event_id",
         "type AS event_type",
-        f"{_id('USER_', 'cast(user_id AS string)', 12)} AS user_id",
-        f"{_id('SES_', user_day, 16)} AS session_id",
+        f"{_id('USER_', 'user_id', 12)} AS user_id",
+        f"concat({_id('SES_', 'user_id', 10)}, lpad(hex(unix_date(to_date(ts))), 6, '0')) AS session_id",
         "ts AS timestamp",
         "props AS properties",
         f"{_pick('k % 4', DEVICES)} AS device",
         f"{_pick('user_id % 5', COUNTRIES)} AS country",
         f"{_pick('k % 7', SOURCES)} AS traffic_source",
-        f"{_id('PROD_', 'cast(product_key AS string)', 8)} AS product_id",
+        f"if(product_key >= 0, {_id('PROD_', 'product_key', 8)}, NULL) AS product_id",
         "if(type <> 'remove_from_cart', p_type, NULL) AS category",
         "cast(if(type = 'purchase', value, 0.0D) AS decimal(18,2)) AS revenue",
         "event_id AS number",
@@ -96,7 +81,7 @@ def _numbered_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_products(spark: SparkSession, folder: str) -> DataFrame:
     return read(spark, folder, "part").selectExpr(
-        f"{_id('PROD_', 'cast(p_partkey AS string)', 8)} AS product_id",
+        f"{_id('PROD_', 'p_partkey', 8)} AS product_id",
         "p_name AS product_name",
         "p_type AS category",
         "cast(NULL AS string) AS subcategory",
@@ -113,7 +98,7 @@ def raw_users(spark: SparkSession, folder: str) -> DataFrame:
     return customers.join(
         nations, customers["c_nationkey"] == nations["n_nationkey"], "left"
     ).selectExpr(
-        f"{_id('USER_', 'cast(c_custkey AS string)', 12)} AS user_id",
+        f"{_id('USER_', 'c_custkey', 12)} AS user_id",
         """CASE c_mktsegment WHEN 'BUILDING' THEN 'power_buyer' WHEN 'AUTOMOBILE' THEN 'browser'
                 WHEN 'MACHINERY' THEN 'occasional' WHEN 'HOUSEHOLD' THEN 'new_user' END AS segment""",
         f"{_pick('c_custkey % 4', DEVICES)} AS primary_device",
@@ -142,7 +127,7 @@ def damaged_events(spark: SparkSession, folder: str) -> DataFrame:
         "event_type": {7: F.lit("invalid_type")},
         "user_id": {
             13: F.lit(None),
-            16: F.concat(F.lit("USER_"), F.substring("event_id", 9, 12)),
+            16: F.concat(F.lit("USER_F"), F.substring("event_id", 10, 11)),
         },
         "session_id": {6: F.lit(None)},
         "properties": {4: F.lit("[1]"), 8: F.lit('{"k": '), 14: F.lit('"text"')},
@@ -168,25 +153,25 @@ def damaged_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def damaged_products(spark: SparkSession, folder: str) -> DataFrame:
-    lead = F.substring("product_id", 6, 1)
+    last = F.substring("product_id", -1, 1)
     return raw_products(spark, folder).withColumns(
         {
-            "price": F.when(lead == "0", 0.0).otherwise(F.col("price")),
-            "rating": F.when(lead == "1", 6.0).otherwise(F.col("rating")),
-            "product_name": F.when(lead == "2", "  ").otherwise(F.col("product_name")),
-            "category": F.when(lead == "3", F.lit(None)).otherwise(F.col("category")),
-            "review_count": F.when(lead == "4", -1).otherwise(F.col("review_count")),
+            "price": F.when(last == "0", 0.0).otherwise(F.col("price")),
+            "rating": F.when(last == "1", 6.0).otherwise(F.col("rating")),
+            "product_name": F.when(last == "2", "  ").otherwise(F.col("product_name")),
+            "category": F.when(last == "3", F.lit(None)).otherwise(F.col("category")),
+            "review_count": F.when(last == "4", -1).otherwise(F.col("review_count")),
         }
     )
 
 
 def damaged_users(spark: SparkSession, folder: str) -> DataFrame:
-    lead = F.substring("user_id", 6, 1)
+    last = F.substring("user_id", -1, 1)
     return raw_users(spark, folder).withColumns(
         {
-            "segment": F.when(lead == "0", "invalid_segment").otherwise(F.col("segment")),
-            "lifetime_value": F.when(lead == "1", -5.0).otherwise(F.col("lifetime_value")),
-            "country": F.when(lead == "2", " UK ").otherwise(F.col("country")),
+            "segment": F.when(last == "0", "invalid_segment").otherwise(F.col("segment")),
+            "lifetime_value": F.when(last == "1", -5.0).otherwise(F.col("lifetime_value")),
+            "country": F.when(last == "2", " UK ").otherwise(F.col("country")),
         }
     )
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -11,8 +13,9 @@ from pyspark.sql import functions as F
 from cartlens import schemas
 from cartlens.functions import metrics, values
 from cartlens.plans import dashboard, flat
-from cartlens.plans.job import JobConfig, run_flat_job, run_layered_job
-from cartlens.sources import tables
+from cartlens.operators.validation import validate_events
+from cartlens.plans.job import run_flat_job, run_layered_job
+from cartlens.sources import tables, testbed
 from cartlens.sources.testbed import AS_OF, raw_events, raw_products, raw_users
 from tests.conftest import rows
 
@@ -117,7 +120,7 @@ def test_histogram_and_quality(spark):
     sessions = spark.createDataFrame([(0.0,), (71.9,), (72.0,), (3599.0,), (3600.0,)], "session_duration_seconds double")
     found = dashboard.duration_histogram(sessions)
     assert rows(found, "bin", "sessions") == [(0, 2), (1, 1), (49, 1)]
-    assert dashboard.sessions_by_quality(sessions) is None
+    assert dashboard.sessions_by_quality(sessions).collect() == []
 
 
 def test_metric_expressions(spark):
@@ -200,47 +203,69 @@ def test_catalog_tables_are_replaced(spark):
 def test_flat_job(spark, tmp_path):
     raw = raw_events(spark, SF)
     raw.write.parquet(f"{tmp_path}/in/events_all.parquet")
-    config = JobConfig(f"{tmp_path}/in", f"{tmp_path}/out", AS_OF)
-    done = run_flat_job(spark, config)
-    loaded = tables.load_flat_tables(spark, config.target_dir)
+    places = f"{tmp_path}/in", f"{tmp_path}/out"
+    done = run_flat_job(spark, *places, AS_OF)
+    loaded = tables.load_flat_tables(spark, places[1])
     assert list(loaded) == list(tables.FLAT_TABLES)
-    assert done.records_extracted == done.records_validated == raw.count()
-    assert done.records_loaded == sum(df.count() for df in loaded.values())
-    assert done.end_time is not None and done.duration_seconds > 0
-    assert {issue["check"] for issue in done.quality_issues} >= {"null_rate", "revenue_outliers"}
-    assert spark.table("analytics.fct_sessions").count() == loaded["fct_sessions"].count()
-    assert done.to_frame(spark).first().quality_issues_count == len(done.quality_issues)
+    assert done.loaded == {name: df.count() for name, df in loaded.items()}
+    assert {r["check"] for r in done.issues.collect()} >= {"null_rate", "revenue_outliers"}
+    assert spark.table("analytics.fct_sessions").count() == done.loaded["fct_sessions"]
+    row = done.record(spark).first()
+    assert row.records_extracted == row.records_validated == raw.count()
+    assert row.records_loaded == sum(done.loaded.values()) and row.validity_rate == 100.0
+    assert row.quality_issues_count == done.issues.count() and row.errors_count == 0
+    assert row.duration_seconds > 0 and row.start_time < row.end_time
     # a second run replaces the tables
-    again = run_flat_job(spark, config)
-    assert again.records_loaded == done.records_loaded
-    loaded = tables.load_flat_tables(spark, config.target_dir)
-    assert spark.table("analytics.fct_sessions").count() == loaded["fct_sessions"].count()
+    assert run_flat_job(spark, *places, AS_OF).loaded == done.loaded
+    assert spark.table("analytics.fct_sessions").count() == done.loaded["fct_sessions"]
 
 
 def test_flat_job_stops_at_the_gate(spark, tmp_path, make_events):
     good = [{} for _ in range(8)]
     tables.write_file(make_events(*good, {"device": "tv"}), f"{tmp_path}/in", "events_1")
-    config = JobConfig(f"{tmp_path}/in", f"{tmp_path}/out", AS_OF, catalog=False)
-    with pytest.raises(ValueError, match="88.9% is below threshold 95.0%") as caught:
-        run_flat_job(spark, config)
-    failed = caught.value.metrics
-    assert failed.errors and failed.end_time and failed.records_loaded == 0
-    assert tables.load_flat_tables(spark, config.target_dir) == {}
+    with pytest.raises(ValueError, match="88.9%.*95.0%") as caught:
+        run_flat_job(spark, f"{tmp_path}/in", f"{tmp_path}/out", AS_OF, catalog=False)
+    failed = caught.value.run.record(spark).first()
+    assert (failed.errors_count, failed.records_extracted, failed.records_loaded) == (1, 9, 0)
+    assert tables.load_flat_tables(spark, f"{tmp_path}/out") == {}
 
 
 def test_flat_job_options(spark, tmp_path, make_events):
     warnings: list[str] = []
     later = {"timestamp": "2024-03-01 00:00:00"}
     tables.write_file(make_events(later, {}), f"{tmp_path}/in", "events_1")
-    config = JobConfig(f"{tmp_path}/in", f"{tmp_path}/out", AS_OF, catalog=False)
-    run_flat_job(spark, config, warn=warnings.append)
+    places = f"{tmp_path}/in", f"{tmp_path}/out"
+    run_flat_job(spark, *places, AS_OF, catalog=False, warn=warnings.append)
     assert warnings == ["Found 1 events with future timestamps"]
     # no product events: no product table
-    assert "fct_product_performance" not in tables.load_flat_tables(spark, config.target_dir)
-    unchecked = JobConfig(
-        f"{tmp_path}/in", f"{tmp_path}/out", AS_OF, quality_checks=False, catalog=False
-    )
-    assert run_flat_job(spark, unchecked).quality_issues == []
+    assert "fct_product_performance" not in tables.load_flat_tables(spark, places[1])
+    assert run_flat_job(spark, *places, AS_OF, quality_checks=False, catalog=False).issues is None
+
+
+def test_files_with_different_columns(spark, tmp_path, make_events):
+    folder = f"{tmp_path}/in"
+    tables.write_file(make_events({"event_type": "purchase", "revenue": 5.0}), folder, "events_1")
+    tables.write_file(make_events({}, {}).drop("revenue"), folder, "events_2")
+    tables.write_file(make_events({}).drop("session_id"), folder, "events_3")
+    events = tables.read_event_files(spark, folder)
+    assert sorted(events.columns) == sorted(make_events({}).columns)
+    figures = validate_events(events).result().first()
+    assert (figures.total_records, figures.valid_records) == (4, 1)
+
+
+def test_files_with_nanoseconds(spark, tmp_path, make_events):
+    folder = tmp_path / "in"
+    tables.write_file(make_events({"timestamp": "2024-01-03 00:00:01"}), str(folder), "events_1")
+    moments = pa.array([1_704_067_200_123_456_789, 1_704_153_600_000_000_000], pa.timestamp("ns"))
+    columns = {"event_id": ["EVT_00000000000000A1", "EVT_00000000000000A2"], "timestamp": moments}
+    pq.write_table(pa.table(columns), folder / "events_2.parquet", version="2.6")
+    found = tables.read_event_files(spark, str(folder)).select("timestamp").collect()
+    assert sorted(str(r.timestamp) for r in found) == [
+        "2024-01-01 00:00:00.123456",
+        "2024-01-02 00:00:00",
+        "2024-01-03 00:00:01",
+    ]
+    spark.conf.set(tables.NANOS_AS_LONG, "false")
 
 
 def test_layered_job(spark, tmp_path):
@@ -257,3 +282,9 @@ def test_layered_job(spark, tmp_path):
         assert spark.table(f"analytics.{name}").count() == models[name].count() > 0
     assert spark.table("intermediate.int_sessions").count() == models["int_sessions"].count()
     assert spark.table("int_user_journey").count() == models["int_user_journey"].count()
+
+
+def test_keys_and_ids_go_together(spark):
+    ids = spark.range(2_000_000).selectExpr(testbed._id("PROD_", "id", 8) + " AS product_id")
+    assert ids.distinct().count() == 2_000_000
+    assert ids.where(~F.col("product_id").rlike(schemas.PRODUCT_ID)).isEmpty()

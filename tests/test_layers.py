@@ -198,7 +198,7 @@ def test_events_without_a_session_form_one_per_user(make_events):
     found = sessions_of(make_events, {"session_id": None}, {"session_id": None}, {"user_id": "U2"})
     assert sorted(rows(found, "user_id", "total_events", "unique_event_types")) == [
         ("U2", 1, 1),
-        ("USER_ABC123DEF456", 2, 1),
+        ("USER_0000000000B7", 2, 1),
     ]
 
 
@@ -326,7 +326,7 @@ def test_user_scores_and_statuses(spark, make_events):
 )
 def test_value_tiers(spark, make_events, amounts, tier, buyer):
     events = make_events(*[{"event_type": "purchase", "revenue": a} for a in amounts])
-    users = spark.createDataFrame([("USER_ABC123DEF456", *[None] * 8)], schemas.USERS)
+    users = spark.createDataFrame([("USER_0000000000B7", *[None] * 8)], schemas.USERS)
     found = dimensions.dim_users(
         staging.stg_users(users, AS_OF),
         intermediate.int_sessions(staging.stg_events(events, AS_OF)),

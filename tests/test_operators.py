@@ -10,7 +10,6 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cartlens.functions.metrics import quintile
 from cartlens.operators.ranking import continuous_percentiles, with_ntile
 from cartlens.operators.rollup import distinct_counts, with_distinct_counts
 from cartlens.operators.sessionize import gap_sessions, with_gap_sessions
@@ -46,11 +45,6 @@ def test_ntile_puts_nulls_first(spark):
     assert sorted(map(str, ours)) == sorted(map(str, plain))
 
 
-def test_quintile_expression(spark):
-    df = spark.range(10).withColumn("q", quintile("id"))
-    assert [r.q for r in df.orderBy("id").collect()] == [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
-
-
 @pytest.mark.parametrize("size", [1, 2, 10, 997])
 def test_percentiles_interpolate(spark, size):
     random.seed(size)

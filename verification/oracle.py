@@ -20,7 +20,11 @@ def _when(position: str, values: list[str]) -> str:
     return f"CASE {position} {branches} END"
 
 
-def _key(prefix: str, text: str, length: int) -> str:
+def _key(prefix: str, number: str, length: int) -> str:
+    return f"'{prefix}' || printf('%0{length}X', ({number})::BIGINT)"
+
+
+def _digest_key(prefix: str, text: str, length: int) -> str:
     return f"'{prefix}' || upper(substr(md5({text}), 1, {length}))"
 
 
@@ -197,19 +201,19 @@ def _assertions(table: str, source: str) -> str:
 
 SUB: dict[str, str] = {
     "ev_numbered": f"""
-SELECT {_key("EVT_", "number::VARCHAR", 16)} AS event_id, event_type,
-       {_key("USER_", "u::VARCHAR", 12)} AS user_id,
-       {_key("SES_", "u::VARCHAR || '@' || strftime(ts, '%Y-%m-%d')", 16)} AS session_id,
+SELECT {_key("EVT_", "number", 16)} AS event_id, event_type,
+       {_key("USER_", "u", 12)} AS user_id,
+       {_key("SES_", "u", 10)} || printf('%06X', ts::DATE - DATE '1970-01-01') AS session_id,
        ts AS timestamp, props AS properties, {_when("k % 4", DEVICES)} AS device,
        {_when("u % 5", COUNTRIES)} AS country, {_when("k % 7", SOURCES)} AS traffic_source,
-       {_key("PROD_", "p::VARCHAR", 8)} AS product_id,
+       {_key("PROD_", "p", 8)} AS product_id,
        CASE WHEN event_type <> 'remove_from_cart' THEN p_type END AS category,
        (CASE WHEN event_type = 'purchase' THEN value ELSE 0 END)::DECIMAL(18,2) AS revenue,
        number
 FROM (
   SELECT *, CASE WHEN event_type IN ('product_view', 'add_to_cart', 'remove_from_cart',
                                      'begin_checkout', 'purchase')
-                 THEN (number * 7 + k) % 200 END AS p
+                 THEN (number * 7 + k) % (SELECT count(*) FROM part) END AS p
   FROM (
     SELECT number, u, ts, value, props, k,
            CASE kind WHEN 'view' THEN if(k < 50, 'page_view', 'product_view')
@@ -222,7 +226,7 @@ LEFT JOIN part ON p_partkey = p""",
     "ev_damaged": f"""
 SELECT {_damage("event_id", {0: "lower(event_id)", 3: "chr(32) || chr(9) || event_id || chr(10)"})},
        {_damage("event_type", {7: "'invalid_type'"})},
-       {_damage("user_id", {13: "NULL", 16: "'USER_' || substr(event_id, 9, 12)"})},
+       {_damage("user_id", {13: "NULL", 16: "'USER_F' || substr(event_id, 10, 11)"})},
        {_damage("session_id", {6: "NULL"})}, timestamp,
        {_damage("properties", {4: "'[1]'", 8: "'{\"k\": '", 14: "'\"text\"'"})},
        {_damage("device", {2: "' mobile '"})},
@@ -232,13 +236,13 @@ SELECT {_damage("event_id", {0: "lower(event_id)", 3: "chr(32) || chr(9) || even
        {_damage("revenue", {1: "-1.00", 10: "100000.01", 15: "NULL"})}
 FROM ev_numbered""",
     "prod": f"""
-SELECT {_key("PROD_", "p_partkey::VARCHAR", 8)} AS product_id, p_name AS product_name,
+SELECT {_key("PROD_", "p_partkey", 8)} AS product_id, p_name AS product_name,
        p_type AS category, NULL::VARCHAR AS subcategory, p_retailprice * p_size / 50.0 AS price,
        p_brand AS brand, p_size / 10.0::DOUBLE AS rating, p_partkey % 5000 AS review_count,
        p_partkey % 10 <> 0 AS in_stock
 FROM part""",
     "usr": f"""
-SELECT {_key("USER_", "c_custkey::VARCHAR", 12)} AS user_id,
+SELECT {_key("USER_", "c_custkey", 12)} AS user_id,
        CASE c_mktsegment WHEN 'BUILDING' THEN 'power_buyer' WHEN 'AUTOMOBILE' THEN 'browser'
             WHEN 'MACHINERY' THEN 'occasional' WHEN 'HOUSEHOLD' THEN 'new_user' END AS segment,
        {_when("c_custkey % 4", DEVICES)} AS primary_device,
@@ -544,6 +548,10 @@ SELECT event_id, unnest(list_filter([
        ], lambda code: code IS NOT NULL)) AS rule
 FROM valid""",
     "good": "SELECT * FROM valid WHERE event_id NOT IN (SELECT event_id FROM broken)",
+    # late rows lack their revenue and are refused; early ones have no device that could be wrong
+    "good_mixed": f"""
+SELECT * FROM valid WHERE timestamp < {MID_MONTH}
+  AND event_id NOT IN (SELECT event_id FROM broken WHERE rule <> 'device')""",
     "copies": "SELECT * FROM ev UNION ALL SELECT * FROM ev WHERE event_type = 'purchase'",
     "copies_damaged": (
         "SELECT * FROM ev_damaged UNION ALL SELECT * FROM ev_damaged WHERE event_type = 'purchase'"
@@ -618,7 +626,7 @@ FROM (SELECT event_id, user_id, timestamp,
                 timestamp, NULL) AS opened
       FROM ev WINDOW mine AS (PARTITION BY user_id ORDER BY timestamp))"""
 SUB["gap_named"] = f"""
-SELECT *, {_key("SES_", "user_id || '@' || strftime(session_start, '%Y-%m-%d %H:%M:%S.%f')", 16)}
+SELECT *, {_digest_key("SES_", "user_id || '@' || strftime(session_start, '%Y-%m-%d %H:%M:%S.%f')", 16)}
          AS session_id
 FROM gap_events"""
 SUB["issues"] = _issues("copies", MID_MONTH, 1000)
@@ -782,7 +790,9 @@ SELECT strftime(date, '%Y-%m-%d') AS date, strftime(date, '%Y%m%d')::INTEGER AS
        isodow(date) > 5 AS is_weekend, day(date) = 1 AS is_month_start,
        date = last_day(date) AS is_month_end
 FROM order_days"""),
-    "date_range": _out("order_days", "date"),
+    "date_range": _chain("""
+SELECT kind, strftime(date, '%Y-%m-%d') AS date
+FROM order_days, (VALUES ('end'), ('days'), ('as_of')) AS kinds(kind)"""),
     "validate_events": _out("good", *_EVENT_FORMS),
     "validate_events_errors": _chain("""
 SELECT 'ValidationError' AS error_class, rule, count(*) AS errors FROM broken GROUP BY rule
@@ -798,17 +808,17 @@ WHERE position <= 5"""),
 SELECT product_id, product_name, category, subcategory, round(price, 6) AS price, brand,
        round(rating, 6) AS rating, review_count, in_stock
 FROM prod
-WHERE product_id[6] NOT IN ('0', '1', '2', '3', '4') AND length(product_name) BETWEEN 1 AND 200
+WHERE product_id[-1] NOT IN ('0', '1', '2', '3', '4') AND length(product_name) BETWEEN 1 AND 200
   AND length(category) BETWEEN 1 AND 100 AND price > 0 AND price <= 100000
   AND rating BETWEEN 0 AND 5 AND review_count >= 0"""),
     "validate_users": _chain("""
 SELECT user_id, segment, primary_device, traffic_source,
-       if(user_id[6] = '2', 'UK', country) AS country, city,
+       if(user_id[-1] = '2', 'UK', country) AS country, city,
        strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') AS created_at, is_subscribed,
        round(lifetime_value, 6) AS lifetime_value
 FROM usr
-WHERE user_id[6] NOT IN ('0', '1') AND segment IS NOT NULL AND primary_device IS NOT NULL
-  AND traffic_source IS NOT NULL AND (country IS NOT NULL OR user_id[6] = '2')"""),
+WHERE user_id[-1] NOT IN ('0', '1') AND segment IS NOT NULL AND primary_device IS NOT NULL
+  AND traffic_source IS NOT NULL AND (country IS NOT NULL OR user_id[-1] = '2')"""),
     "validity_rate": _chain("""
 SELECT total AS total_records, fine AS valid_records, total - fine AS invalid_records,
        round(fine::DOUBLE / total * 100, 6) AS validity_rate
@@ -971,6 +981,13 @@ SELECT o_orderkey AS order_key, o_orderstatus AS order_state_status,
        o_custkey AS customer
 FROM orders""",
     "batch_job_daily_metrics": "",
+    "batch_job_mixed_files": "",
+    "batch_job_metrics": _chain("""
+SELECT extracted AS records_extracted, validated AS records_validated,
+       round(100.0::DOUBLE * validated / extracted, 6) AS validity_rate, 0::BIGINT AS errors_count
+FROM (SELECT (SELECT count(*) FROM valid) AS extracted, (SELECT count(*) FROM good) AS validated)"""),
 }
 SUB["fdm_good"] = _daily("good")
+SUB["fdm_mixed"] = _daily("good_mixed")
 ORACLE["batch_job_daily_metrics"] = _out("fdm_good", *_DAILY_FORMS)
+ORACLE["batch_job_mixed_files"] = _out("fdm_mixed", *_DAILY_FORMS)

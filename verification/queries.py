@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from cartlens.functions import metrics, values
 from cartlens.operators import assertions, quality, ranking, sessionize, validation
 from cartlens.plans import calendar, dashboard, dimensions, facts, flat, intermediate, staging
-from cartlens.plans.job import JobConfig, layered_models, run_flat_job
+from cartlens.plans.job import layered_models, run_flat_job
 from cartlens.session import configure, durable, shared_folder
 from cartlens.sources import testbed
 from cartlens.sources.tables import read_file
@@ -195,7 +195,7 @@ def _revenue_gap(t: Tables) -> DataFrame:
 
 def _orphans(t: Tables) -> DataFrame:
     sessions = intermediate.int_sessions(staging.stg_events(t.damaged, AS_OF))
-    return assertions.orphan_session_users(sessions, t.dim_users)
+    return assertions.orphan_session_users(sessions, t.stg_users)
 
 
 def _macro_rates(t: Tables) -> DataFrame:
@@ -258,17 +258,58 @@ def _flatten(t: Tables) -> DataFrame:
     return values.flatten_record(nested)
 
 
+def _batch_folder(t: Tables) -> str:
+    return f"{shared_folder(t.spark)}/batch-{uuid.uuid4().hex}"
+
+
+def _run_batch(t: Tables, folder: str, least: float = 90.0):
+    return run_flat_job(
+        t.spark, f"{folder}/in", f"{folder}/out", AS_OF, least, catalog=False, warn=lambda message: None
+    )
+
+
 def _batch_job(t: Tables) -> DataFrame:
     """Event files through validation, gate and load; the daily table read back."""
-    folder = f"{shared_folder(t.spark)}/batch-{uuid.uuid4().hex}"
+    folder = _batch_folder(t)
     t.damaged.write.parquet(f"{folder}/in/events_all.parquet")
-    config = JobConfig(
-        f"{folder}/in", f"{folder}/out", AS_OF, min_validity_rate=90.0, catalog=False
-    )
-    run_flat_job(t.spark, config, warn=lambda message: None)
+    _run_batch(t, folder)
+    return read_file(t.spark, f"{folder}/out", "fct_daily_metrics")
+
+
+def _batch_mixed(t: Tables) -> DataFrame:
+    """The same from files that lack a column each: what a file has must not be lost."""
+    folder = _batch_folder(t)
+    late = F.col("timestamp") >= F.lit(MID_MONTH)
+    t.damaged.filter(late).drop("revenue").write.parquet(f"{folder}/in/events_1.parquet")
+    t.damaged.filter(~late).drop("device").write.parquet(f"{folder}/in/events_2.parquet")
+    _run_batch(t, folder, least=0.0)
     return read_file(t.spark, f"{folder}/out", "fct_daily_metrics")
 
 
+def _batch_metrics(t: Tables) -> DataFrame:
+    """The run's record, without its times."""
+    folder = _batch_folder(t)
+    t.damaged.write.parquet(f"{folder}/in/events_all.parquet")
+    return _run_batch(t, folder).record(t.spark).select(
+        "records_extracted", "records_validated", "validity_rate", "errors_count"
+    )
+
+
+def _date_range(t: Tables) -> DataFrame:
+    """The days of the orders by their end, by their number, and up to a moment."""
+    first, last = t.order_days.first()
+    ranges = {
+        "end": calendar.date_range(t.spark, first, end=last),
+        "days": calendar.date_range(t.spark, first, days=(last - first).days),
+        "as_of": calendar.date_range(t.spark, first, as_of=last),
+    }
+    whole = None
+    for kind, days in ranges.items():
+        part = days.select(F.lit(kind).alias("kind"), "date")
+        whole = part if whole is None else whole.unionByName(part)
+    return whole
+
+
 def _staged(events: DataFrame, as_of) -> DataFrame:
     return staging.stg_events(events, as_of).drop("_loaded_at")
 
@@ -303,7 +344,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
         "event_id", "user_id", "timestamp", "session_id"
     ),
     "calendar_iso": lambda t: calendar.calendar_iso(t.order_days),
-    "date_range": lambda t: calendar.days_between(t.order_days),
+    "date_range": _date_range,
     "validate_events": lambda t: validation.validate_events(t.damaged).valid,
     "validate_events_errors": lambda t: validation.validate_events(t.damaged).error_summary(),
     "validate_events_samples": _samples,
@@ -345,6 +386,8 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "safe_json": _safe_json,
     "flatten_struct": _flatten,
     "batch_job_daily_metrics": _batch_job,
+    "batch_job_mixed_files": _batch_mixed,
+    "batch_job_metrics": _batch_metrics,
 }
 
 
