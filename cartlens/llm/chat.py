@@ -79,41 +79,43 @@ def paths(messages: DataFrame) -> DataFrame:
     rows = rows.join(known, ["tree", "parent"], "left")
     leaves = rows.select("tree", "parent").where("parent is not null").distinct()
     leaves = leaves.select("tree", F.col("parent").alias("message"), F.lit(True).alias("answered"))
-    current = stored(
-        rows.join(leaves, ["tree", "message"], "left").select(
-            "tree",
-            "message",
-            F.when(F.col("known"), F.col("parent")).alias("before"),
-            F.array("message").alias("path"),
-            F.col("score").alias("total"),
-            F.col("answered").isNull().alias("leaf"),
-        )
+    single = rows.join(leaves, ["tree", "message"], "left").select(
+        "tree",
+        "message",
+        F.when(F.col("known"), F.col("parent")).alias("before"),
+        F.array("message").alias("path"),
+        F.col("score").alias("total"),
+        F.col("answered").isNull().alias("leaf"),
     )
+    current = stored(single)
+    rooted, open_ = current.where("before is null"), current.where("before is not null")
     left = None
     while True:
         # while there is a path to a root, some path reaches it in each round; what remains are cycles
-        still = current.where("before is not null").count()
+        still = open_.count()
         if not still or still == left:
             break
         left = still
-        upper = current.select(
+        upper = rooted.unionByName(open_).select(
             "tree",
             F.col("message").alias("before"),
             F.col("before").alias("above"),
             F.col("path").alias("head"),
             F.col("total").alias("head_total"),
         )
-        current = stored(
-            current.join(upper, ["tree", "before"], "left").select(
-                "tree",
-                "message",
-                F.col("above").alias("before"),
-                F.when(F.col("head").isNull(), F.col("path")).otherwise(F.concat("head", "path")).alias("path"),
-                (F.col("total") + F.coalesce("head_total", F.lit(0.0))).alias("total"),
-                "leaf",
-            )
+        # paths that have reached their root are not joined again
+        longer = open_.join(upper, ["tree", "before"]).select(
+            "tree",
+            "message",
+            F.col("above").alias("before"),
+            F.concat("head", "path").alias("path"),
+            (F.col("total") + F.col("head_total")).alias("total"),
+            "leaf",
         )
-    done = current.where("leaf and before is null")
+        current = stored(longer)
+        rooted = rooted.unionByName(current.where("before is null"))
+        open_ = current.where("before is not null")
+    done = rooted.where("leaf")
     return done.select("tree", F.col("message").alias("leaf"), "path", (F.col("total") / F.size("path")).alias("score"))
 
 
