@@ -46,9 +46,10 @@ def is_json_record(column: Column | str) -> Column:
     shape = text.rlike(r"""(?s)\A[ \t\r\n]*(\{.*\}|".*")[ \t\r\n]*\z""")
     # the words stand where a value may stand; inside a text they change nothing that matters here
     finite = F.regexp_replace(text, r"([:,\[]\s*)(?:NaN|-?Infinity)(?=\s*[,\]}])", "$10")
-    plain = F.size(_json_values(text)) == 1
-    loose = text.rlike("NaN|Infinity") & (F.size(_json_values(finite)) == 1)
-    return F.coalesce(shape & (F.coalesce(plain, F.lit(False)) | F.coalesce(loose, F.lit(False))), F.lit(False))
+    # only texts with such a word are parsed a second time
+    loose = F.when(text.rlike("NaN|Infinity"), F.size(_json_values(finite)) == 1)
+    passes = F.when(F.size(_json_values(text)) == 1, F.lit(True)).otherwise(loose)
+    return F.coalesce(shape & passes, F.lit(False))
 
 
 def json_or_empty(column: Column | str) -> Column:
