@@ -40,8 +40,8 @@ def not_null(*columns: str) -> list[Assertion]:
     return [Assertion(column, "not_null") for column in columns]
 
 
-def unique(column: str) -> list[Assertion]:
-    return [Assertion(column, "unique")]
+def unique(*columns: str) -> list[Assertion]:
+    return [Assertion(column, "unique") for column in columns]
 
 
 def accepted(column: str, values: list[str]) -> list[Assertion]:
@@ -173,16 +173,20 @@ DECLARED: dict[str, list[Assertion]] = {
 
 
 def violations(df: DataFrame, table: str, assertions: list[Assertion] | None = None) -> DataFrame:
-    """Number of violations of every assertion of one table, in a single pass.
+    """Number of violations of every assertion of one table.
 
-    Row assertions are counted; a unique column adds a grouping by that column
-    first, over which the row counts are summed, and counts repeated values.
+    Row assertions are counted in one pass; a unique column adds a grouping by that column
+    first, over which the row counts are summed, and counts repeated values. Each further
+    unique column is a grouping of its own.
     """
     assertions = DECLARED[table] if assertions is None else assertions
     uniques = [a for a in assertions if a.test == "unique"]
-    if len(uniques) > 1:
-        raise ValueError("one unique column per table")
     rows = [a for a in assertions if a.test != "unique"]
+    if len(uniques) > 1:
+        found = violations(df, table, rows + uniques[:1])
+        for other in uniques[1:]:
+            found = found.unionByName(violations(df, table, [other]))
+        return found
     counted = [F.count_if(a.broken()).alias(f"v{i}") for i, a in enumerate(rows)]
     if uniques:
         key = uniques[0].column

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from cartlens.operators import quality
+from cartlens.operators import assertions, quality
 from tests.conftest import AS_OF
 
 
@@ -82,3 +82,10 @@ def test_report_orders_by_severity(sample):
     assert lines == [("all", "totals"), ("high", "duplicates"), ("medium", "null_rate")]
     assert quality.high_severity(issues).count() == 1
     assert quality.report(events, issues).first().message == "Total records: 4, issues found: 2"
+
+
+def test_any_number_of_unique_columns(spark):
+    df = spark.createDataFrame([(1, "a", 1), (2, "a", 1), (2, None, 3), (None, None, 4)], "x int, y string, z int")
+    declared = [*assertions.unique("x", "y", "z"), *assertions.not_null("y")]
+    found = {(r.column_name, r.test): r.violations for r in assertions.violations(df, "t", declared).collect()}
+    assert found == {("x", "unique"): 1, ("y", "unique"): 1, ("z", "unique"): 1, ("y", "not_null"): 2}
