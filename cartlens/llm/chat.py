@@ -1,18 +1,22 @@
 """Chat formatting of reply trees.
 
-Messages know their parent. Paths from roots to leaves are found by self-joins that double
-their length: each round puts before a path that starts at a message the path that ends at
-its parent, so a thread of n replies takes log2(n) rounds, each written to the shared folder.
-Paths carry message numbers only. The leaves' paths are ranked inside their tree by score and
-the chosen ones get their texts by one join and are formatted.
+Messages know their parent. Self-joins climb from every message at once and double their reach:
+round k knows the ancestor 2^k replies above and the score on the way to it, so a thread of n
+replies takes log2(n) rounds, each a row per message written to the shared folder. That gives
+each leaf the length and the score of its branch. Leaves are ranked inside their tree by score,
+and only the chosen ones are walked: the rounds joined from the last to the first reach each
+ancestor once. So a thread of any length is rows, never an array per message; its turns meet
+when the conversation is written.
 
 The template marks turns with control strings that start with ``<`` or ``[``. In texts and
 role names these two characters and the backslash are written as escapes, so no text can hold
 a control string and the original is read back exactly. Assistant turns are under the loss mask.
 
 Cases: null texts and roles are empty; messages whose parent is missing are roots; messages in
-a cycle belong to no path; ties in score go to the smaller message number; repeated rows are
-messages of their own in ``turns_as_messages``. Only the named columns are read.
+a cycle, and those without a tree or a number, belong to no path; of rows with the same tree
+and number the smallest parent, score and turn count; ties in score go to the smaller message
+number. In ``turns_as_messages`` repeated rows are messages of their own and rows without a
+conversation form one. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cartlens.llm.common import stored
+from cartlens.llm.common import NO_ID, shown_id, stored
 
 #: Written for the three characters that texts may not hold: backslash first.
 ESCAPES = [("\\", "\\b"), ("<", "\\l"), ("[", "\\s")]
@@ -68,55 +72,97 @@ def read_turns(formatted: Column) -> Column:
     return F.transform(turns, parsed)
 
 
-def paths(messages: DataFrame) -> DataFrame:
-    """A row per leaf: tree, leaf, path (message numbers from the root), score of the branch.
+def climbed(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Every branch's end, and the jumps that lead up it.
 
-    ``messages`` has tree, message, parent (null for roots) and score. A branch scores the mean
-    of its messages.
+    ``messages`` has tree, message, parent (null for roots) and score. The first result has
+    tree, message, leaf (nobody answers the message), total and size of the branch up to its
+    root. Jump k has tree, message and before, the ancestor 2^k replies above.
     """
-    rows = messages.select("tree", "message", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
+    numbered = messages.where("tree is not null and message is not null")
+    given = F.struct("parent", F.coalesce("score", F.lit(0.0)).alias("score"))
+    rows = numbered.groupBy("tree", "message").agg(F.min(given).alias("given")).select("tree", "message", "given.*")
     known = rows.select("tree", F.col("message").alias("parent"), F.lit(True).alias("known"))
-    rows = rows.join(known, ["tree", "parent"], "left")
-    leaves = rows.select("tree", "parent").where("parent is not null").distinct()
-    leaves = leaves.select("tree", F.col("parent").alias("message"), F.lit(True).alias("answered"))
-    single = rows.join(leaves, ["tree", "message"], "left").select(
-        "tree",
-        "message",
-        F.when(F.col("known"), F.col("parent")).alias("before"),
-        F.array("message").alias("path"),
-        F.col("score").alias("total"),
-        F.col("answered").isNull().alias("leaf"),
+    answered = rows.where("parent is not null").select("tree", F.col("parent").alias("message")).distinct()
+    single = (
+        rows.join(known, ["tree", "parent"], "left")
+        .join(answered.withColumn("answered", F.lit(True)), ["tree", "message"], "left")
+        .select(
+            "tree",
+            "message",
+            F.when(F.col("known"), F.col("parent")).alias("before"),
+            F.col("score").alias("total"),
+            F.lit(1).cast("long").alias("size"),
+            F.col("answered").isNull().alias("leaf"),
+        )
     )
     current = stored(single)
     rooted, open_ = current.where("before is null"), current.where("before is not null")
+    jumps: list[DataFrame] = []
     left = None
     while True:
-        # while there is a path to a root, some path reaches it in each round; what remains are cycles
+        # while there is a way to a root, some message reaches it in each round; what remains are cycles
         still = open_.count()
         if not still or still == left:
             break
         left = still
+        jumps.append(open_.select("tree", "message", "before"))
         upper = rooted.unionByName(open_).select(
             "tree",
             F.col("message").alias("before"),
             F.col("before").alias("above"),
-            F.col("path").alias("head"),
-            F.col("total").alias("head_total"),
+            F.col("total").alias("upper_total"),
+            F.col("size").alias("upper_size"),
         )
-        # paths that have reached their root are not joined again
+        # messages that have reached their root are not joined again
         longer = open_.join(upper, ["tree", "before"]).select(
             "tree",
             "message",
             F.col("above").alias("before"),
-            F.concat("head", "path").alias("path"),
-            (F.col("total") + F.col("head_total")).alias("total"),
+            (F.col("total") + F.col("upper_total")).alias("total"),
+            (F.col("size") + F.col("upper_size")).alias("size"),
             "leaf",
         )
         current = stored(longer)
         rooted = rooted.unionByName(current.where("before is null"))
         open_ = current.where("before is not null")
-    done = rooted.where("leaf")
-    return done.select("tree", F.col("message").alias("leaf"), "path", (F.col("total") / F.size("path")).alias("score"))
+    return rooted.drop("before"), jumps
+
+
+def branches_of(ends: DataFrame) -> DataFrame:
+    """A row per leaf: tree, leaf, score. A branch scores the mean of its messages."""
+    return ends.where("leaf").select(
+        "tree", F.col("message").alias("leaf"), (F.col("total") / F.col("size")).alias("score")
+    )
+
+
+def walked(chosen: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """The messages of the chosen branches, a row each: height counts from the leaf.
+
+    ``chosen`` has tree and leaf; its other columns are kept. An ancestor's height, written in
+    powers of two, tells the one way to it.
+    """
+    steps = chosen.withColumns({"message": F.col("leaf"), "height": F.lit(0).cast("long")})
+    for k in reversed(range(len(jumps))):
+        here = F.struct("message", "height")
+        above = F.struct(F.col("before").alias("message"), (F.col("height") + 2**k).alias("height"))
+        both = F.when(F.col("before").isNull(), F.array(here)).otherwise(F.array(here, above))
+        steps = (
+            steps.join(jumps[k], ["tree", "message"], "left")
+            .select("tree", *(x for x in chosen.columns if x != "tree"), F.explode(both).alias("step"))
+            .select("*", "step.message", "step.height")
+            .drop("step")
+        )
+    return steps
+
+
+def paths(messages: DataFrame) -> DataFrame:
+    """A row per leaf: tree, leaf, path (message numbers from the root), score of the branch."""
+    ends, jumps = climbed(messages)
+    steps = walked(branches_of(ends), jumps)
+    path = F.sort_array(F.collect_list(F.struct((-F.col("height")).alias("at"), "message")))
+    whole = steps.groupBy("tree", "leaf", "score").agg(path.alias("path"))
+    return whole.select("tree", "leaf", F.transform("path", lambda x: x["message"]).alias("path"), "score")
 
 
 def conversations_of(messages: DataFrame, branches: int = 1) -> DataFrame:
@@ -125,9 +171,10 @@ def conversations_of(messages: DataFrame, branches: int = 1) -> DataFrame:
     ``messages`` has tree, message, parent, role, text and score. Columns: tree, rank, score,
     leaf, formatted.
     """
+    ends, jumps = climbed(messages)
     by_score = Window.partitionBy("tree").orderBy(F.desc("score"), "leaf")
-    ranked = paths(messages).withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= branches)
-    steps = ranked.select("tree", "rank", "score", "leaf", F.posexplode("path").alias("step", "message"))
+    ranked = branches_of(ends).withColumn("rank", F.row_number().over(by_score))
+    steps = walked(ranked.where(F.col("rank") <= branches), jumps)
     texts = messages.select(
         "tree",
         "message",
@@ -137,12 +184,18 @@ def conversations_of(messages: DataFrame, branches: int = 1) -> DataFrame:
     )
     turns = steps.join(texts, ["tree", "message"])
     whole = turns.groupBy("tree", "rank", "score", "leaf").agg(
-        F.sort_array(F.collect_list(F.struct("step", "turn"))).alias("turns")
+        F.sort_array(F.collect_list(F.struct((-F.col("height")).alias("at"), "turn"))).alias("turns")
     )
-    formatted = F.array_join(F.transform("turns", lambda x: x["turn"]), "")
+    # of repeated message numbers the first turn counts
+    formatted = F.array_join(F.transform(_first_of_each("turns"), lambda x: x["turn"]), "")
     return whole.select("tree", "rank", "score", "leaf", formatted.alias("formatted"))
 
 
+def _first_of_each(turns: str) -> Column:
+    """Of sorted turns, the first at each place."""
+    return F.filter(turns, lambda x, i: (i == 0) | (F.get(turns, F.greatest(i - 1, F.lit(0)))["at"] != x["at"]))
+
+
 def turns_as_messages(conversations: DataFrame) -> DataFrame:
     """Conversations (conv_id, turn, role, text) as trees: each turn answers the one before.
 
@@ -150,7 +203,7 @@ def turns_as_messages(conversations: DataFrame) -> DataFrame:
     """
     order = Window.partitionBy("tree").orderBy("turn", "role", "text")
     rows = conversations.select(
-        F.col("conv_id").alias("tree"), "turn", "role", F.coalesce("text", F.lit("")).alias("text")
+        F.coalesce(F.col("conv_id").cast("long"), F.lit(NO_ID)).alias("tree"), "turn", "role", F.coalesce("text", F.lit("")).alias("text")
     ).withColumn("message", F.row_number().over(order))
     return rows.select(
         "tree",
@@ -172,7 +225,7 @@ def digests(formatted: DataFrame) -> DataFrame:
     replies = F.transform(F.filter("turns", lambda x: x["role"] == ASSISTANT), lambda x: x["text"])
     masked = turns.select("*", F.array_join(parts, "").alias("whole"), F.array_join(replies, "").alias("masked"))
     return masked.select(
-        F.col("tree").alias("conv_id"),
+        shown_id("tree").alias("conv_id"),
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2("whole", 256).alias("turns_sha256"),
         F.length("masked").cast("long").alias("loss_chars"),

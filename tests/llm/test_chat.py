@@ -96,5 +96,27 @@ def test_repeated_turns_and_empty_table(spark):
     rows = [(1, 0, "user", "b", "x"), (1, 0, "user", "a", "x"), (1, 0, "user", "a", "x"), (None, 0, "user", "z", "x")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, tree string")
     got = digested(chat.digests(chat.conversations_of(chat.turns_as_messages(df))))
-    assert got[1] == plain([("user", "a"), ("user", "a"), ("user", "b")])
+    assert got == {1: plain([("user", "a"), ("user", "a"), ("user", "b")]), None: plain([("user", "z")])}
     assert chat.digests(chat.conversations_of(chat.turns_as_messages(df.limit(0)))).collect() == []
+
+
+def test_repeated_message_numbers_and_missing_keys(spark):
+    rows = [(1, 1, None, "user", "root", 1.0, "x")] * 3
+    rows += [(1, 2, 1, "assistant", "b", 1.0, "x"), (1, 2, 1, "assistant", "a", 1.0, "x"), (1, 3, 2, "user", "end", None, "x")]
+    rows += [(None, 1, None, "user", "no tree", 1.0, "x"), (2, None, None, "user", "no number", 1.0, "x")]
+    df = spark.createDataFrame(rows, MESSAGES)
+    assert [(r["tree"], r["leaf"], r["path"]) for r in chat.paths(df).collect()] == [(1, 3, [1, 2, 3])]
+    found = chat.conversations_of(df, 5).collect()
+    assert [(r["tree"], r["rank"], r["leaf"]) for r in found] == [(1, 1, 3)]
+    assert found[0]["formatted"] == "[INST] root</s>[REPLY] a</s>[INST] end</s>"
+
+
+def test_a_long_thread_takes_few_rows(spark):
+    """A row per message and round, however long the thread is."""
+    df = spark.range(3000).selectExpr("1L tree", "id message", "if(id = 0, null, id - 1) parent", "1.0D score")
+    ends, jumps = chat.climbed(df)
+    assert len(jumps) == 12
+    assert (ends.count(), ends.where("leaf").count()) == (3000, 1)
+    steps = chat.walked(chat.branches_of(ends), jumps)
+    assert steps.where("message + height <> 2999").count() == 0
+    assert steps.count() == 3000
