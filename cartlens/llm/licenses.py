@@ -151,7 +151,11 @@ def scan(
                 places, labels = [], set()
                 for mark, pattern, label in marks:
                     if mark in words:
-                        places += [words.count(b" ", 0, x.start()) for x in pattern.finditer(words)]
+                        at = before = 0
+                        for x in pattern.finditer(words):
+                            before += words.count(b" ", at, x.start())
+                            at = x.start()
+                            places.append(before)
                         labels.add(label)
                 blocks = []
                 if not index.rare.isdisjoint(split):

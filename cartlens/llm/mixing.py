@@ -11,7 +11,7 @@ The sum over sources runs in Spark for several exponents at a time; the driver s
 of sums per round however many sources there are.
 
 Weights are realised in blocks: the documents of a source fall by a hash into blocks of about
-``BLOCK_TOKENS`` tokens, are permuted inside their block by another hash, and each block gives
+``BLOCK_TOKENS`` tokens (and at most ``BLOCK_DOCUMENTS`` documents), are permuted inside their block by another hash, and each block gives
 its documents once per whole repetition, and of the fractional rest as many, from the front of
 the permutation, as its budget of tokens admits. A block's documents get a place between 0 and
 1 in the mix, so ordering by it interleaves the sources at their weights. No window holds more
@@ -35,6 +35,8 @@ from cartlens.llm.common import SPACE, stored, text_of
 LEAST_ENTROPY = 0.97
 MOST_REPEATS = 2.0
 BLOCK_TOKENS = 200_000
+#: Documents of a block on average at most, for sources of very short or empty texts.
+BLOCK_DOCUMENTS = 20_000
 #: Exponents tried at a time, and rounds of it: the interval shrinks to 16 ** -8.
 TRIED = 15
 ROUNDS = 8
@@ -128,7 +130,8 @@ def _copies(
         _tokens(text).alias("tokens"),
     )
     shares = weights(documents, least_entropy, most_repeats).withColumnRenamed("tokens", "source_tokens")
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("source_tokens") / block_tokens)).cast("long")
+    parts = F.ceil(F.col("source_tokens") / block_tokens), F.ceil(F.col("documents") / BLOCK_DOCUMENTS)
+    blocks = F.greatest(F.lit(1), *parts).cast("long")
     shares = shares.select("source", "weight", "repeats", blocks.alias("blocks"))
     shares = shares.withColumnRenamed("source", "_source")
     rows = rows.join(shares, rows["source"].eqNullSafe(shares["_source"])).drop("_source")

@@ -47,6 +47,8 @@ ANY_TERM = "[TERM]"
 #: Bytes that belong to terms: letters, and everything beyond ASCII.
 _LETTERS = bytes(x if x >= 0x80 or chr(x).isalpha() else 0x20 for x in range(256))
 _TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+#: The ip pattern from the start of a run of digits only: a match inside one would reach its start.
+_IP = re.compile(r"(?<![0-9])" + PATTERNS["ip"].pattern)
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGITS = re.compile(r"[^0-9]+")
 
@@ -61,7 +63,8 @@ def passes_luhn(digits: str) -> bool:
 
 def _valid(kind: str, value: str) -> bool:
     if kind == "ip":
-        return all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in value.split("."))
+        parts = [x.lstrip("0") for x in value.split(".")]
+        return all(len(x) <= 3 and int(x or "0") <= 255 for x in parts)
     digits = _NOT_DIGITS.sub("", value)
     if kind == "card":
         return 14 <= len(digits) <= 19 and passes_luhn(digits)
@@ -92,7 +95,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
         for kind in ("ip", "card", "phone"):
             if kind == "phone" and "+" not in text:
                 continue
-            spans += [(kind, *x.span()) for x in PATTERNS[kind].finditer(text) if _valid(kind, x.group())]
+            pattern = _IP if kind == "ip" else PATTERNS[kind]
+            spans += [(kind, *x.span()) for x in pattern.finditer(text) if _valid(kind, x.group())]
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0])))
 
 

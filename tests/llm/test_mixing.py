@@ -105,3 +105,11 @@ def test_odd_rows(make_documents):
     assert mixing.mix(df.limit(0)).collect() == []
     assert mixing.mix(make_documents((1, "", "a"))).collect()[0]["weight"] == 0.0
     assert brute.FOLDER
+
+
+def test_a_source_of_empty_texts_is_many_blocks(make_documents, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_DOCUMENTS", 50)
+    df = make_documents(*((i, "" if i % 100 else "some words") for i in range(1000)))
+    found = mixing.mix(df).groupBy("block").count().collect()
+    assert len(found) == 20
+    assert sum(r["count"] for r in found) == 1000

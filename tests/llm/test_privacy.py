@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -107,3 +108,11 @@ def test_near_terms_of_long_lines():
 
 def test_empty_table(make_documents):
     assert privacy.find(make_documents((1, "a")).limit(0)).collect() == []
+
+
+def test_long_runs_of_digits_take_linear_time():
+    text = "1" * 300_000 + " " + "0" * 6_000 + "1.2.3.4 " + "1." * 50_000
+    began = time.monotonic()
+    spans = privacy.base_spans(text)
+    assert time.monotonic() - began < 5
+    assert [x for x in spans if x[0] == "ip"][0] == ("ip", 300_001, 306_008)
