@@ -17,6 +17,7 @@ from cartlens import schemas as S
 from cartlens.functions.values import is_json_record, stripped
 
 ERRORS = "_errors"
+RAW = "_raw"
 ERROR_CLASS = "ValidationError"
 _STORED_AS = {
     "text": "string",
@@ -60,9 +61,11 @@ class Validation:
 
     @property
     def invalid(self) -> DataFrame:
-        """Broken rows with the codes of their rules in ``errors``."""
+        """Broken rows with the codes of their rules in ``errors`` and the ruled columns as given in ``raw``."""
         return self.checked.filter(F.col(ERRORS) != "").select(
-            *[c for c in self.checked.columns if c != ERRORS], F.split(ERRORS, ",").alias("errors")
+            *[c for c in self.checked.columns if c not in (ERRORS, RAW)],
+            F.col(RAW).alias("raw"),
+            F.split(ERRORS, ",").alias("errors"),
         )
 
     def observed(self, seen: Observation) -> Validation:
@@ -98,19 +101,20 @@ class Validation:
         )
 
     def error_samples(self, order_by: str, limit: int = 5) -> DataFrame:
-        """Up to ``limit`` broken rows per rule with the first 200 characters of the row.
+        """Up to ``limit`` broken rows per rule with the first 200 characters of the row as given.
 
         The rank filter is applied inside each task before the shuffle, so a rule
-        broken by most rows does not collect them.
+        broken by most rows does not collect them; only the rows that remain become text.
         """
-        data = F.substring(F.to_json(F.struct(*self.columns)), 1, 200)
-        ranked = Window.partitionBy("rule").orderBy(order_by, "data")
+        ranked = Window.partitionBy("rule").orderBy(order_by, "tie")
+        data = F.substring(F.to_json(RAW, {"ignoreNullFields": "false"}), 1, 200)
         return (
             self.checked.select("*", F.explode(F.split(ERRORS, ",")).alias("rule"))
             .filter(F.col("rule") != "")
-            .select("rule", order_by, data.alias("data"))
+            .select("rule", order_by, RAW, F.xxhash64(RAW).alias("tie"))
             .withColumn("position", F.row_number().over(ranked))
             .filter(F.col("position") <= limit)
+            .select("rule", order_by, data.alias("data"), "position")
         )
 
     def fail_fast(self) -> DataFrame:
@@ -160,7 +164,7 @@ def _read(df: DataFrame, rule: Rule) -> Column:
 def _broken(df: DataFrame, rule: Rule) -> Column:
     """Code of the rule where it is broken, else null."""
     present = rule.column in df.columns
-    raw = F.col(f"_raw.{rule.column}") if present else F.lit(None)
+    raw = F.col(f"{RAW}.{rule.column}") if present else F.lit(None)
     value = F.col(rule.column)
     if not present and rule.has_default:
         return F.lit(None).cast("string")
@@ -187,11 +191,11 @@ def check(df: DataFrame, rules: list[Rule]) -> Validation:
     prepared = df.select(
         *[_read(df, rule).alias(rule.column) for rule in rules],
         *others,
-        (F.struct(*raw) if raw else F.lit(None)).alias("_raw"),
+        (F.struct(*raw) if raw else F.lit(None)).alias(RAW),
     )
     # joined text instead of an array: null codes vanish without a lambda
     checked = prepared.withColumn(ERRORS, F.concat_ws(",", *[_broken(df, r) for r in rules]))
-    return Validation(checked.drop("_raw"), ruled)
+    return Validation(checked, ruled)
 
 
 def _matches(pattern: str) -> Callable[[Column], Column]:

@@ -112,3 +112,8 @@ def export_reference_data(products: DataFrame, users: DataFrame, folder: str) ->
     """Catalogue and user profiles; e-mail addresses are left out."""
     write_file(products, folder, "products")
     write_file(users.drop("email"), folder, "users")
+
+
+def read_reference_data(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Catalogue and user profiles as exported; an error if one is absent."""
+    return spark.read.parquet(f"{folder}/products.parquet"), spark.read.parquet(f"{folder}/users.parquet")

@@ -9,6 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from cartlens.operators import quality
 from cartlens.operators.sessionize import gap_sessions
 from cartlens.plans import facts, intermediate, staging
 from cartlens.plans.flat import flat_sessions
@@ -97,3 +98,11 @@ def test_skewed_session_is_spread(spark):
     assert (hot.total_events, hot.unique_products_viewed, hot.page_views) == (10000, 10000, 5000)
     assert sessions.count() == 20001
     assert flat_sessions(events).filter("user_id = 'HOT'").first().unique_products == 10000
+
+
+def test_all_checks_scan_the_events_four_times(spark, stored_events):
+    report = quality.report(stored_events, AS_OF)
+    report.collect()
+    executed = [x.split("== Initial Plan ==")[0] for x in plan_of(report).split("== Final Plan ==")[1:]]
+    scans = {number for part in executed for number in re.findall(r"Scan parquet +\((\d+)\)", part)}
+    assert len(scans) == 4

@@ -78,10 +78,10 @@ def test_crowded_sessions(spark):
 def test_report_orders_by_severity(sample):
     events = sample.union(sample.limit(1)).withColumn("brand", F.lit(None).cast("string"))
     issues = quality.all_issues(events, AS_OF)
-    lines = [(r.severity, r.check) for r in quality.report(events, issues).collect()]
+    lines = [(r.severity, r.check) for r in quality.report(events, AS_OF).collect()]
     assert lines == [("all", "totals"), ("high", "duplicates"), ("medium", "null_rate")]
     assert quality.high_severity(issues).count() == 1
-    assert quality.report(events, issues).first().message == "Total records: 4, issues found: 2"
+    assert quality.report(events, AS_OF).first().message == "Total records: 4, issues found: 2"
 
 
 def test_any_number_of_unique_columns(spark):

@@ -269,3 +269,17 @@ def test_whole_numbers_are_epoch_times(spark, make_events):
     ]
     assert broken(checked) == [["timestamp"]]
     assert broken(validate_events(events.withColumn("timestamp", F.lit(True)))) == [["timestamp"]] * 3
+
+
+def test_samples_and_invalid_rows_show_what_was_given(spark, make_events):
+    given = make_events({}).withColumns(
+        {"revenue": F.lit("abc"), "timestamp": F.lit("not a time"), "device": F.lit(None).cast("string")}
+    )
+    validation = validate_events(given)
+    row = validation.invalid.first()
+    assert (row.revenue, row.timestamp) == (None, None)
+    assert (row.raw.revenue, row.raw.timestamp) == ("abc", "not a time")
+    short = given.select("event_id", "timestamp", "revenue", "device")
+    found = {s.rule: s.data for s in validate_events(short).error_samples("event_id").collect()}
+    assert '"timestamp":"not a time","device":null,"revenue":"abc"' in found["revenue"]
+    assert found["revenue"] == found["timestamp"]

@@ -9,8 +9,6 @@ from __future__ import annotations
 
 import re
 
-from cartlens.operators.assertions import DECLARED, Assertion
-
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 MID_MONTH = "TIMESTAMP '2024-01-15 00:00:00'"
 
@@ -169,33 +167,137 @@ def _damage(column: str, cases: dict[int, str]) -> str:
     return f"CASE number % 256 {branches} ELSE {column} END AS {column}"
 
 
-def _violated(assertion: Assertion) -> str:
-    column = assertion.column
-    if assertion.test == "not_null":
+# What is declared about every table; ranges name what breaks them.
+DECLARED = {
+    "raw.events": """
+event_id unique
+event_id not_null
+event_type not_null
+user_id not_null
+timestamp not_null""",
+    "seeds.products": """
+product_id unique
+product_id not_null""",
+    "seeds.users": """
+user_id unique
+user_id not_null""",
+    "stg_events": """
+event_id unique
+event_id not_null
+event_type not_null
+user_id not_null
+session_id not_null
+event_timestamp not_null
+event_date not_null
+event_type accepted_values page_view|product_view|add_to_cart|remove_from_cart|begin_checkout|purchase|search|signup|login
+device_type accepted_values mobile|desktop|tablet|unknown
+traffic_source accepted_values organic|paid_search|social|email|direct|referral
+revenue_amount accepted_range < 0""",
+    "stg_products": """
+product_id unique
+product_id not_null
+product_name not_null
+category not_null
+price not_null
+price accepted_range <= 0
+price_tier accepted_values Budget|Mid-Range|Premium|Luxury
+rating accepted_range < 0|> 5""",
+    "stg_users": """
+user_id unique
+user_id not_null
+user_segment not_null
+user_segment accepted_values power_buyer|browser|occasional|new_user|unknown
+tenure_tier accepted_values New|Developing|Established|Veteran""",
+    "int_sessions": """
+session_id unique
+session_id not_null
+user_id not_null
+session_start not_null
+session_end not_null
+session_duration_seconds not_null
+is_converted not_null
+session_duration_seconds accepted_range < 0
+session_quality accepted_values High Value|High Intent|Engaged|Browsing|Low Engagement""",
+    "int_user_journey": """
+user_id not_null
+session_id not_null
+deepest_stage accepted_values none|page_view|product_view|cart|checkout|purchase
+funnel_depth accepted_range < 0|> 5
+drop_off_stage accepted_values converted|checkout_abandoned|cart_abandoned|product_exit|landing_bounce|no_engagement""",
+    "int_product_performance": """
+product_id unique
+product_id not_null
+total_views not_null
+total_views accepted_range < 0
+view_to_cart_rate accepted_range < 0|> 1
+overall_conversion_rate accepted_range < 0|> 1""",
+    "dim_users": """
+user_id unique
+user_id not_null
+user_segment not_null
+lifetime_revenue accepted_range < 0
+customer_value_tier accepted_values VIP|High Value|Medium Value|Low Value|No Purchase
+activity_status accepted_values Active|Recent|Lapsing|Churned|Never Active
+buyer_status accepted_values Repeat Buyer|One-Time Buyer|Non-Buyer""",
+    "dim_products": """
+product_id unique
+product_id not_null
+product_name not_null
+category not_null
+price not_null
+price accepted_range <= 0
+overall_conversion_rate accepted_range < 0|> 1""",
+    "dim_date": """
+date_key unique
+date_key not_null
+year not_null
+month not_null
+month accepted_range < 1|> 12
+day_of_week accepted_range < 0|> 6""",
+    "fct_daily_engagement": """
+event_date unique
+event_date not_null
+daily_active_users not_null
+total_sessions not_null
+daily_active_users accepted_range < 0
+total_revenue accepted_range < 0
+conversion_rate accepted_range < 0|> 1""",
+    "fct_funnel": """
+event_date unique
+event_date not_null
+users_at_site not_null
+users_at_purchase not_null
+overall_conversion_rate accepted_range < 0|> 1
+cart_abandonment_rate accepted_range < 0|> 1""",
+    "fct_revenue": """
+event_date not_null
+category not_null
+gross_revenue accepted_range < 0
+transaction_count accepted_range < 0""",
+}
+
+
+def _violated(column: str, test: str, given: str) -> str:
+    if test == "not_null":
         return f"{column} IS NULL"
-    if assertion.test == "accepted_values":
-        listed = ", ".join(f"'{value}'" for value in assertion.values)
+    if test == "accepted_values":
+        listed = ", ".join(f"'{value}'" for value in given.split("|"))
         return f"{column} NOT IN ({listed})"
-    parts = []
-    if assertion.low is not None:
-        parts.append(f"{column} {'<' if assertion.inclusive else '<='} {assertion.low}")
-    if assertion.high is not None:
-        parts.append(f"{column} {'>' if assertion.inclusive else '>='} {assertion.high}")
-    return " OR ".join(parts)
+    return " OR ".join(f"{column} {bound}" for bound in given.split("|"))
 
 
 def _assertions(table: str, source: str) -> str:
     rows = []
-    for assertion in DECLARED[table]:
-        column = assertion.column
-        if assertion.test == "unique":
+    for line in DECLARED[table].strip().split("\n"):
+        column, test, given = [*line.split(" ", 2), ""][:3]
+        if test == "unique":
             number = (
                 f"(SELECT count(*) FROM (SELECT {column} FROM {source} WHERE {column} IS NOT NULL "
                 f"GROUP BY {column} HAVING count(*) > 1))"
             )
         else:
-            number = f"(SELECT count(*) FROM {source} WHERE {_violated(assertion)})"
-        rows.append(f"('{table}', '{column}', '{assertion.test}', {number})")
+            number = f"(SELECT count(*) FROM {source} WHERE {_violated(column, test, given)})"
+        rows.append(f"('{table}', '{column}', '{test}', {number})")
     return "VALUES " + ", ".join(rows)
 
 
@@ -831,6 +933,10 @@ FROM (SELECT (SELECT count(*) FROM ev_damaged) AS total, (SELECT count(*) FROM g
     "dq_revenue_outliers": _chain("SELECT * FROM issues_clean WHERE \"check\" = 'revenue_outliers'"),
     "dq_future_timestamps": _chain("SELECT * FROM issues_clean WHERE \"check\" = 'future_timestamps'"),
     "dq_session_integrity": _chain("SELECT * FROM issues_clean WHERE \"check\" = 'session_integrity'"),
+    "dq_issues": _chain("SELECT * REPLACE (round(null_rate, 6) AS null_rate) FROM issues"),
+    "dq_high_severity": _chain(
+        "SELECT * REPLACE (round(null_rate, 6) AS null_rate) FROM issues WHERE severity = 'high'"
+    ),
     "dq_report": _chain("""
 SELECT 0::BIGINT AS rank, 'all' AS severity, 'totals' AS "check",
        format('Total records: {:,}, issues found: {}', (SELECT count(*) FROM copies),
@@ -991,3 +1097,5 @@ SUB["fdm_good"] = _daily("good")
 SUB["fdm_mixed"] = _daily("good_mixed")
 ORACLE["batch_job_daily_metrics"] = _out("fdm_good", *_DAILY_FORMS)
 ORACLE["batch_job_mixed_files"] = _out("fdm_mixed", *_DAILY_FORMS)
+ORACLE["catalog_round_trip"] = ORACLE["export_products"] = ORACLE["stg_products"]
+ORACLE["export_users"] = ORACLE["stg_users"]

@@ -16,7 +16,16 @@ from cartlens.plans import calendar, dashboard, dimensions, facts, flat, interme
 from cartlens.plans.job import layered_models, run_flat_job
 from cartlens.session import configure, durable, shared_folder
 from cartlens.sources import testbed
-from cartlens.sources.tables import read_file
+from cartlens.sources.tables import (
+    create_namespaces,
+    create_view,
+    export_reference_data,
+    read_file,
+    read_reference_data,
+    register_table,
+    source,
+    write_file,
+)
 from cartlens.sources.testbed import AS_OF, MID_MONTH
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -295,6 +304,22 @@ def _batch_metrics(t: Tables) -> DataFrame:
     )
 
 
+def _catalog_round_trip(t: Tables) -> DataFrame:
+    """Written files, registered as a table and read back by its name."""
+    create_namespaces(t.spark, ["staging"])
+    path = write_file(t.stg_products, _batch_folder(t), "stg_products")
+    register_table(t.spark, path, "registered_products", "staging")
+    found = source(t.spark, "staging", "registered_products")
+    return create_view(found, "registered_products_view").sparkSession.table("registered_products_view")
+
+
+def _exported(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Catalogue and users exported to files and read back."""
+    folder = _batch_folder(t)
+    export_reference_data(t.products, t.users, folder)
+    return read_reference_data(t.spark, folder)
+
+
 def _date_range(t: Tables) -> DataFrame:
     """The days of the orders by their end, by their number, and up to a moment."""
     first, last = t.order_days.first()
@@ -360,9 +385,11 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_revenue_outliers": lambda t: quality.revenue_outliers(t.events),
     "dq_future_timestamps": lambda t: quality.future_timestamps(t.events, MID_MONTH),
     "dq_session_integrity": lambda t: quality.crowded_sessions(t.events, 4),
-    "dq_report": lambda t: quality.report(
-        testbed.with_copies(t.events), quality.all_issues(testbed.with_copies(t.events), MID_MONTH)
+    "dq_issues": lambda t: quality.all_issues(testbed.with_copies(t.events), MID_MONTH),
+    "dq_high_severity": lambda t: quality.high_severity(
+        quality.all_issues(testbed.with_copies(t.events), MID_MONTH)
     ),
+    "dq_report": lambda t: quality.report(testbed.with_copies(t.events), MID_MONTH),
     "assert_columns": _assert_columns,
     "assert_columns_damaged": _assert_damaged,
     "assert_funnel_order": lambda t: assertions.funnel_order(t.funnel),
@@ -388,6 +415,9 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "batch_job_daily_metrics": _batch_job,
     "batch_job_mixed_files": _batch_mixed,
     "batch_job_metrics": _batch_metrics,
+    "catalog_round_trip": lambda t: _catalog_round_trip(t).drop("_loaded_at"),
+    "export_products": lambda t: staging.stg_products(_exported(t)[0], AS_OF).drop("_loaded_at"),
+    "export_users": lambda t: staging.stg_users(_exported(t)[1], AS_OF).drop("_loaded_at"),
 }
 
 
