@@ -68,10 +68,17 @@ def create_namespaces(spark: SparkSession, names: Iterable[str] = NAMESPACES) ->
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
-def write_file(df: DataFrame, folder: str, name: str) -> str:
-    """Replace ``<folder>/<name>.parquet``."""
+def write_file(df: DataFrame, folder: str, name: str, by: str | None = None) -> str:
+    """Replace ``<folder>/<name>.parquet``, with ``by`` as one folder per value of that column.
+
+    Rows of a value are brought together first, and split again where they are many, so that
+    neither many small files nor a hot task come of it.
+    """
     path = f"{folder}/{name}.parquet"
-    df.write.mode("overwrite").parquet(path)
+    if by is None:
+        df.write.mode("overwrite").parquet(path)
+    else:
+        df.hint("rebalance", F.col(by)).write.mode("overwrite").partitionBy(by).parquet(path)
     return path
 
 
@@ -80,10 +87,14 @@ def write_table(df: DataFrame, name: str, namespace: str = "analytics") -> None:
     df.write.mode("overwrite").format("parquet").saveAsTable(f"{namespace}.{name}")
 
 
-def register_table(spark: SparkSession, path: str, name: str, namespace: str = "analytics") -> None:
+def register_table(
+    spark: SparkSession, path: str, name: str, namespace: str = "analytics", by: str | None = None
+) -> None:
     """Make written files known as a catalog table without copying them."""
     spark.sql(f"DROP TABLE IF EXISTS {namespace}.{name}")
     spark.catalog.createTable(f"{namespace}.{name}", path=path, source="parquet")
+    if by is not None:
+        spark.catalog.recoverPartitions(f"{namespace}.{name}")
 
 
 def create_view(df: DataFrame, name: str) -> DataFrame:

@@ -288,3 +288,21 @@ def test_keys_and_ids_go_together(spark):
     ids = spark.range(2_000_000).selectExpr(testbed._id("PROD_", "id", 8) + " AS product_id")
     assert ids.distinct().count() == 2_000_000
     assert ids.where(~F.col("product_id").rlike(schemas.PRODUCT_ID)).isEmpty()
+
+
+def test_flat_job_writes_events_by_date(spark, tmp_path):
+    raw_events(spark, SF).write.parquet(f"{tmp_path}/in/events_all.parquet")
+    plain = run_flat_job(spark, f"{tmp_path}/in", f"{tmp_path}/plain", AS_OF, catalog=False)
+    dated = run_flat_job(spark, f"{tmp_path}/in", f"{tmp_path}/dated", AS_OF, by_date=True)
+    assert dated.loaded == plain.loaded
+    assert spark.table("analytics.fct_events").count() == plain.loaded["fct_events"]
+    found = tables.read_file(spark, f"{tmp_path}/dated", "fct_events")
+    expected = tables.read_file(spark, f"{tmp_path}/plain", "fct_events")
+    assert sorted(found.dtypes) == sorted(expected.dtypes)
+    assert found.select(expected.columns).exceptAll(expected).isEmpty()
+    day = expected.agg(F.min("event_date")).first()[0]
+    one_day = found.filter(F.col("event_date") == day)
+    folders = {name.split("event_date=")[1].split("/")[0] for name in one_day.inputFiles()}
+    assert str(day) in folders
+    text = one_day._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in text
