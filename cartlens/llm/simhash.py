@@ -129,12 +129,16 @@ def roots(edges: DataFrame) -> DataFrame:
         seen = state
 
 
+def keeper() -> Column:
+    """Orders a component's rows (doc, tag); the smallest stays."""
+    return F.struct(shown_id("doc").isNull().alias("nameless"), "doc", "tag")
+
+
 def _classes(marked: DataFrame) -> DataFrame:
     """Each distinct fingerprint with its component: component_id and the document to keep."""
     shown = shown_id("doc")
-    keeper = F.struct(shown.isNull().alias("nameless"), "doc", "tag")
     classes = stored(
-        marked.groupBy("fingerprint").agg(F.min(shown).alias("component_id"), F.min(keeper).alias("keeper"))
+        marked.groupBy("fingerprint").agg(F.min(shown).alias("component_id"), F.min(keeper()).alias("keeper"))
     )
     edges = stored(links(classes.select("fingerprint")))
     if edges.isEmpty():
@@ -164,12 +168,17 @@ def drop_near_copies(documents: DataFrame) -> DataFrame:
     rows equal in doc_id and text one stays, whatever else they hold.
     """
     marked = stored(fingerprints(documents))
-    kept = _classes(marked).select("keeper.doc", "keeper.tag").distinct()
+    return chosen(documents, marked, _classes(marked))
+
+
+def chosen(documents: DataFrame, marked: DataFrame, keepers: DataFrame) -> DataFrame:
+    """The documents that a column ``keeper`` names; ``marked`` has the doc and tag of all."""
+    kept = keepers.select("keeper.doc", "keeper.tag").distinct()
     kept = kept.select(F.col("doc").alias("_kept_doc"), F.col("tag").alias("_kept_tag"))
     doc, tag = id_of(documents), F.xxhash64(text_of(documents))
-    chosen = documents.join(
+    rows = documents.join(
         kept.hint("shuffle_hash"), (doc == kept["_kept_doc"]) & (tag == kept["_kept_tag"]), "left_semi"
     )
     if marked.groupBy("doc", "tag").count().where("count > 1").isEmpty():
-        return chosen
-    return chosen.dropDuplicates(["doc_id", "text"])
+        return rows
+    return rows.dropDuplicates(["doc_id", "text"])
