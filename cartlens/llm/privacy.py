@@ -1,16 +1,21 @@
 """Personal data, and terms that give it away.
 
-Patterns find the values themselves: mail and IP addresses, card and phone numbers. Terms near a
-value on its line can reveal it too. How strongly is estimated from the whole corpus: with p the
+Patterns find the values themselves: mail and IP addresses, card and phone numbers. Terms of the
+same document can reveal a value too. How strongly is estimated from the whole corpus: with p the
 share of documents, a term t discloses an entity e (a kind and its value) by their pointwise
 mutual information, log(p(e, t) / (p(e) p(t))), of the information log(1 / p(e)) that the entity
-holds. Next to the entity, a term that discloses at least ``remove`` of it is removed, one that
-discloses at least ``generalise`` of it is replaced by a word for any term. Estimates need
-``support`` documents with both, so a single meeting reveals nothing.
+holds. In documents with the entity, a term that discloses at least ``remove`` of it is removed, one
+that discloses at least ``generalise`` of it is replaced by a word for any term, wherever it stands
+outside of values. Estimates need ``support`` documents with both, so a single meeting reveals
+nothing.
 
-One scan counts the documents of every term, entity and pair (a pair only within ``NEAR`` words
-of the value, so a document adds a bounded number per value) and stores them with each document's
-values; the rest are groupings that combine before the shuffle and joins on hashed keys.
+One scan counts the documents of every term and entity and stores those with values. Entities of
+``support`` documents meet the distinct terms of their documents; terms that stand in too few
+documents for the support, or in so many that they cannot disclose ``generalise`` of the entity
+even if every document with it holds them, are left out before, which changes no result. The rest
+are groupings that combine before the shuffle and joins on hashed keys.
+
+With ``near``, only terms within that many words of a value on its line are counted and marked.
 
 Cases: a null text is empty; a null doc_id is passed through; repeated rows count as documents
 and get equal results; texts without values get no spans. Only doc_id and text are read.
@@ -24,7 +29,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.llm.common import stored, text_of
@@ -37,8 +42,6 @@ PATTERNS = {
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
 KINDS = [*PATTERNS, "term"]
-#: Words on either side of a value that count as near it.
-NEAR = 8
 SUPPORT = 2
 REMOVE, GENERALISE = 0.95, 0.8
 REPLACED = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
@@ -100,7 +103,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
-def near_terms(text: str, spans: list[tuple[str, int, int]], near: int = NEAR) -> Iterator[tuple[str, str, int, int]]:
+def near_terms(text: str, spans: list[tuple[str, int, int]], near: int) -> Iterator[tuple[str, str, int, int]]:
     """(entity, term, start, end) for the terms near each value on its line."""
     for kind, start, end in spans:
         entity = f"{kind}:{text[start:end].lower()}"
@@ -132,10 +135,18 @@ def _backwards(text: str, left: int, end: int, count: int) -> Iterator[tuple[int
         reach *= 2
 
 
+def terms_of(text: str) -> set[bytes]:
+    """The distinct terms of a text, lower-cased one by one."""
+    if "\u03a3" in text:  # the only letter whose lower case depends on what is around the term
+        return {x.lower().encode() for x in _TERM.findall(text)}
+    return set(text.lower().encode().translate(_LETTERS).split())
+
+
 FOUND = (
     "kind string, entity string, term string, n long, doc_id long,"
     " base array<struct<kind: string, start: long, end: long>>, base_sha256 string,"
-    " near array<struct<entity: string, term: string, start: long, end: long>>"
+    " near array<struct<entity: string, term: string, start: long, end: long>>,"
+    " entities array<string>, text string"
 )
 
 
@@ -143,14 +154,18 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
-def _scanned(near: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A row per document with its values, and rows with the counts of each batch."""
+def _scanned(near: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A row per document with its values, and rows with the counts of each batch.
+
+    Without ``near`` no pairs are counted; documents with values keep their text instead.
+    """
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
     term = pa.struct(
         [("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]
     )
     types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.list_(span), pa.string(), pa.list_(term)]
-    names = ["kind", "entity", "term", "n", "doc_id", "base", "base_sha256", "near"]
+    types += [pa.list_(pa.string()), pa.string()]
+    names = ["kind", "entity", "term", "n", "doc_id", "base", "base_sha256", "near", "entities", "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,26 +173,30 @@ def _scanned(near: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
             entities: Counter[str] = Counter()
             pairs: Counter[tuple[str, str]] = Counter()
             docs, bases, digests, nears = batch.column(0).to_pylist(), [], [], []
+            values, kept = [], []
             for text in batch.column(1):
                 text = text.as_py()
                 spans = base_spans(text)
-                found = sorted(set(near_terms(text, spans, near)), key=lambda x: x[2:]) if spans else []
-                terms.update(set(text.lower().encode().translate(_LETTERS).split()))
-                entities.update({f"{kind}:{text[a:b].lower()}" for kind, a, b in spans})
+                found = set(near_terms(text, spans, near)) if spans and near is not None else ()
+                found = sorted(found, key=lambda x: x[2:])
+                terms.update(terms_of(text))
+                values.append(sorted({f"{kind}:{text[a:b].lower()}" for kind, a, b in spans}))
+                entities.update(values[-1])
                 pairs.update({x[:2] for x in found})
                 bases.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
                 digests.append(hashlib.sha256(joined(spans).encode()).hexdigest())
                 nears.append([{"entity": e, "term": t, "start": a, "end": b} for e, t, a, b in found])
+                kept.append(text if spans and near is None else None)
             counts = [
                 ("term", [None] * len(terms), [x.decode() for x in terms], list(terms.values())),
                 ("entity", list(entities), [None] * len(entities), list(entities.values())),
                 ("pair", [x[0] for x in pairs], [x[1] for x in pairs], list(pairs.values())),
             ]
             none = [None] * batch.num_rows
-            blocks = [(["document"] * batch.num_rows, none, none, [1] * batch.num_rows, docs, bases, digests, nears)]
+            blocks = [(["document"] * batch.num_rows, none, none, [1] * batch.num_rows, docs, bases, digests, nears, values, kept)]
             for kind, entity, word, n in counts:
                 none = [None] * len(n)
-                blocks.append(([kind] * len(n), entity, word, n, none, none, none, none))
+                blocks.append(([kind] * len(n), entity, word, n, none, none, none, none, none, none))
             for block in blocks:
                 if block[0]:
                     columns = [pa.array(x, t) for x, t in zip(block, types, strict=True)]
@@ -186,24 +205,112 @@ def _scanned(near: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return run
 
 
+def _counted(scanned: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents of each entity (of_entity), of each term (of_term) and of all (total)."""
+    counts = scanned.where("kind <> 'document'").select("kind", "entity", "term", "n")
+    entities = counts.where("kind = 'entity'").groupBy("entity").agg(F.sum("n").alias("of_entity"))
+    terms = counts.where("kind = 'term'").groupBy("term").agg(F.sum("n").alias("of_term"))
+    return entities, terms, counts
+
+
+def _share(total: int) -> Column:
+    """The disclosed share from the columns both, of_entity and of_term."""
+    information = F.log(F.lit(total) / F.col("of_entity"))
+    mutual = F.log(F.col("both") * F.lit(total) / (F.col("of_entity") * F.col("of_term")))
+    return F.when(information > 0, mutual / information).otherwise(0.0)
+
+
 def disclosures(scanned: DataFrame, support: int = SUPPORT) -> DataFrame:
     """How much of an entity each term near it discloses: entity, term, disclosed (at most 1)."""
-    counts = scanned.where("kind <> 'document'").select("kind", "entity", "term", "n")
+    entities, terms, counts = _counted(scanned)
     total = scanned.where("kind = 'document'").count()
     pairs = counts.where("kind = 'pair'").groupBy("entity", "term").agg(F.sum("n").alias("both"))
     pairs = pairs.where(F.col("both") >= support)
-    entities = counts.where("kind = 'entity'").groupBy("entity").agg(F.sum("n").alias("of_entity"))
-    terms = counts.where("kind = 'term'").groupBy("term").agg(F.sum("n").alias("of_term"))
     known = pairs.join(entities, "entity").join(terms, "term")
-    information = F.log(F.lit(total) / F.col("of_entity"))
-    mutual = F.log(F.col("both") * F.lit(total) / (F.col("of_entity") * F.col("of_term")))
-    share = F.when(information > 0, mutual / information).otherwise(0.0)
-    return known.select("entity", "term", share.alias("disclosed"))
+    return known.select("entity", "term", _share(total).alias("disclosed"))
+
+
+def telling_terms(scanned: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE) -> DataFrame:
+    """The terms that disclose an entity of their document: row, term, disclosed (the most of any).
+
+    ``scanned`` holds texts (no ``near``) and a column row.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                terms = [x.decode() for x in terms_of(text.as_py())]
+                columns = [pa.array([row] * len(terms), pa.int64()), pa.array(terms, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "term"])
+
+    entities, terms, _ = _counted(scanned)
+    total = scanned.where("kind = 'document'").count()
+    found = scanned.where("kind = 'document' and text is not null")
+    values = found.select("row", F.explode("entities").alias("entity"))
+    held = stored(values.join(entities.where(F.col("of_entity") >= support), "entity"))
+
+    def most(of_entity: Column) -> Column:
+        """Documents of a term beyond which it cannot disclose enough; a little more for rounding."""
+        return F.lit(total * (1 + 1e-9)) * F.pow(of_entity / F.lit(total), F.lit(generalise))
+
+    ends = held.agg(F.max(most(F.col("of_entity")))).first()[0]
+    terms = terms.where((F.col("of_term") >= support) & (F.col("of_term") <= F.lit(ends or 0.0)))
+    texts = found.select("row", "text").join(held.select("row").distinct(), "row", "left_semi")
+    words = stored(texts.mapInArrow(run, "row long, term string").join(terms, "term"))
+    pairs = held.join(words, "row").where(F.col("of_term") <= most(F.col("of_entity")))
+    pairs = pairs.groupBy("entity", "term", "of_entity", "of_term").agg(F.count("*").alias("both"))
+    telling = pairs.where(F.col("both") >= support).select("entity", "term", _share(total).alias("disclosed"))
+    telling = stored(telling.where(F.col("disclosed") >= generalise))
+    places = held.select("row", "entity").join(telling, "entity").join(words.select("row", "term"), ["row", "term"])
+    return places.groupBy("row", "term").agg(F.max("disclosed").alias("disclosed"))
+
+
+def _places(scanned: DataFrame, telling: DataFrame, remove: float) -> DataFrame:
+    """All places of each document's telling terms outside of its values: row, terms."""
+    span = "start: long, end: long, remove: boolean"
+
+    @F.udf(f"array<struct<{span}>>", useArrow=True)
+    def marked(text: str, base: list, removed: list, replaced: list) -> list:
+        removed, replaced = set(removed), set(replaced)
+        values = iter([(x["start"], x["end"]) for x in base])
+        value, out = next(values, None), []
+        for found in _TERM.finditer(text):
+            a, b = found.span()
+            term = found.group().lower()
+            while value and value[1] <= a:
+                value = next(values, None)
+            inside = value is not None and value[0] < b
+            if (term in removed or term in replaced) and not inside:
+                out.append({"start": a, "end": b, "remove": term in removed})
+        return out
+
+    strong = F.col("disclosed") >= remove
+    terms = telling.groupBy("row").agg(
+        F.collect_list(F.when(strong, F.col("term"))).alias("removed"),
+        F.collect_list(F.when(~strong, F.col("term"))).alias("replaced"),
+    )
+    texts = scanned.where("kind = 'document' and text is not null").select("row", "base", "text")
+    return texts.join(terms, "row").select("row", marked("text", "base", "removed", "replaced").alias("terms"))
+
+
+def _near_places(scanned: DataFrame, support: int, generalise: float, remove: float) -> DataFrame:
+    """The places near a value of terms that disclose it: row, terms."""
+    telling = disclosures(scanned, support).where(F.col("disclosed") >= generalise)
+    return (
+        scanned.where("kind = 'document'")
+        .select("row", F.explode("near").alias("x"))
+        .select("row", "x.*")
+        .join(telling, ["entity", "term"])
+        .groupBy("row", "start", "end")
+        .agg((F.max("disclosed") >= remove).alias("remove"))
+        .groupBy("row")
+        .agg(F.sort_array(F.collect_list(F.struct("start", "end", "remove"))).alias("terms"))
+    )
 
 
 def find(
     documents: DataFrame,
-    near: int = NEAR,
+    near: int | None = None,
     support: int = SUPPORT,
     generalise: float = GENERALISE,
     remove: float = REMOVE,
@@ -215,19 +322,13 @@ def find(
     """
     texts = documents.select(documents["doc_id"].cast("long").alias("doc_id"), text_of(documents).alias("text"))
     scanned = stored(texts.mapInArrow(_scanned(near), FOUND).withColumn("row", F.monotonically_increasing_id()))
-    found = scanned.where("kind = 'document'").select("row", "doc_id", "base", "base_sha256", "near")
-    telling = disclosures(scanned, support).where(F.col("disclosed") >= generalise)
-    terms = (
-        found.select("row", F.explode("near").alias("x"))
-        .select("row", "x.*")
-        .join(telling, ["entity", "term"])
-        .groupBy("row", "start", "end")
-        .agg((F.max("disclosed") >= remove).alias("remove"))
-        .groupBy("row")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "end", "remove"))).alias("terms"))
-    )
+    found = scanned.where("kind = 'document'").select("row", "doc_id", "base", "base_sha256")
+    if near is None:
+        terms = _places(scanned, telling_terms(scanned, support, generalise), remove)
+    else:
+        terms = _near_places(scanned, support, generalise, remove)
     empty = F.expr("cast(array() as array<struct<start: long, end: long, remove: boolean>>)")
-    return found.drop("near").join(terms, "row", "left").select(
+    return found.join(terms, "row", "left").select(
         "doc_id", "base", "base_sha256", F.coalesce("terms", empty).alias("terms")
     )
 

@@ -116,3 +116,47 @@ def test_long_runs_of_digits_take_linear_time():
     spans = privacy.base_spans(text)
     assert time.monotonic() - began < 5
     assert [x for x in spans if x[0] == "ip"][0] == ("ip", 300_001, 306_008)
+
+
+def expected_places(rows, support, generalise, remove):
+    """Places of telling terms, with every entity and term of a document counted as a pair."""
+    texts = [x[1] or "" for x in rows]
+    terms = [{x.lower() for x in privacy._TERM.findall(t)} for t in texts]
+    values = [brute.personal(t) for t in texts]
+    entities = [{f"{k}:{t[a:b].lower()}" for k, a, b in v} for t, v in zip(texts, values, strict=True)]
+    out = []
+    for text, spans, own in zip(texts, values, entities, strict=True):
+        places = []
+        for x in privacy._TERM.finditer(text):
+            most = -math.inf
+            for e in own:
+                of_entity, of_term = sum(e in y for y in entities), sum(x.group().lower() in y for y in terms)
+                both = sum(e in y and x.group().lower() in z for y, z in zip(entities, terms, strict=True))
+                information = math.log(len(rows) / of_entity)
+                share = math.log(both * len(rows) / of_entity / of_term) / information if information > 0 else 0.0
+                most = max(most, share if both >= support else -math.inf)
+            if most >= generalise and not any(x.start() < b and a < x.end() for _, a, b in spans):
+                places.append((x.start(), x.end(), most >= remove))
+        out.append(places)
+    return out
+
+
+def test_terms_anywhere_in_the_document(make_documents):
+    chance = random.Random(11)
+    far = "filler " * 30
+    rows = [
+        (1, f"codename falcon\n{far}\nwrite to ann@mail.com {far} FALCON"),
+        (2, f"ann@mail.com\n{far}\nof the falcon and 10.0.0.1"),
+        (3, f"10.0.0.1 {far}\nANN@mail.com falcons nest ΟΣ'Ο"),
+        (4, f"{far}10.0.0.1 alone"),
+        (5, None),
+        *((i, " ".join(f"w{chance.choice('abcdefghij')}x" for _ in range(12)) + " 10.0.0.1" * (i % 5 == 0)) for i in range(6, 40)),
+        (50, "bob@b.org"),
+    ]
+    for generalise, remove in [(0.8, 0.95), (0.3, 0.6), (-1.0, 0.5)]:
+        found = privacy.find(make_documents(*rows), generalise=generalise, remove=remove).collect()
+        got = {r["doc_id"]: [(x["start"], x["end"], x["remove"]) for x in r["terms"]] for r in found}
+        expected = expected_places(rows, 2, generalise, remove)
+        assert got == {k: x for (k, _), x in zip(rows, expected, strict=True)}
+    falcon = {r["doc_id"]: r["text"] for r in privacy.sanitise(make_documents(*rows)).collect()}
+    assert "falcon" not in falcon[1].lower() and "falcon" not in falcon[2] and "falcons" in falcon[3]
