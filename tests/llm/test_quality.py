@@ -84,3 +84,18 @@ def test_empty_table(make_documents):
     empty = make_documents((1, "a")).limit(0)
     assert quality.judge(empty).collect() == []
     assert quality.clean(empty).columns == empty.columns
+
+
+def test_small_hosts_with_the_given_limits(make_documents):
+    """A line of all texts of a host goes, however few; one that a smaller share holds stays."""
+    chance = random.Random(8)
+    rows = []
+    for host, size, menus in [("small", 12, 12), ("half", 40, 20), ("fifth", 100, 20), ("tiny", 9, 9), (None, 30, 30)]:
+        for i in range(size):
+            own = " ".join(f"w{chance.randrange(10**6)}" for _ in range(30))
+            rows.append((len(rows), f"{'Home | about us' if i < menus else own[:9]}\n{own}", host))
+    found = {r["doc_id"]: r["n_removed_words"] for r in quality.judge(make_documents(*rows)).collect()}
+    expected = {k: 4 * (x.startswith("Home") and host in ("small", "half", None)) for k, x, host in rows}
+    assert found == expected and set(expected.values()) == {0, 4}
+    cleaned = {r["doc_id"]: r["text"] for r in quality.clean(make_documents(*rows)).collect()}
+    assert cleaned == {k: x.split("\n")[1] if expected[k] else x for k, x, _ in rows}
