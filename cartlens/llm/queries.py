@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import chat, exact, licenses, mixing, packing, privacy, quality, repeats, simhash, urls
+from cartlens.llm import chat, exact, licenses, mixing, packing, prefixes, privacy, quality, repeats, simhash, urls
 from cartlens.llm.common import table
 
 
@@ -90,6 +90,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), vocabulary())
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixes.shared_prefixes_rebuilt(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -101,4 +105,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
+    "op13_prefix_trie": op13_prefix_trie,
 }

@@ -110,9 +110,54 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+#: The checksum of a conversation's decimal id, bit by bit.
+_CHECKSUM = """xor(list_reduce(
+    list_concat([4294967295::BIGINT], [ascii(x)::BIGINT FOR x IN string_split(conv_id::VARCHAR, '')]),
+    (crc, byte) -> list_reduce(
+        list_concat([xor(crc, byte)], range(8)), (x, i) -> xor(x >> 1, 3988292384 * (x & 1))
+    )
+), 4294967295)"""
+
+PREFIXES = f"""
+WITH given AS (
+    SELECT CAST(conv_id AS BIGINT) AS conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+whole AS (
+    SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST, role, text) AS turns
+    FROM given GROUP BY conv_id
+),
+cut AS (SELECT *, conv_id - conv_id % 100 AS source, {_CHECKSUM} % 6 AS h FROM whole),
+rebuilt AS (
+    SELECT cut.conv_id, list_concat(coalesce(first.turns[:cut.h], []), cut.turns[cut.h + 1:]) AS turns
+    FROM cut LEFT JOIN whole first ON first.conv_id = cut.source
+),
+paths AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt),
+nodes AS (
+    SELECT turns[:depth] AS node, depth, min(conv_id) AS owner, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(turns) = depth), '')) AS ends_sha256
+    FROM paths GROUP BY turns[:depth], depth
+),
+children AS (SELECT node[:depth - 1] AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+measured AS (
+    SELECT nodes.*, coalesce(n, 0) AS n_children,
+        CASE WHEN depth > 0 THEN (n_convs - 1) * length(node[depth].text) ELSE 0 END AS saved
+    FROM nodes LEFT JOIN children USING (node)
+),
+climbing AS (SELECT node, n_children, saved, unnest(range(0, depth + 1)) AS up FROM measured),
+sums AS (
+    SELECT node[:up] AS node, sum(saved) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+    FROM climbing GROUP BY 1
+)
+SELECT m.owner AS conv_id, CAST(m.depth AS BIGINT) AS depth, p.owner AS parent_conv_id, m.n_convs, m.n_children,
+    CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, m.ends_sha256
+FROM measured m JOIN sums USING (node) LEFT JOIN nodes p ON m.depth > 0 AND p.node = m.node[:m.depth - 1]
+"""
+
 ORACLE = {
     "op2_quality_rules": QUALITY,
     "op5_exact_dedup": EXACT,
     "op8_url_filter": URLS,
     "op9_chat_format": CHAT,
+    "op13_prefix_trie": PREFIXES,
 }
