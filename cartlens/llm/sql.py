@@ -113,8 +113,8 @@ FROM sized GROUP BY conv_id
 #: The checksum of a conversation's decimal id, bit by bit.
 _CHECKSUM = """xor(list_reduce(
     list_concat([4294967295::BIGINT], [ascii(x)::BIGINT FOR x IN string_split(conv_id::VARCHAR, '')]),
-    (crc, byte) -> list_reduce(
-        list_concat([xor(crc, byte)], range(8)), (x, i) -> xor(x >> 1, 3988292384 * (x & 1))
+    lambda crc, byte: list_reduce(
+        list_concat([xor(crc, byte)], range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))
     )
 ), 4294967295)"""
 
