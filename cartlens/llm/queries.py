@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import chat, exact, licenses, mixing, packing, prefixes, privacy, quality, repeats, simhash, spelling, urls
+from cartlens.llm import chat, differencing, exact, licenses, mixing, packing, prefixes, privacy, quality, repeats, simhash, spelling, urls
 from cartlens.llm.common import table
 
 
@@ -90,6 +90,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), vocabulary())
 
 
+def op11_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return differencing.extract(table(spark, folder, "pages"))
+
+
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(table(spark, folder, "documents"))
 
@@ -109,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_chat_format": op9_chat_format,
     "op10_packing": op10_packing,
+    "op11_html_extraction": op11_html_extraction,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_prefix_trie": op13_prefix_trie,
 }
