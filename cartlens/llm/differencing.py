@@ -19,26 +19,27 @@ joined by a line feed. ``header`` counts as a page's header outside an article o
 is never closed ends with its parent; an unclosed script, style or comment runs to the end.
 
 Cases: null html is empty, null url has an empty host and path (such pages are one host); a page
-alone on its host loses nothing; pages of equal path follow by row; repeated rows are pages of their
-own; very long pages are aligned in memory that grows with their lines, not their square; an
+alone on its host loses nothing; pages of equal path follow by page_id (null first), repeated ones as
+they are read, and are pages of their own; very long pages are aligned in memory that grows with their lines, not their square; an
 empty table gives no rows. Only page_id, url and html are read.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from cartlens.llm.common import stored
+from cartlens.llm.common import NO_ID
 from cartlens.llm.spelling import common_prefix
 from cartlens.llm.urls import host_of, path_of
 
@@ -46,8 +47,8 @@ from cartlens.llm.urls import host_of, path_of
 MOST_SHARED = 0.5
 #: Cells of a table of common subsequences that are kept at once.
 CELLS = 2**28
-#: Pages of a range of the URL order.
-RANGE = 20_000
+#: Pages of a range of the URL order, if there are more of them than tasks.
+RANGE = 100_000
 #: Bytes of a line's digest.
 WIDTH = 16
 
@@ -281,27 +282,6 @@ def _aligned(a: list, b: list) -> list[int]:
     return found[::-1]
 
 
-def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In place of the html: its lines, where they stand, and their digests in a row."""
-    for batch in batches:
-        pages = [lines_of(html.as_py().decode("utf-8", "replace")) for html in batch["html"]]
-        digests = [
-            b"".join(hashlib.blake2b(text.encode(), digest_size=WIDTH).digest() for text, _ in lines) for lines in pages
-        ]
-        yield with_columns(
-            batch.drop_columns(["html"]),
-            lines=pa.array([[text for text, _ in lines] for lines in pages], pa.list_(pa.string())),
-            places=pa.array([[place for _, place in lines] for lines in pages], pa.list_(pa.int32())),
-            digests=pa.array(digests, pa.binary()),
-        )
-
-
-def with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
-    for name, column in columns.items():
-        batch = batch.append_column(name, column)
-    return batch
-
-
 def main_text(lines: list[str], places: list[int], shared: list[int]) -> tuple[list[str], int]:
     """The lines that are the page's text, and how many were deleted because they are shared."""
     best = max(places, default=0)
@@ -314,93 +294,113 @@ def main_text(lines: list[str], places: list[int], shared: list[int]) -> tuple[l
     return [x for i, x in enumerate(lines) if i not in gone], len(gone)
 
 
-def differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Text of pages next to the digests of their partners' lines (null: no partner)."""
+class Seen(NamedTuple):
+    """A page of the order: its key, what is returned with it, its lines and their digests."""
 
-    def split(digests: bytes) -> list[bytes]:
-        return [digests[i : i + WIDTH] for i in range(0, len(digests), WIDTH)]
+    host: bytes
+    path: bytes
+    guest: bool
+    page_id: object
+    url: bytes | None
+    lines: list[str]
+    places: list[int]
+    digests: list[bytes]
 
-    used = ["lines", "places", "digests", "other"]
-    for batch in batches:
-        out = []
-        for row in zip(*(batch[name] for name in used), strict=True):
-            lines, places, digests, other = (x.as_py() for x in row)
-            shared = common_lines(split(digests), split(other)) if other is not None else []
-            text, deleted = main_text(lines, places, shared)
-            out.append(("\n".join(text), len(shared), deleted))
-        texts, shared, deleted = zip(*out, strict=True) if out else ((), (), ())
-        yield with_columns(
-            batch.drop_columns(used),
-            text=pa.array(texts, pa.string()),
-            n_shared=pa.array(shared, pa.int64()),
-            n_deleted=pa.array(deleted, pa.int64()),
-        )
-
-
-def nearer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of the rows before and after, the one whose path begins like the page's for longer."""
-    for frame in frames:
-        out = []
-        for row, path, before, after in zip(frame["row"], frame["path"], frame["before"], frame["after"], strict=True):
-            if before is not None and after is not None:
-                longer = common_prefix(path, after["path"]) > common_prefix(path, before["path"])
-                out.append((row, (after if longer else before)["row"]))
-            elif before is not None or after is not None:
-                out.append((row, (before if before is not None else after)["row"]))
-        yield pd.DataFrame(out, columns=["row", "partner"])
 
+def compared(page: Seen, before: Seen | None, after: Seen | None) -> tuple:
+    """page_id, url, partner, text, n_shared, n_deleted of a page between its neighbours in the order."""
+    near = [x for x in (before, after) if x is not None and x.host == page.host]
+    # of equal ones the first
+    partner = max(near, key=lambda x: common_prefix(page.path, x.path), default=None)
+    shared = common_lines(page.digests, partner.digests) if partner else []
+    text, deleted = main_text(page.lines, page.places, shared)
+    return (page.page_id, page.url, partner.page_id if partner else None, "\n".join(text), len(shared), deleted)
+
+
+def differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of sorted pages; three pages are held at a time."""
+    part, before, page, kinds = None, None, None, {}
 
-def partners(pages: DataFrame) -> DataFrame:
-    """row, partner of pages (row, host, path): the nearest page of the host by URL path.
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds.values(), strict=True)], list(kinds))
 
-    The order is cut into ranges over all hosts, so one host may fill many of them; only the
-    first and last page of a host in each range are compared across ranges.
+    for batch in batches:
+        kind = batch.schema.field("page_id").type
+        kinds = {"page_id": kind, "url": pa.binary(), "partner": kind, "text": pa.string(), "n_shared": pa.int64(), "n_deleted": pa.int64()}
+        out = []
+        for row in zip(*(batch[x] for x in ("part", "host", "path", "guest", "page_id", "url", "html")), strict=True):
+            here, host, path, guest, page_id, url, html = (x.as_py() for x in row)
+            lines = lines_of(html.decode("utf-8", "replace"))
+            texts = [text for text, _ in lines]
+            digests = [hashlib.blake2b(text.encode(), digest_size=WIDTH).digest() for text in texts]
+            after = Seen(host, path, guest, page_id, url, texts, [place for _, place in lines], digests)
+            if page is not None and not page.guest:
+                out.append(compared(page, before, after if here == part else None))
+            before, page, part = page if here == part else None, after, here
+        yield batch_of(out)
+    if page is not None and not page.guest:
+        yield batch_of([compared(page, before, None)])
+
+
+def _sortable(key) -> tuple:
+    host, path, place, row = key
+    return bytes(host), bytes(path), int(place), int(row)
+
+
+def ordered(pages: DataFrame, ranges: int) -> DataFrame:
+    """Pages (host, path, place, row and more) by ranges of the order of their URLs.
+
+    Sorted by part and order. The keys alone are sorted first, and the driver sees the first and last
+    key of each range. The last page of a range is a guest in the next one and the first one in
+    the range before it, so that every page stands between its neighbours.
     """
-    order = ["path", "row"]
-    ranges = max(1, pages.count() // RANGE)
-    ranged = stored(
-        pages.select("row", "host", "path").repartitionByRange(ranges, "host", "path", "row").withColumn("part", F.spark_partition_id())
-    )
-    here = F.struct("row", "path")
-
-    def beside(df: DataFrame, *keys: str) -> DataFrame:
-        within = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({"before": F.lag(here).over(within), "after": F.lead(here).over(within)})
-
-    near = beside(ranged, "host", "part")
-    edge = F.col("before").isNull() | F.col("after").isNull()
-    edges = beside(near.where(edge).select("row", "host", "path"), "host")
-    # an edge page with a neighbour in its own range still has that one
-    inner = near.where(edge).select("row", F.col("before").alias("own_before"), F.col("after").alias("own_after"))
-    edges = edges.join(inner, "row").select(
-        "row",
-        "path",
-        F.coalesce("own_before", "before").alias("before"),
-        F.coalesce("own_after", "after").alias("after"),
+    names = ["host", "path", "place", "row"]
+    key = F.struct(*names)
+    ranged = pages.select(*names).repartitionByRange(ranges, *names)
+    ends = ranged.groupBy(F.spark_partition_id().alias("part")).agg(F.min(key).alias("first"), F.max(key).alias("last")).collect()
+    firsts, lasts = (sorted(_sortable(end[x]) for end in ends) for x in ("first", "last"))
+
+    @F.pandas_udf("array<int>")
+    def parts(host: pd.Series, path: pd.Series, place: pd.Series, row: pd.Series) -> pd.Series:
+        out = []
+        for x in zip(host, path, place, row, strict=True):
+            here = _sortable(x)
+            # a key before the first one belongs to the first range
+            own = max(bisect.bisect_right(firsts, here) - 1, 0)
+            found = [own]
+            if here == firsts[own] and own > 0:
+                found.append(own - 1)
+            if here == lasts[own] and own + 1 < len(firsts):
+                found.append(own + 1)
+            out.append(found)
+        return pd.Series(out)
+
+    sent = pages.withColumn("parts", parts(*names))
+    return (
+        sent.select(*pages.columns, F.posexplode("parts").alias("guest", "part"))
+        .withColumn("guest", F.col("guest") > 0)
+        .repartitionById(ranges, F.col("part"))
+        .sortWithinPartitions("part", *names)
     )
-    every = near.where(~edge).select("row", "path", "before", "after").unionByName(edges)
-    return every.mapInPandas(nearer, "row long, partner long")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page; also partner (its page_id), n_shared and n_deleted lines."""
-    html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    url = F.col("url")
     rows = pages.select(
         "page_id",
-        "url",
-        host_of(F.col("url")).alias("host"),
-        path_of(F.col("url")).alias("path"),
+        url.cast("binary").alias("url"),
+        host_of(url).cast("binary").alias("host"),
+        path_of(url).cast("binary").alias("path"),
+        F.coalesce(F.col("page_id").cast("long"), F.lit(NO_ID)).alias("place"),
         F.monotonically_increasing_id().alias("row"),
-        html.alias("html"),
+        F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("html"),
     )
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = rows.schema["page_id"].dataType.simpleString()
-    given = f"page_id {kind}, url string, host string, path string, row long"
-    parts = stored(rows.mapInArrow(parsed, f"{given}, lines array<string>, places array<int>, digests binary"))
-    others = parts.select(F.col("row").alias("partner"), F.col("page_id").alias("partner_id"), F.col("digests").alias("other"))
-    pairs = partners(parts).join(others, "partner").select("row", F.col("partner_id").alias("partner"), "other")
-    both = parts.join(pairs, "row", "left").select("page_id", "url", "partner", "lines", "places", "digests", "other")
-    result = both.mapInArrow(
-        differenced, f"page_id {kind}, url string, partner {kind}, text string, n_shared long, n_deleted long"
+    result = ordered(rows, max(tasks, pages.count() // RANGE)).mapInArrow(
+        differenced, f"page_id {kind}, url binary, partner {kind}, text string, n_shared long, n_deleted long"
     )
     n_chars = F.length("text").cast("long").alias("n_chars")
-    return result.select("page_id", "url", "text", n_chars, "partner", "n_shared", "n_deleted")
+    return result.select("page_id", F.col("url").cast("string").alias("url"), "text", n_chars, "partner", "n_shared", "n_deleted")

@@ -125,21 +125,20 @@ def test_copies_and_quotes_stay(spark):
     assert found == {1: "Head\nsame text", 2: "Head\nsame text", 3: "all of this\nis a copy", 4: "all of this\nis a copy"}
 
 
-@pytest.mark.parametrize("ranges", [20_000, 3])
-def test_partners(spark, monkeypatch, ranges):
-    monkeypatch.setattr(differencing, "RANGE", ranges)
-    rng = random.Random(ranges)
-    hosts = ["hot"] * 30 + [f"h{rng.randint(0, 6)}" for _ in range(20)] + ["single"]
-    rows = [(i, h, "/" + "".join(rng.choices("ab", k=rng.randint(0, 5)))) for i, h in enumerate(hosts)]
-    df = spark.createDataFrame(rows, "row long, host string, path string").repartition(4)
-    found = {r["row"]: r["partner"] for r in differencing.partners(df).collect()}
+@pytest.mark.parametrize("seed,pages", [(1, 60), (2, 400), (3, 5)])
+def test_partners(spark, seed, pages):
+    rng = random.Random(seed)
+    hosts = ["hot" if rng.random() < 0.5 else f"h{rng.randint(0, 9)}" for _ in range(pages)]
+    urls = [f"http://{h}/" + "".join(rng.choices("ab", k=rng.randint(0, 5))) for h in hosts]
+    rows = [(i, url, f"<p>{i}") for i, url in enumerate(urls)]
+    found = {r["page_id"]: r["partner"] for r in differencing.extract(table(spark, rows)).collect()}
     wanted = {}
     for host in set(hosts):
-        own = sorted((p, i) for i, h, p in rows if h == host)
-        for k, (path, i) in enumerate(own):
+        own = sorted((url, i) for i, url, _ in rows if hosts[i] == host)
+        for k, (url, i) in enumerate(own):
             near = [own[x] for x in (k - 1, k + 1) if 0 <= x < len(own)]
-            if near:
-                wanted[i] = max(near, key=lambda x: (len(os.path.commonprefix([path, x[0]])), x < (path, i)))[1]
+            best = max(near, key=lambda x: (len(os.path.commonprefix([url, x[0]])), x < (url, i)), default=(None, None))
+            wanted[i] = best[1]
     assert found == wanted
 
 
