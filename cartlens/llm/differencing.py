@@ -344,27 +344,27 @@ def differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sortable(key) -> tuple:
-    host, path, place, row = key
-    return bytes(host), bytes(path), int(place), int(row)
+    host, path, place = key
+    return bytes(host), bytes(path), int(place)
 
 
 def ordered(pages: DataFrame, ranges: int) -> DataFrame:
     """Pages (host, path, place, row and more) by ranges of the order of their URLs.
 
-    Sorted by part and order. The keys alone are sorted first, and the driver sees the first and last
+    Sorted by part and order; pages of one key, which repeat host, path and page_id, are not parted. The keys alone are sorted first, and the driver sees the first and last
     key of each range. The last page of a range is a guest in the next one and the first one in
     the range before it, so that every page stands between its neighbours.
     """
-    names = ["host", "path", "place", "row"]
+    names = ["host", "path", "place"]
     key = F.struct(*names)
     ranged = pages.select(*names).repartitionByRange(ranges, *names)
     ends = ranged.groupBy(F.spark_partition_id().alias("part")).agg(F.min(key).alias("first"), F.max(key).alias("last")).collect()
     firsts, lasts = (sorted(_sortable(end[x]) for end in ends) for x in ("first", "last"))
 
     @F.pandas_udf("array<int>")
-    def parts(host: pd.Series, path: pd.Series, place: pd.Series, row: pd.Series) -> pd.Series:
+    def parts(host: pd.Series, path: pd.Series, place: pd.Series) -> pd.Series:
         out = []
-        for x in zip(host, path, place, row, strict=True):
+        for x in zip(host, path, place, strict=True):
             here = _sortable(x)
             # a key before the first one belongs to the first range
             own = max(bisect.bisect_right(firsts, here) - 1, 0)
@@ -381,7 +381,7 @@ def ordered(pages: DataFrame, ranges: int) -> DataFrame:
         sent.select(*pages.columns, F.posexplode("parts").alias("guest", "part"))
         .withColumn("guest", F.col("guest") > 0)
         .repartitionById(ranges, F.col("part"))
-        .sortWithinPartitions("part", *names)
+        .sortWithinPartitions("part", *names, "row")
     )
 
 
