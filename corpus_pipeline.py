@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartlens.llm import exact, mixing, packing, quality, similar
+from cartlens.llm import exact, mixing, packing, quality, simhash
 from cartlens.llm.common import stored, table
 from cartlens.llm.queries import vocabulary
 
@@ -20,8 +20,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts with similar five-word shingles stays."""
-    return similar.drop_similar(docs)
+    """One document of each component of close fingerprints stays."""
+    return simhash.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ STAGES = [
     ("pack", pack_sequences),
 ]
 
-#: Similarities and tokens are not expressible in SQL; tests compare with a plain version.
+#: Fingerprints and tokens are not expressible in SQL; tests compare with a plain version.
 ORACLE_SQL = None
 
 
