@@ -176,9 +176,7 @@ def chosen(documents: DataFrame, marked: DataFrame, keepers: DataFrame) -> DataF
     kept = keepers.select("keeper.doc", "keeper.tag").distinct()
     kept = kept.select(F.col("doc").alias("_kept_doc"), F.col("tag").alias("_kept_tag"))
     doc, tag = id_of(documents), F.xxhash64(text_of(documents))
-    rows = documents.join(
-        kept.hint("shuffle_hash"), (doc == kept["_kept_doc"]) & (tag == kept["_kept_tag"]), "left_semi"
-    )
+    rows = documents.join(kept, (doc == kept["_kept_doc"]) & (tag == kept["_kept_tag"]), "left_semi")
     if marked.groupBy("doc", "tag").count().where("count > 1").isEmpty():
         return rows
     return rows.dropDuplicates(["doc_id", "text"])
