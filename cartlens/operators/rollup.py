@@ -1,105 +1,246 @@
-"""Many exact distinct counts over one scan."""
+"""Plain aggregates and many exact distinct counts of the same groups, over one scan."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Marks the rows that carry measures; entities are ``_0``, ``_1`` and so on.
+PLAIN = "_plain"
+#: Conditions of one rollup: a bit each.
+MOST_CONDITIONS = 63
 
-def distinct_counts(
+
+@dataclass(frozen=True)
+class Measure:
+    """A value per row, the rows it counts in, and how values and partial results are put together."""
+
+    value: Column
+    fold: Callable[[Column | str], Column]
+    condition: Column | None = None
+    #: sums are 0, not null, where no row meets the condition
+    adds: bool = False
+    #: also where there are no rows at all
+    counts: bool = False
+    #: measures of one column and fold share what the first stage carries
+    column: str | None = None
+
+
+def total(value: Column | str, condition: Column | None = None) -> Measure:
+    """The sum; rows that do not meet the condition add 0."""
+    return Measure(_col(value), F.sum, condition, adds=True, column=_name(value))
+
+
+def least(value: Column | str) -> Measure:
+    return Measure(_col(value), F.min, column=_name(value))
+
+
+def most(value: Column | str) -> Measure:
+    return Measure(_col(value), F.max, column=_name(value))
+
+
+def row_count(condition: Column | None = None) -> Measure:
+    """Number of rows, or of those that meet a condition."""
+    return Measure(F.lit(1), F.sum, condition, adds=True, counts=True, column="1")
+
+
+def _name(value: Column | str) -> str | None:
+    return value if isinstance(value, str) else None
+
+
+def _col(value: Column | str) -> Column:
+    return F.col(value) if isinstance(value, str) else value
+
+
+class _Stages:
+    """The parts that the two aggregations of a rollup have in common."""
+
+    def __init__(
+        self,
+        measures: dict[str, Measure],
+        counts: dict[str, tuple[str, str | None]],
+        flags: dict[str, Column],
+    ) -> None:
+        self.measures, self.counts, self.flags = measures, counts, flags
+        self.entities = list(dict.fromkeys(entity for entity, _ in counts.values()))
+        self.flag_bit = {flag: 1 << position for position, flag in enumerate(flags)}
+        conditional = [name for name, measure in measures.items() if measure.condition is not None]
+        if len(conditional) > MOST_CONDITIONS:
+            raise ValueError(f"at most {MOST_CONDITIONS} conditions, not {len(conditional)}")
+        self.bit = {name: 1 << position for position, name in enumerate(conditional)}
+        self.base = {name: self._carried(name, measure) for name, measure in measures.items()}
+
+    @staticmethod
+    def _carried(name: str, measure: Measure) -> str:
+        if measure.column is None:
+            return f"_m_{name}"
+        return f"_m_{measure.fold.__name__}_{measure.column}"
+
+    def first(self, df: DataFrame, keys: list[str], label: Column | None = None) -> DataFrame:
+        """A row per key and entity with its flags, and one per key and set of conditions met.
+
+        ``label`` divides the rows with measures further.
+        """
+        conditions = {self.bit[name]: self.measures[name].condition for name in self.bit}
+        flags = {self.flag_bit[flag]: condition for flag, condition in self.flags.items()}
+        kinds = {f"_{position}": self._wanted(entity) for position, entity in enumerate(self.entities)}
+        plain = F.col("_kind") == PLAIN
+        if self.measures:
+            kinds[PLAIN] = (F.lit(None) if label is None else label).cast("string")
+        values = {self.base[name]: m.value for name, m in self.measures.items()}
+        wide = df.select(
+            *keys,
+            _mask(conditions).alias("_met"),
+            _mask(flags).alias("_flags"),
+            *[value.alias(name) for name, value in (values | kinds).items()],
+        )
+        tall = wide.unpivot([*keys, "_met", "_flags", *values], list(kinds), "_kind", "_value")
+        folds = {self.base[name]: m.fold for name, m in self.measures.items()}
+        return (
+            tall.filter(plain | F.col("_value").isNotNull())
+            .groupBy(
+                *keys,
+                "_kind",
+                "_value",
+                F.when(plain, F.col("_met")).alias("_met"),
+            )
+            .agg(
+                F.bit_or("_flags").alias("_flags"),
+                *[fold(F.when(plain, F.col(name))).alias(name) for name, fold in folds.items()],
+            )
+        )
+
+    def _wanted(self, entity: str) -> Column:
+        value = F.col(entity).cast("string")
+        needed = [flag for e, flag in self.counts.values() if e == entity]
+        return value if None in needed else F.when(reduce(or_, [self.flags[flag] for flag in needed]), value)
+
+    def second(self, seen: DataFrame) -> list[Column]:
+        """The aggregates of the rows of the first stage, in the types one aggregation would have."""
+        result = []
+        for name, measure in self.measures.items():
+            value = F.col(self.base[name])
+            if name in self.bit:
+                met = F.col("_met").bitwiseAND(self.bit[name]) != 0
+                value = F.when(met, value).otherwise(value * 0) if measure.adds else F.when(met, value)
+            folded = measure.fold(value)
+            if measure.counts:
+                folded = F.coalesce(folded, F.lit(0))
+            result.append(folded.cast(seen.schema[self.base[name]].dataType).alias(name))
+        for name, (entity, flag) in self.counts.items():
+            found = F.col("_kind") == f"_{self.entities.index(entity)}"
+            if flag is not None:
+                found = found & (F.col("_flags").bitwiseAND(self.flag_bit[flag]) != 0)
+            result.append(F.count_if(found).alias(name))
+        return result
+
+
+def _mask(conditions: dict[int, Column]) -> Column:
+    """The bits of the conditions that a row meets."""
+    met = [F.when(condition, bit).otherwise(0) for bit, condition in conditions.items()]
+    return reduce(lambda bits, one: bits.bitwiseOR(one), met, F.lit(0)).cast("bigint")
+
+
+def rollup(
     df: DataFrame,
     keys: list[str],
+    measures: dict[str, Measure],
     counts: dict[str, tuple[str, str | None]],
     flags: dict[str, Column] | None = None,
-    sums: dict[str, Column] | None = None,
+    fine: bool = False,
 ) -> DataFrame:
-    """Exact ``COUNT(DISTINCT entity) [FILTER (WHERE flag)]`` columns per key.
+    """Measures and exact ``COUNT(DISTINCT entity) [FILTER (WHERE flag)]`` columns per key.
 
     ``counts`` maps an output name to (entity column, flag name or None) and
     ``flags`` maps flag names to conditions.
 
-    Plain ``countDistinct`` with conditions copies and shuffles an entity once per
-    expression. Here it travels once, with its flags in one bit mask; rows without
-    an entity or without any wanted flag are dropped before the shuffle. The first
-    aggregation is keyed by the entity itself, so a key holding a large part of all
-    rows is spread over all tasks; the second one only adds up partial counts.
+    The input is read once. A row becomes one row with its measures and one per entity it names; an
+    entity travels once, with its flags in one bit mask, and is left out without any wanted
+    flag. The first aggregation is keyed by the entity itself, so a key holding a large part of
+    all rows is spread over all tasks. Measures are reduced there to a row per key and set of
+    conditions met, so that a row costs one addition however many conditional figures are asked for;
+    the second aggregation tells them apart and adds up. Null keys form a group; without keys the
+    result is one row.
 
-    ``sums`` are plain sums that ride along with the first entity, for inputs that
-    are themselves expensive and should be computed once.
+    ``fine`` is for groups of a few rows, which neither stage makes fewer: there the measures are
+    aggregated on their own and joined, which reads the columns of the entities a second time. For the
+    sessions of 4 million events that takes 4.7 s on eight cores and one scan 9.6 s, because every
+    entity row carries the room for the measures and texts are folded by sorting all of them.
     """
-    flags, sums = flags or {}, sums or {}
-    entities = list(dict.fromkeys(entity for entity, _ in counts.values()))
-    code = {entity: position for position, entity in enumerate(entities)}
-    bit = {flag: 1 << position for position, flag in enumerate(flags)}
-    carried = {name: f"_sum_{name}" for name in sums}
+    if fine:
+        return _beside(df, keys, measures, counts, flags)
+    stages = _Stages(measures, counts, flags or {})
+    seen = stages.first(df, keys)
+    return seen.groupBy(*keys).agg(*stages.second(seen))
 
-    def tagged(entity: str) -> Column:
-        value = F.col(entity).cast("string")
-        needed = [flag for e, flag in counts.values() if e == entity]
-        if None not in needed:
-            value = F.when(reduce(or_, [flags[flag] for flag in needed]), value)
-        # null in the type of the measure on all entities but the first
-        first = F.lit(code[entity] == 0)
-        measures = [F.when(first, sums[name]).alias(column) for name, column in carried.items()]
-        return F.struct(F.lit(code[entity]).alias("_kind"), value.alias("_value"), *measures)
-
-    mask = reduce(
-        lambda bits, flag: bits.bitwiseOR(F.when(flags[flag], bit[flag]).otherwise(0)),
-        flags,
-        F.lit(0),
-    )
-    tall = df.select(
-        *keys,
-        mask.cast("bigint").alias("_mask"),
-        F.inline(F.array(*[tagged(entity) for entity in entities])),
-    )
-    useful = F.col("_value").isNotNull()
-    if sums:
-        useful = useful | (F.col("_kind") == 0)
-    seen = (
-        tall.filter(useful)
-        .groupBy(*keys, "_kind", "_value")
-        .agg(F.bit_or("_mask").alias("_mask"), *[F.sum(c).alias(c) for c in carried.values()])
-    )
-
-    def counted(entity: str, flag: str | None) -> Column:
-        found = (F.col("_kind") == code[entity]) & F.col("_value").isNotNull()
-        if flag is not None:
-            found = found & (F.col("_mask").bitwiseAND(bit[flag]) != 0)
-        return F.count_if(found)
-
-    return seen.groupBy(*keys).agg(
-        *[counted(entity, flag).alias(name) for name, (entity, flag) in counts.items()],
-        *[F.sum(column).alias(name) for name, column in carried.items()],
-    )
 
-
-def with_distinct_counts(
+def _beside(
     df: DataFrame,
     keys: list[str],
-    measures: list[Column],
+    measures: dict[str, Measure],
     counts: dict[str, tuple[str, str | None]],
-    flags: dict[str, Column] | None = None,
+    flags: dict[str, Column] | None,
 ) -> DataFrame:
-    """Plain aggregates and exact distinct counts of the same groups, side by side.
+    """``rollup`` by two aggregations and a join."""
+
+    def folded(measure: Measure) -> Column:
+        value = measure.value
+        if measure.condition is not None:
+            value = F.when(measure.condition, value).otherwise(value * 0 if measure.adds else None)
+        return measure.fold(value)
 
-    For inputs that are cheap to read twice: the measures are reduced map-side to
-    one row per key and task and never widen the entity rows. A key without any entity
-    counts 0; null keys form a group; without keys the result is one row.
-    """
-    if not keys:
-        found = distinct_counts(df, [], counts, flags).select(F.struct(*counts)).scalar()
-        return df.agg(*measures).withColumns({name: found[name] for name in counts})
     # as one record the keys are equal also where fields are null, and both sides
     # meet in the partitioning they were aggregated in
     keyed = df.withColumn("_key", F.struct(*keys))
-    plain = keyed.groupBy("_key").agg(*measures)
+    plain = keyed.groupBy("_key").agg(*[folded(measure).alias(name) for name, measure in measures.items()])
     distinct = distinct_counts(keyed, ["_key"], counts, flags)
     return plain.join(distinct, "_key", "left").select(
-        "_key.*",
-        *[name for name in plain.columns if name != "_key"],
-        *[F.coalesce(F.col(name), F.lit(0).cast("bigint")).alias(name) for name in counts],
+        "_key.*", *measures, *[F.coalesce(F.col(name), F.lit(0).cast("bigint")).alias(name) for name in counts]
+    )
+
+
+def rollup_by(
+    df: DataFrame,
+    label: str,
+    measures: dict[str, Measure],
+    counts: dict[str, tuple[str, str | None]],
+) -> DataFrame:
+    """Rows per non-null value of ``label`` with their number, next to the totals of everything.
+
+    One scan: the rows with measures are kept apart by label up to the end, where a window over a row
+    per label, and one for all entities, adds them up.
+    """
+    stages = _Stages(measures | {"_rows": row_count()}, counts, {})
+    seen = stages.first(df, [], F.col(label))
+    plain = F.col("_kind") == PLAIN
+    parts = seen.groupBy(plain.alias("_plain"), F.when(plain, F.col("_value")).alias("_label")).agg(
+        *stages.second(seen)
+    )
+    whole = Window.partitionBy(F.lit(0))
+    totals = {name: m.fold(name).over(whole).cast(parts.schema[name].dataType) for name, m in measures.items()}
+    totals |= {name: F.sum(name).over(whole) for name in counts}
+    return (
+        parts.select(
+            "_plain",
+            F.col("_label").alias(label),
+            F.col("_rows").alias("count"),
+            *[column.alias(name) for name, column in totals.items()],
+        )
+        .filter(F.col("_plain") & F.col(label).isNotNull())
+        .drop("_plain")
     )
+
+
+def distinct_counts(
+    df: DataFrame,
+    keys: list[str],
+    counts: dict[str, tuple[str, str | None]],
+    flags: dict[str, Column] | None = None,
+) -> DataFrame:
+    """The distinct counts of ``rollup`` alone; keys without any entity are left out."""
+    return rollup(df, keys, {}, counts, flags)

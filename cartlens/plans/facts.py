@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from cartlens.functions.dates import moment_of
-from cartlens.functions.metrics import count_equal, count_type, growth, rate, revenue_where
-from cartlens.operators.rollup import distinct_counts, with_distinct_counts
+from cartlens.functions.metrics import growth, rate
+from cartlens.operators.rollup import Measure, least, most, rollup, row_count, total
 
 # Output name and value of the device and source breakdowns.
 DEVICE_BREAKDOWN = {"mobile": "mobile", "desktop": "desktop", "tablet": "tablet"}
@@ -43,29 +43,30 @@ def _mean(column: str, window: WindowSpec) -> Column:
 
 
 def daily_events(stg_events: DataFrame) -> DataFrame:
-    return with_distinct_counts(
+    kind = F.col("event_type")
+    return rollup(
         stg_events,
         ["event_date"],
-        [
-            F.count(F.lit(1)).alias("total_events"),
-            count_type("page_view").alias("page_views"),
-            count_type("product_view").alias("product_views"),
-            count_type("search").alias("searches"),
-            count_type("add_to_cart").alias("add_to_cart_events"),
-            count_type("begin_checkout").alias("checkout_starts"),
-            count_type("purchase").alias("purchases"),
-            count_type("signup").alias("signups"),
-            count_type("login").alias("logins"),
-            F.sum("revenue_amount").alias("total_revenue"),
-            *[
-                count_equal("device_type", value).alias(f"{name}_events")
+        {
+            "total_events": row_count(),
+            "page_views": row_count(kind == "page_view"),
+            "product_views": row_count(kind == "product_view"),
+            "searches": row_count(kind == "search"),
+            "add_to_cart_events": row_count(kind == "add_to_cart"),
+            "checkout_starts": row_count(kind == "begin_checkout"),
+            "purchases": row_count(kind == "purchase"),
+            "signups": row_count(kind == "signup"),
+            "logins": row_count(kind == "login"),
+            "total_revenue": total("revenue_amount"),
+            **{
+                f"{name}_events": row_count(F.col("device_type") == value)
                 for name, value in DEVICE_BREAKDOWN.items()
-            ],
-            *[
-                count_equal("traffic_source", value).alias(f"{name}_events")
+            },
+            **{
+                f"{name}_events": row_count(F.col("traffic_source") == value)
                 for name, value in SOURCE_BREAKDOWN.items()
-            ],
-        ],
+            },
+        },
         {
             "daily_active_users": ("user_id", None),
             "total_sessions": ("session_id", None),
@@ -75,11 +76,11 @@ def daily_events(stg_events: DataFrame) -> DataFrame:
     )
 
 
-def _means(columns: dict[str, str]) -> dict[str, Column]:
+def _means(columns: dict[str, str]) -> dict[str, Measure]:
     """Sums and counts from which ``_mean_of`` gets the mean of non-null values."""
-    sums = {f"{name}_sum": F.col(column) for name, column in columns.items()}
+    sums = {f"{name}_sum": total(column) for name, column in columns.items()}
     known = {
-        f"{name}_known": F.when(F.col(column).isNotNull(), 1) for name, column in columns.items()
+        f"{name}_known": total(F.when(F.col(column).isNotNull(), 1)) for name, column in columns.items()
     }
     return sums | known
 
@@ -99,12 +100,8 @@ def daily_sessions(int_sessions: DataFrame) -> DataFrame:
         "sessions": ("session_id", None),
         "converted_sessions": ("session_id", "converted"),
     }
-    return distinct_counts(
-        int_sessions,
-        ["session_date"],
-        counts,
-        {"converted": F.col("is_converted")},
-        sums=_means(means),
+    return rollup(
+        int_sessions, ["session_date"], _means(means), counts, {"converted": F.col("is_converted")}
     ).select("session_date", *counts, *[_mean_of(name) for name in means])
 
 
@@ -176,13 +173,13 @@ def daily_funnel(int_user_journey: DataFrame) -> DataFrame:
         | {f"sessions_at_{stage}": ("session_id", stage) for stage in stages}
         | {name: ("user_id", stage) for name, stage in drop_offs.items()}
     )
-    return distinct_counts(
+    return rollup(
         int_user_journey,
         ["event_date"],
+        {"total_revenue": total("total_revenue")} | _means(means),
         counts,
         {stage: F.col(f"reached_{stage}") for stage in stages}
         | {stage: F.col("drop_off_stage") == stage for stage in drop_offs.values()},
-        sums={"total_revenue": F.col("total_revenue")} | _means(means),
     ).select("event_date", *counts, "total_revenue", *[_mean_of(name) for name in means])
 
 
@@ -223,23 +220,23 @@ def daily_category_revenue(stg_events: DataFrame) -> DataFrame:
     paid = stg_events.filter((F.col("event_type") == "purchase") & (revenue > 0)).withColumn(
         "category", F.coalesce("product_category", F.lit("Unknown"))
     )
-    return with_distinct_counts(
+    sums = rollup(
         paid,
         ["event_date", "category"],
-        [
-            F.sum(revenue).alias("gross_revenue"),
-            (F.sum(revenue).cast("double") / F.count(revenue)).alias("avg_transaction_value"),
-            F.min(revenue).alias("min_transaction_value"),
-            F.max(revenue).alias("max_transaction_value"),
-            *[
-                revenue_where(F.col("device_type") == value).alias(f"{name}_revenue")
+        {
+            "gross_revenue": total("revenue_amount"),
+            "transactions": row_count(),
+            "min_transaction_value": least("revenue_amount"),
+            "max_transaction_value": most("revenue_amount"),
+            **{
+                f"{name}_revenue": total("revenue_amount", F.col("device_type") == value)
                 for name, value in DEVICE_BREAKDOWN.items()
-            ],
-            *[
-                revenue_where(F.col("traffic_source") == value).alias(f"{name}_revenue")
+            },
+            **{
+                f"{name}_revenue": total("revenue_amount", F.col("traffic_source") == value)
                 for name, value in SOURCE_BREAKDOWN.items()
-            ],
-        ],
+            },
+        },
         {
             "transaction_count": ("event_id", None),
             "purchasing_users": ("user_id", None),
@@ -247,6 +244,8 @@ def daily_category_revenue(stg_events: DataFrame) -> DataFrame:
             "unique_products_sold": ("product_id", None),
         },
     )
+    mean = F.col("gross_revenue").cast("double") / F.col("transactions")
+    return sums.withColumn("avg_transaction_value", mean).drop("transactions")
 
 
 def fct_revenue(stg_events: DataFrame, stg_products: DataFrame, as_of: dt.datetime) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cartlens.functions.dates import seconds_elapsed, weekday_from_monday
 from cartlens.functions.metrics import count_type, per_at_least_one, rate
-from cartlens.operators.rollup import with_distinct_counts
+from cartlens.operators.rollup import Measure, least, most, rollup, rollup_by, row_count, total
 
 
 def flat_events(events: DataFrame) -> DataFrame:
@@ -37,6 +37,16 @@ def _type_counts() -> list[Column]:
     ]
 
 
+def _type_measures() -> dict[str, Measure]:
+    kind = F.col("event_type")
+    return {
+        "page_views": row_count(kind == "page_view"),
+        "product_views": row_count(kind == "product_view"),
+        "add_to_carts": row_count(kind == "add_to_cart"),
+        "purchases": row_count(kind == "purchase"),
+    }
+
+
 def _first_known(column: str) -> Column:
     """First non-null value by time, then event id."""
     order = F.when(F.col(column).isNotNull(), F.struct("timestamp", "event_id"))
@@ -68,14 +78,14 @@ def flat_daily_metrics(events: DataFrame) -> DataFrame:
     dated = events.withColumn("event_date", F.to_date("timestamp")).filter(
         F.col("event_date").isNotNull()
     )
-    return with_distinct_counts(
+    return rollup(
         dated,
         ["event_date"],
-        [
-            F.count("event_id").alias("total_events"),
-            *_type_counts(),
-            F.sum("revenue").alias("total_revenue"),
-        ],
+        {
+            "total_events": row_count(F.col("event_id").isNotNull()),
+            **_type_measures(),
+            "total_revenue": total("revenue"),
+        },
         {"unique_users": ("user_id", None), "unique_sessions": ("session_id", None)},
     ).withColumns(
         {
@@ -107,44 +117,46 @@ def flat_product_performance(events: DataFrame) -> DataFrame:
 
 
 def metric_summary(events: DataFrame, event_column: str = "event_type") -> DataFrame:
-    """One row with overall totals, counts per event type and rates.
+    """Overall totals and rates, beside each event type and its number of events.
 
-    Columns the table does not have leave their figures out or at 0.
+    Columns the table does not have leave their figures out or at 0; without event types the
+    result is one row.
     """
     have = set(events.columns)
-    measures = [F.count(F.lit(1)).alias("total_events")]
+    measures = {"total_events": row_count()}
     if event_column in have:
-        measures += [
-            count_type("product_view", event_column).alias("_views"),
-            count_type("add_to_cart", event_column).alias("_carts"),
-            count_type("purchase", event_column).alias("_purchases"),
-        ]
+        kind = F.col(event_column)
+        measures |= {
+            "_views": row_count(kind == "product_view"),
+            "_carts": row_count(kind == "add_to_cart"),
+            "_purchases": row_count(kind == "purchase"),
+        }
     if "revenue" in have:
-        positive = F.when(F.col("revenue") > 0, F.col("revenue").cast("double"))
-        measures += [
-            F.sum("revenue").alias("total_revenue"),
-            F.coalesce(F.avg(positive), F.lit(0.0)).alias("avg_order_value"),
-        ]
+        paid = F.col("revenue") > 0
+        measures |= {
+            "total_revenue": total("revenue"),
+            "_paid": total(F.when(paid, F.col("revenue").cast("double"))),
+            "_payments": row_count(paid),
+        }
     distinct = {"unique_users": "user_id", "unique_sessions": "session_id"}
     counted = {name: (column, None) for name, column in distinct.items() if column in have}
-    if counted:
-        totals = with_distinct_counts(events, [], measures, counted)
+    if event_column in have:
+        totals = rollup_by(events, event_column, measures, counted)
+        totals = totals.withColumnsRenamed({event_column: "event_type", "count": "events"})
     else:
-        totals = events.agg(*measures)
+        totals = rollup(events, [], measures, counted)
     totals = totals.withColumns({name: F.lit(0) for name in distinct if name not in counted})
-    if event_column not in have:
-        return totals
-    # one entry per event type
-    entries = F.collect_list(F.struct(event_column, "count"))
-    breakdown = _counts(events, event_column).agg(F.map_from_entries(entries).alias("types"))
-    return totals.withColumns(
-        {
-            "view_to_cart_rate": rate("_carts", "_views"),
-            "cart_to_purchase_rate": rate("_purchases", "_carts"),
-            "overall_conversion_rate": rate("_purchases", "_views"),
-            "event_breakdown": breakdown.scalar(),
-        }
-    ).drop("_views", "_carts", "_purchases")
+    if "revenue" in have:
+        totals = totals.withColumn("avg_order_value", rate("_paid", "_payments"))
+    if event_column in have:
+        totals = totals.withColumns(
+            {
+                "view_to_cart_rate": rate("_carts", "_views"),
+                "cart_to_purchase_rate": rate("_purchases", "_carts"),
+                "overall_conversion_rate": rate("_purchases", "_views"),
+            }
+        )
+    return totals.drop("_views", "_carts", "_purchases", "_paid", "_payments")
 
 
 def _counts(df: DataFrame, column: str) -> DataFrame:
@@ -159,21 +171,17 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def event_profile(events: DataFrame) -> DataFrame:
     """Event types with share, next to the totals of the whole data set."""
-    totals = with_distinct_counts(
+    totals = rollup_by(
         events,
-        [],
-        [
-            F.count(F.lit(1)).alias("total_events"),
-            F.min("timestamp").alias("first_event"),
-            F.max("timestamp").alias("last_event"),
-            F.sum("revenue").alias("total_revenue"),
-        ],
+        "event_type",
+        {
+            "total_events": row_count(),
+            "first_event": least("timestamp"),
+            "last_event": most("timestamp"),
+            "total_revenue": total("revenue"),
+        },
         {"unique_users": ("user_id", None), "unique_sessions": ("session_id", None)},
     )
-    total = totals.select(F.struct(*totals.columns)).scalar()
-    return (
-        _counts(events, "event_type")
-        .withColumns({name: total[name] for name in totals.columns})
-        .withColumn("percent", F.col("count") * 100.0 / F.col("total_events"))
-        .orderBy(F.desc("count"), "event_type")
+    return totals.withColumn("percent", F.col("count") * 100.0 / F.col("total_events")).orderBy(
+        F.desc("count"), "event_type"
     )

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions.dates import seconds_crossed
-from cartlens.functions.metrics import count_type, rate, revenue_where
+from cartlens.functions.metrics import count_type, rate
 from cartlens.operators.ranking import continuous_percentiles
-from cartlens.operators.rollup import with_distinct_counts
+from cartlens.operators.rollup import least, most, rollup, row_count, total
 from cartlens.schemas import EVENT_TYPES, MAX_SESSION_HOURS
 from cartlens.session import durable
 
@@ -31,34 +31,36 @@ def int_sessions(stg_events: DataFrame, max_hours: int = MAX_SESSION_HOURS) -> D
     counted as distinct values.
     """
     unknown_type = F.when(~F.col("event_type").isin(EVENT_TYPES), F.col("event_type"))
-    grouped = with_distinct_counts(
+    kind = F.col("event_type")
+    grouped = rollup(
         stg_events.withColumn("unknown_type", unknown_type),
         ["session_id", "user_id"],
-        [
-            F.min("event_timestamp").alias("session_start"),
-            F.max("event_timestamp").alias("session_end"),
-            F.min("event_date").alias("session_date"),
-            F.min("device_type").alias("device_type"),
-            F.min("country_code").alias("country_code"),
-            F.min("traffic_source").alias("traffic_source"),
-            F.count(F.lit(1)).alias("total_events"),
-            count_type("page_view").alias("page_views"),
-            count_type("product_view").alias("product_views"),
-            count_type("search").alias("searches"),
-            count_type("add_to_cart").alias("add_to_cart_events"),
-            count_type("remove_from_cart").alias("remove_from_cart_events"),
-            count_type("begin_checkout").alias("checkout_starts"),
-            count_type("purchase").alias("purchases"),
-            count_type("signup").alias("signups"),
-            count_type("login").alias("logins"),
-            F.sum("revenue_amount").alias("session_revenue"),
-            F.max("revenue_amount").alias("max_order_value"),
-        ],
+        {
+            "session_start": least("event_timestamp"),
+            "session_end": most("event_timestamp"),
+            "session_date": least("event_date"),
+            "device_type": least("device_type"),
+            "country_code": least("country_code"),
+            "traffic_source": least("traffic_source"),
+            "total_events": row_count(),
+            "page_views": row_count(kind == "page_view"),
+            "product_views": row_count(kind == "product_view"),
+            "searches": row_count(kind == "search"),
+            "add_to_cart_events": row_count(kind == "add_to_cart"),
+            "remove_from_cart_events": row_count(kind == "remove_from_cart"),
+            "checkout_starts": row_count(kind == "begin_checkout"),
+            "purchases": row_count(kind == "purchase"),
+            "signups": row_count(kind == "signup"),
+            "logins": row_count(kind == "login"),
+            "session_revenue": total("revenue_amount"),
+            "max_order_value": most("revenue_amount"),
+        },
         {
             "unknown_types": ("unknown_type", None),
             "unique_products_viewed": ("product_id", None),
             "unique_categories_viewed": ("product_category", None),
         },
+        fine=True,
     )
     counted_types = [
         "page_views",
@@ -163,14 +165,14 @@ def product_metrics(stg_events: DataFrame) -> DataFrame:
     """Distinct views, carts, purchases and their rates per product."""
     about_products = stg_events.filter(F.col("product_id").isNotNull())
     kind = F.col("event_type")
-    metrics = with_distinct_counts(
+    metrics = rollup(
         about_products,
         ["product_id"],
-        [
-            revenue_where(kind == "purchase").alias("total_revenue"),
-            F.min("event_date").alias("first_interaction_date"),
-            F.max("event_date").alias("last_interaction_date"),
-        ],
+        {
+            "total_revenue": total("revenue_amount", kind == "purchase"),
+            "first_interaction_date": least("event_date"),
+            "last_interaction_date": most("event_date"),
+        },
         {
             "total_views": ("event_id", "view"),
             "unique_viewers": ("user_id", "view"),

@@ -65,8 +65,9 @@ def test_metric_summary(make_events):
             {"event_type": "purchase", "revenue": 8.0},
             {"event_type": "purchase", "revenue": 0.0},
         )
-    ).first()
-    assert found.event_breakdown == {"product_view": 1, "add_to_cart": 1, "purchase": 2}
+    ).collect()
+    assert {r.event_type: r.events for r in found} == {"product_view": 1, "add_to_cart": 1, "purchase": 2}
+    found = found[0]
     assert (found.total_revenue, found.avg_order_value) == (8.0, 8.0)
     assert (found.view_to_cart_rate, found.cart_to_purchase_rate) == (1.0, 2.0)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import decimal as dec
 import random
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartlens.operators.ranking import continuous_percentiles, with_ntile
-from cartlens.operators.rollup import distinct_counts, with_distinct_counts
+from cartlens.operators.rollup import distinct_counts, least, most, rollup, rollup_by, row_count, total
 from cartlens.operators.sessionize import gap_sessions, with_gap_sessions
 
 
@@ -94,12 +95,67 @@ def test_groups_without_entities_and_null_keys_stay(spark):
     df = spark.createDataFrame(
         [("a", None), (None, "u1"), (None, "u2")], "k string, user string"
     )
-    both = with_distinct_counts(
-        df, ["k"], [F.count(F.lit(1)).alias("n")], {"users": ("user", None)}
-    )
+    both = rollup(df, ["k"], {"n": row_count()}, {"users": ("user", None)})
     assert sorted(map(str, map(tuple, both.collect()))) == ["('a', 1, 0)", "(None, 2, 2)"]
 
 
+def some_measures():
+    return {
+        "n": row_count(),
+        "hits": row_count(F.col("hit")),
+        "first": least("item"),
+        "last": most("user"),
+        "paid": total("price"),
+        "hits_paid": total("price", F.col("hit")),
+    }
+
+
+def test_measures_ride_with_distinct_counts(spark):
+    random.seed(6)
+    rows = [
+        (
+            random.choice(["a", "b", None]),
+            random.choice(["u1", "u2", None]),
+            random.choice([*range(9), None]),
+            random.choice([True, False, None]),
+            random.choice([None, dec.Decimal("1.25"), dec.Decimal("99999999.99")]),
+        )
+        for _ in range(600)
+    ]
+    df = spark.createDataFrame(rows, "k string, user string, item int, hit boolean, price decimal(10,2)")
+    counts = {"users": ("user", None), "items": ("item", "hit")}
+    plain = [
+        F.count(F.lit(1)).alias("n"),
+        F.count_if("hit").alias("hits"),
+        F.min("item").alias("first"),
+        F.max("user").alias("last"),
+        F.sum("price").alias("paid"),
+        F.sum(F.when(F.col("hit"), F.col("price")).otherwise(F.col("price") * 0)).cast("decimal(20,2)").alias("hits_paid"),
+        F.countDistinct("user").alias("users"),
+        F.countDistinct(F.when(F.col("hit"), F.col("item"))).alias("items"),
+    ]
+    for frame in (df, df.limit(0)):
+        for keys in (["k"], []):
+            wanted = frame.groupBy(*keys).agg(*plain)
+            for fine in (False, True) if keys else (False,):
+                ours = rollup(frame, keys, some_measures(), counts, {"hit": F.col("hit")}, fine)
+                # a product of decimals has another type
+                assert ours.dtypes[:-3] == wanted.dtypes[:-3]
+                assert sorted(map(str, ours.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_rollup_by_label(spark):
+    rows = [("a", "u1", 1, True), ("a", "u2", 2, None), ("b", "u1", 3, False), (None, "u3", 4, True)]
+    df = spark.createDataFrame(rows, "k string, user string, item int, hit boolean")
+    measures = some_measures()
+    for name in ("paid", "hits_paid"):
+        del measures[name]
+    found = rollup_by(df, "k", measures, {"users": ("user", None)})
+    assert found.columns == ["k", "count", "n", "hits", "first", "last", "users"]
+    assert sorted(map(tuple, found.collect())) == [("a", 2, 4, 2, 1, "u3", 3), ("b", 1, 4, 2, 1, "u3", 3)]
+    assert rollup_by(df.limit(0), "k", measures, {"users": ("user", None)}).collect() == []
+
+
 def brute_force_sessions(events):
     """Session start of every event by walking each user's events in order."""
     starts, last, current = {}, {}, {}

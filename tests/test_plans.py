@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cartlens.operators import quality
 from cartlens.operators.sessionize import gap_sessions
-from cartlens.plans import facts, intermediate, staging
+from cartlens.plans import facts, flat, intermediate, staging
 from cartlens.plans.flat import flat_sessions
 from cartlens.sources.testbed import AS_OF
 from verification.queries import PLANS, Tables
@@ -100,6 +100,22 @@ def test_skewed_session_is_spread(spark):
     assert flat_sessions(events).filter("user_id = 'HOT'").first().unique_products == 10000
 
 
+@pytest.mark.parametrize(
+    "build",
+    [
+        lambda raw, staged: facts.daily_events(staged),
+        lambda raw, staged: facts.daily_category_revenue(staged),
+        lambda raw, staged: intermediate.product_metrics(staged),
+        lambda raw, staged: flat.flat_daily_metrics(raw),
+        lambda raw, staged: flat.metric_summary(raw),
+        lambda raw, staged: flat.event_profile(raw),
+    ],
+)
+def test_figures_and_distinct_counts_take_one_scan(stored_events, build):
+    plan = plan_of(build(stored_events, staging.stg_events(stored_events, AS_OF)))
+    assert len(set(re.findall(r"Scan parquet +\((\d+)\)", plan))) == 1
+
+
 def test_all_checks_scan_the_events_four_times(spark, stored_events):
     report = quality.report(stored_events, AS_OF)
     report.collect()

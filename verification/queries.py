@@ -157,12 +157,6 @@ class Tables:
         return flat.flat_product_performance(self.events)
 
 
-def _metric_summary(t: Tables) -> DataFrame:
-    return flat.metric_summary(t.events).select(
-        "*", F.explode("event_breakdown").alias("event_type", "events")
-    ).drop("event_breakdown")
-
-
 def _assert_columns(t: Tables) -> DataFrame:
     """All declared assertions on the raw tables and the twelve models."""
     models = layered_models(
@@ -362,7 +356,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "flat_sessions": lambda t: t.flat_sessions,
     "flat_daily_metrics": lambda t: t.daily,
     "flat_product_performance": lambda t: t.flat_products,
-    "metric_summary": _metric_summary,
+    "metric_summary": lambda t: flat.metric_summary(t.events),
     "event_profile": lambda t: flat.event_profile(t.events),
     "sessionize_gap": lambda t: sessionize.gap_sessions(t.events),
     "sessionize_events": lambda t: sessionize.with_gap_sessions(t.events).select(
