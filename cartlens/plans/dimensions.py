@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions.dates import day, days_crossed, moment_of
-from cartlens.operators.ranking import with_ntile
-from cartlens.session import durable
+from cartlens.operators.ranking import with_ntiles
+from cartlens.session import kept
 
 
 def user_activity(int_sessions: DataFrame) -> DataFrame:
@@ -55,17 +55,17 @@ def with_rfm_scores(activity: DataFrame, as_of: dt.datetime) -> DataFrame:
             .otherwise(1),
         }
     )
-    scored = with_ntile(scored, 5, "total_sessions", "user_id", "frequency_score")
-    return with_ntile(scored, 5, "monetary", "user_id", "monetary_score").drop("monetary")
+    ranked = {"frequency_score": "total_sessions", "monetary_score": "monetary"}
+    return with_ntiles(scored, 5, ranked, "user_id").drop("monetary")
 
 
 def dim_users(stg_users: DataFrame, int_sessions: DataFrame, as_of: dt.datetime) -> DataFrame:
     """All known users with lifetime activity, scores and tiers.
 
-    The activity is written once and feeds both quintile sorts and the join, so the
+    The activity is written once and feeds the sort for both quintiles and the join, so the
     events behind it are read a single time.
     """
-    activity = with_rfm_scores(durable(user_activity(int_sessions)), as_of)
+    activity = with_rfm_scores(kept(user_activity(int_sessions)), as_of)
     users = stg_users.select(
         "user_id",
         "user_segment",

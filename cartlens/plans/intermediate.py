@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions.dates import seconds_crossed
-from cartlens.functions.metrics import count_type, rate
+from cartlens.functions.metrics import count_type, rate, revenue_where
 from cartlens.operators.ranking import continuous_percentiles
 from cartlens.operators.rollup import least, most, rollup, row_count, total
 from cartlens.schemas import EVENT_TYPES, MAX_SESSION_HOURS
-from cartlens.session import durable
 
 # Weight of one event in the engagement score.
 ENGAGEMENT_WEIGHTS = {
@@ -161,6 +160,15 @@ def int_user_journey(stg_events: DataFrame) -> DataFrame:
     )
 
 
+def product_revenue(stg_events: DataFrame) -> DataFrame:
+    """The revenue of ``product_metrics`` alone, which one plain aggregation gives."""
+    return (
+        stg_events.filter(F.col("product_id").isNotNull())
+        .groupBy("product_id")
+        .agg(revenue_where(F.col("event_type") == "purchase").alias("total_revenue"))
+    )
+
+
 def product_metrics(stg_events: DataFrame) -> DataFrame:
     """Distinct views, carts, purchases and their rates per product."""
     about_products = stg_events.filter(F.col("product_id").isNotNull())
@@ -202,19 +210,15 @@ def product_metrics(stg_events: DataFrame) -> DataFrame:
     )
 
 
-def _at_least(column: str, bound: float | None) -> Column:
-    return F.lit(False) if bound is None else F.col(column).cast("double") >= bound
-
-
 def int_product_performance(stg_events: DataFrame, stg_products: DataFrame) -> DataFrame:
     """Product metrics with catalogue attributes and tiers.
 
     The revenue tier compares with the 90th and 50th percentile over all products.
-    The percentiles are taken from a range-partitioned sort of the metrics, which
-    are written once before; products the catalogue does not know stay, with nulls.
+    The percentiles are scalars of the plan, which read the revenue alone; products
+    the catalogue does not know stay, with nulls.
     """
-    metrics = durable(product_metrics(stg_events))
-    p50, p90 = continuous_percentiles(metrics, "total_revenue", "product_id", [0.5, 0.9])
+    metrics = product_metrics(stg_events)
+    bounds = continuous_percentiles(product_revenue(stg_events), "total_revenue", [0.5, 0.9])
     catalogue = stg_products.select(
         "product_id",
         "product_name",
@@ -227,11 +231,12 @@ def int_product_performance(stg_events: DataFrame, stg_products: DataFrame) -> D
         "rating_tier",
         "is_in_stock",
     )
-    conversion = F.col("overall_conversion_rate")
-    return metrics.join(catalogue, "product_id", "left").withColumns(
+    conversion, revenue = F.col("overall_conversion_rate"), F.col("total_revenue").cast("double")
+    whole = metrics.join(catalogue, "product_id", "left").withColumn("bounds", bounds)
+    return whole.withColumns(
         {
-            "revenue_tier": F.when(_at_least("total_revenue", p90), "Top Performer")
-            .when(_at_least("total_revenue", p50), "Above Average")
+            "revenue_tier": F.when(revenue >= F.get("bounds", F.lit(1)), "Top Performer")
+            .when(revenue >= F.get("bounds", F.lit(0)), "Above Average")
             .when(F.col("total_revenue") > 0, "Below Average")
             .otherwise("No Sales"),
             "conversion_tier": F.when(conversion >= 0.10, "High Converting")
@@ -239,4 +244,4 @@ def int_product_performance(stg_events: DataFrame, stg_products: DataFrame) -> D
             .when(conversion >= 0.01, "Low Converting")
             .otherwise("Very Low"),
         }
-    )
+    ).drop("bounds")

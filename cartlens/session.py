@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,3 +71,14 @@ def durable(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read from there afterwards.
+
+    Like ``durable``, for results that are scanned by column or filtered: their columns and row
+    groups can be left out.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cartlens.operators.ranking import continuous_percentiles, with_ntile
+from cartlens.operators.ranking import continuous_percentiles, with_ntile, with_ntiles
 from cartlens.operators.rollup import distinct_counts, least, most, rollup, rollup_by, row_count, total
 from cartlens.operators.sessionize import gap_sessions, with_gap_sessions
 
@@ -46,18 +46,46 @@ def test_ntile_puts_nulls_first(spark):
     assert sorted(map(str, ours)) == sorted(map(str, plain))
 
 
-@pytest.mark.parametrize("size", [1, 2, 10, 997])
-def test_percentiles_interpolate(spark, size):
+def test_several_ntiles_from_one_sort(spark):
+    random.seed(8)
+    rows = [(f"U{i:05d}", random.randrange(9), random.choice([None, 1.5, random.random()])) for i in range(503)]
+    users = spark.createDataFrame(rows, "user_id string, x bigint, y double").repartition(6)
+    ours = with_ntiles(users, 4, {"a": "x", "b": "y"}, "user_id")
+    plain = users.withColumns(
+        {n: F.ntile(4).over(Window.orderBy(v, "user_id")) for n, v in (("a", "x"), ("b", "y"))}
+    )
+    assert sorted(map(str, ours.collect())) == sorted(map(str, plain.collect()))
+
+
+FRACTIONS = [0.0, 0.05, 0.5, 0.9, 0.999, 1.0]
+
+
+def percentiles(df, accuracy=10_000):
+    found = continuous_percentiles(df, "x", FRACTIONS, accuracy)
+    return df.sparkSession.range(1).select(found.alias("found")).first()["found"]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 10, 997])
+@pytest.mark.parametrize("accuracy", [10_000, 50])
+def test_percentiles_interpolate(spark, size, accuracy):
     random.seed(size)
     values = [round(random.expovariate(0.1), 2) for _ in range(size)]
     df = spark.createDataFrame(list(enumerate(values)), "id bigint, x double").repartition(5)
-    found = continuous_percentiles(df, "x", "id", [0.0, 0.5, 0.9, 1.0])
-    assert found == pytest.approx(np.quantile(values, [0.0, 0.5, 0.9, 1.0]).tolist())
+    assert percentiles(df, accuracy) == pytest.approx(np.quantile(values, FRACTIONS).tolist())
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 200, 20])
+def test_percentiles_of_many_rows_with_ties(spark, accuracy):
+    df = spark.range(0, 200_000, numPartitions=13).select(
+        F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.pmod(F.xxhash64("id"), F.lit(10**6)) / 100).alias("x")
+    )
+    values = [row.x for row in df.collect()]
+    assert percentiles(df, accuracy) == pytest.approx(np.quantile(values, FRACTIONS).tolist())
 
 
 def test_percentiles_of_nothing(spark):
     empty = spark.createDataFrame([(1, None)], "id bigint, x double")
-    assert continuous_percentiles(empty, "x", "id", [0.5]) == [None]
+    assert percentiles(empty) == [None] * len(FRACTIONS)
 
 
 def test_distinct_counts_equal_count_distinct(spark):

@@ -101,7 +101,7 @@ class Tables:
     def journey(self) -> DataFrame:
         return intermediate.int_user_journey(self.stg_events)
 
-    @property
+    @cached_property
     def performance(self) -> DataFrame:
         return intermediate.int_product_performance(self.stg_events, self.stg_products)
 
@@ -109,7 +109,7 @@ class Tables:
     def dim_users(self) -> DataFrame:
         return dimensions.dim_users(self.stg_users, self.sessions, AS_OF)
 
-    @property
+    @cached_property
     def dim_products(self) -> DataFrame:
         return dimensions.dim_products(self.stg_products, self.performance, AS_OF)
 
