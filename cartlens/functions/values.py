@@ -15,8 +15,13 @@ WHITESPACE = (
 
 
 def stripped(column: Column | str) -> Column:
-    """Without surrounding whitespace of any kind (plain ``trim`` removes blanks only)."""
-    return F.btrim(column, F.lit(WHITESPACE))
+    """Without surrounding whitespace of any kind (plain ``trim`` removes blanks only).
+
+    Only texts with an end outside the printable ASCII characters are searched for all of them.
+    """
+    text = F.col(column) if isinstance(column, str) else column
+    first, last = F.ascii(text), F.ascii(F.substring(text, -1, 1))
+    return F.when(first.between(33, 126) & last.between(33, 126), text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def hash_key(column: Column | str, length: int = 8) -> Column:

@@ -188,11 +188,11 @@ def check(df: DataFrame, rules: list[Rule]) -> Validation:
     ruled = [rule.column for rule in rules]
     others = [column for column in df.columns if column not in ruled]
     raw = [F.col(column) for column in ruled if column in df.columns]
+    # a generated row is computed once; a plain projection would be copied into every filter on it
+    values = F.struct(*[_read(df, rule).alias(rule.column) for rule in rules])
     prepared = df.select(
-        *[_read(df, rule).alias(rule.column) for rule in rules],
-        *others,
-        (F.struct(*raw) if raw else F.lit(None)).alias(RAW),
-    )
+        *others, (F.struct(*raw) if raw else F.lit(None)).alias(RAW), F.inline(F.array(values))
+    ).select(*ruled, *others, RAW)
     # joined text instead of an array: null codes vanish without a lambda
     checked = prepared.withColumn(ERRORS, F.concat_ws(",", *[_broken(df, r) for r in rules]))
     return Validation(checked, ruled)
