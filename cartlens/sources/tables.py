@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartlens.sources.runs import published_path
+
 NAMESPACES = ("raw", "staging", "intermediate", "seeds", "analytics")
 NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
 FLAT_TABLES = ("fct_events", "fct_sessions", "fct_daily_metrics", "fct_product_performance")
@@ -68,17 +70,10 @@ def create_namespaces(spark: SparkSession, names: Iterable[str] = NAMESPACES) ->
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
-def write_file(df: DataFrame, folder: str, name: str, by: str | None = None) -> str:
-    """Replace ``<folder>/<name>.parquet``, with ``by`` as one folder per value of that column.
-
-    Rows of a value are brought together first, and split again where they are many, so that
-    neither many small files nor a hot task come of it.
-    """
+def write_file(df: DataFrame, folder: str, name: str) -> str:
+    """Replace ``<folder>/<name>.parquet``."""
     path = f"{folder}/{name}.parquet"
-    if by is None:
-        df.write.mode("overwrite").parquet(path)
-    else:
-        df.hint("rebalance", F.col(by)).write.mode("overwrite").partitionBy(by).parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return path
 
 
@@ -104,9 +99,12 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def read_file(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
-    """A written table; None when it is absent."""
+    """A written table, of the newest published run if there is one; None when it is absent."""
+    path = published_path(spark, folder, name)
+    if path is None:
+        return None
     try:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+        return spark.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None

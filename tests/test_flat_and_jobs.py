@@ -14,7 +14,9 @@ from cartlens import schemas
 from cartlens.functions import metrics, values
 from cartlens.plans import dashboard, flat
 from cartlens.operators.validation import validate_events
+from cartlens.plans import job
 from cartlens.plans.job import run_flat_job, run_layered_job
+from cartlens.sources.runs import Run
 from cartlens.sources import tables, testbed
 from cartlens.sources.testbed import AS_OF, raw_events, raw_products, raw_users
 from tests.conftest import rows
@@ -231,6 +233,57 @@ def test_flat_job_stops_at_the_gate(spark, tmp_path, make_events):
     assert tables.load_flat_tables(spark, f"{tmp_path}/out") == {}
 
 
+def test_a_failed_run_leaves_the_tables_of_the_one_before(spark, tmp_path, make_events, monkeypatch):
+    places = f"{tmp_path}/in", f"{tmp_path}/out"
+    view = {"event_type": "product_view", "product_id": "PROD_0000000A", "category": "A"}
+    tables.write_file(make_events(view, {}), places[0], "events_1")
+    first = run_flat_job(spark, *places, AS_OF, catalog=False, run_name="day")
+
+    tables.write_file(make_events(view, {}, {}), places[0], "events_1")
+    monkeypatch.setattr(job, "TABLES_AT_ONCE", 1)
+    with monkeypatch.context() as broken:
+        broken.setattr(flat, "flat_product_performance", lambda events: events.select(F.raise_error(F.lit("down"))))
+        with pytest.raises(Exception, match="down") as caught:
+            run_flat_job(spark, *places, AS_OF, catalog=False, run_name="day")
+    assert caught.value.run.loaded == {}
+    counts = {name: df.count() for name, df in tables.load_flat_tables(spark, places[1]).items()}
+    assert counts == first.loaded and counts["fct_events"] == 2
+
+    # complete tables are not written again
+    monkeypatch.setattr(flat, "flat_events", lambda events: events.select(F.raise_error(F.lit("again"))))
+    second = run_flat_job(spark, *places, AS_OF, catalog=False, run_name="day")
+    assert second.loaded["fct_events"] == 3 and second.validity["total_records"] == 3
+    counts = {name: df.count() for name, df in tables.load_flat_tables(spark, places[1]).items()}
+    assert counts == second.loaded
+    # a run that is published already is left as it is
+    third = run_flat_job(spark, *places, AS_OF, catalog=False, run_name="day")
+    assert third.loaded == second.loaded
+
+
+def test_a_table_of_earlier_runs_only_is_absent(spark, tmp_path, make_events):
+    places = f"{tmp_path}/in", f"{tmp_path}/out"
+    view = {"event_type": "product_view", "product_id": "PROD_0000000A", "category": "A"}
+    for rows_, known in (((view,), True), (({},), False)):
+        tables.write_file(make_events(*rows_), places[0], "events_1")
+        run_flat_job(spark, *places, AS_OF, catalog=False)
+        assert (tables.read_file(spark, places[1], "fct_product_performance") is not None) == known
+
+
+def test_only_complete_tables_are_published(spark, tmp_path):
+    run = Run(spark, str(tmp_path), "r")
+    run.write(spark.range(3), "a")
+    with pytest.raises(ValueError, match="not written yet: b"):
+        run.publish(["a", "b"])
+    assert tables.read_file(spark, str(tmp_path), "a") is None
+    again = Run(spark, str(tmp_path), "r")
+    assert again.loaded == {"a": 3} and not Run(spark, str(tmp_path), "r", "other inputs").has("a")
+    again.write(spark.range(2), "b")
+    again.publish(["a", "b"])
+    assert [tables.read_file(spark, str(tmp_path), x).count() for x in "ab"] == [3, 2]
+    other = Run(spark, str(tmp_path), "r", "other inputs")
+    assert other.folder != again.folder and not other.published
+
+
 def test_flat_job_options(spark, tmp_path, make_events):
     warnings: list[str] = []
     later = {"timestamp": "2024-03-01 00:00:00"}

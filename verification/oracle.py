@@ -1088,6 +1088,7 @@ SELECT o_orderkey AS order_key, o_orderstatus AS order_state_status,
 FROM orders""",
     "batch_job_daily_metrics": "",
     "batch_job_mixed_files": "",
+    "batch_job_resumed": "",
     "batch_job_metrics": _chain("""
 SELECT extracted AS records_extracted, validated AS records_validated,
        round(100.0::DOUBLE * validated / extracted, 6) AS validity_rate, 0::BIGINT AS errors_count
@@ -1096,6 +1097,7 @@ FROM (SELECT (SELECT count(*) FROM valid) AS extracted, (SELECT count(*) FROM go
 SUB["fdm_good"] = _daily("good")
 SUB["fdm_mixed"] = _daily("good_mixed")
 ORACLE["batch_job_daily_metrics"] = _out("fdm_good", *_DAILY_FORMS)
+ORACLE["batch_job_resumed"] = ORACLE["batch_job_daily_metrics"]
 ORACLE["batch_job_mixed_files"] = _out("fdm_mixed", *_DAILY_FORMS)
 ORACLE["catalog_round_trip"] = ORACLE["export_products"] = ORACLE["stg_products"]
 ORACLE["export_users"] = ORACLE["stg_users"]

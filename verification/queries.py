@@ -289,6 +289,22 @@ def _batch_mixed(t: Tables) -> DataFrame:
     return read_file(t.spark, f"{folder}/out", "fct_daily_metrics")
 
 
+def _batch_resumed(t: Tables) -> DataFrame:
+    """The same after a run over half of the files and one that failed at the gate and was repeated."""
+    folder = _batch_folder(t)
+    late = F.col("timestamp") >= F.lit(MID_MONTH)
+    t.damaged.filter(late).write.parquet(f"{folder}/in/events_1.parquet")
+    places = t.spark, f"{folder}/in", f"{folder}/out", AS_OF
+    options = {"catalog": False, "warn": lambda message: None, "run_name": "month"}
+    run_flat_job(*places, 0.0, **options)
+    t.damaged.filter(~F.coalesce(late, F.lit(False))).write.parquet(f"{folder}/in/events_2.parquet")
+    try:
+        run_flat_job(*places, 100.0, **options)
+    except ValueError:
+        run_flat_job(*places, 90.0, **options)
+    return read_file(t.spark, f"{folder}/out", "fct_daily_metrics")
+
+
 def _batch_metrics(t: Tables) -> DataFrame:
     """The run's record, without its times."""
     folder = _batch_folder(t)
@@ -408,6 +424,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "flatten_struct": _flatten,
     "batch_job_daily_metrics": _batch_job,
     "batch_job_mixed_files": _batch_mixed,
+    "batch_job_resumed": _batch_resumed,
     "batch_job_metrics": _batch_metrics,
     "catalog_round_trip": lambda t: _catalog_round_trip(t).drop("_loaded_at"),
     "export_products": lambda t: staging.stg_products(_exported(t)[0], AS_OF).drop("_loaded_at"),
