@@ -117,6 +117,26 @@ class Validation:
             .select("rule", order_by, data.alias("data"), "position")
         )
 
+    def first_errors(self, order: list[str], limit: int = 5) -> DataFrame:
+        """The first ``limit`` broken rows per rule in an order of columns without ties.
+
+        Columns: rule, position, the columns of the order, message with all broken rules of the
+        row, and the first 200 characters of the row as given. As in ``error_samples`` the rank filter
+        is applied inside each task, and only the rows that remain become text.
+        """
+        ranked = Window.partitionBy("rule").orderBy(*order)
+        data = F.substring(F.to_json(RAW, {"ignoreNullFields": "false"}), 1, 200)
+        return (
+            self.checked.select("*", F.explode(F.split(ERRORS, ",")).alias("rule"))
+            .filter(F.col("rule") != "")
+            .select("rule", *order, RAW, ERRORS)
+            .withColumn("position", F.row_number().over(ranked))
+            .filter(F.col("position") <= limit)
+            .select(
+                "rule", "position", *order, F.concat(F.lit(f"{ERROR_CLASS}: "), ERRORS).alias("message"), data.alias("data")
+            )
+        )
+
     def fail_fast(self) -> DataFrame:
         """The valid rows; the job fails as soon as a broken row is met."""
         message = F.concat(F.lit(f"{ERROR_CLASS}: "), F.col(ERRORS))
@@ -149,7 +169,10 @@ def _read(df: DataFrame, rule: Rule) -> Column:
         return F.when(number == F.floor(number), number).try_cast("bigint")
     if rule.kind == "moment" and text:
         iso = column.rlike(r"\A\d{4}-?\d{2}-?\d{2}([T ]\d{2}|\z)")
-        instant = F.try_to_timestamp(F.regexp_replace(column, "Z$", "+00:00"))
+        # the basic format, without separators, is ISO too
+        dashed = F.regexp_replace(column, r"\A(\d{4})(\d{2})(\d{2})(?=[T ]|\z)", "$1-$2-$3")
+        colons = F.regexp_replace(dashed, r"([T ]\d{2})(\d{2})(\d{2})(?!\d)", "$1:$2:$3")
+        instant = F.try_to_timestamp(F.regexp_replace(colons, "Z$", "+00:00"))
         return F.when(iso, instant).cast("timestamp_ntz")
     if rule.kind == "moment" and isinstance(dtype, T.IntegralType):
         # seconds since 1970, or milliseconds where seconds would lie beyond the year 2286

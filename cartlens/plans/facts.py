@@ -185,6 +185,11 @@ def daily_funnel(int_user_journey: DataFrame) -> DataFrame:
 
 def fct_funnel(int_user_journey: DataFrame, as_of: dt.datetime) -> DataFrame:
     """One row per date with stage counts, rates and their weekly comparison."""
+    return funnel_over_days(daily_funnel(int_user_journey), as_of)
+
+
+def funnel_over_days(days: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """The funnel of ``daily_funnel`` rows."""
     rates = {
         "site_to_product_rate": ("users_at_product", "users_at_site"),
         "product_to_cart_rate": ("users_at_cart", "users_at_product"),
@@ -199,7 +204,7 @@ def fct_funnel(int_user_journey: DataFrame, as_of: dt.datetime) -> DataFrame:
     }
     week = _last(7, _by_date())
     return (
-        daily_funnel(int_user_journey)
+        days
         .withColumns({name: rate(*pair) for name, pair in rates.items()})
         .withColumns(
             {
@@ -249,7 +254,12 @@ def daily_category_revenue(stg_events: DataFrame) -> DataFrame:
 
 
 def fct_revenue(stg_events: DataFrame, stg_products: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """One row per date and category with share, rolling and cumulative revenue.
+    """One row per date and category of paid purchases."""
+    return revenue_over_days(daily_category_revenue(stg_events), stg_products, as_of)
+
+
+def revenue_over_days(days: DataFrame, stg_products: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """``daily_category_revenue`` rows with share, rolling and cumulative revenue.
 
     The catalogue is reduced to one row per category before the join, so a category
     with many products does not multiply the daily rows.
@@ -260,8 +270,7 @@ def fct_revenue(stg_events: DataFrame, stg_products: DataFrame, as_of: dt.dateti
     total = F.sum("gross_revenue").over(Window.partitionBy("event_date"))
     running = _by_category().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        daily_category_revenue(stg_events)
-        .join(prices, "category", "left")
+        days.join(prices, "category", "left")
         .withColumn("daily_total_revenue", total)
         .withColumns(
             {

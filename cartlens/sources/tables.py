@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,28 +13,37 @@ from cartlens.sources.runs import published_path
 
 NAMESPACES = ("raw", "staging", "intermediate", "seeds", "analytics")
 NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
+#: Columns of a row's place in the files.
+FILE, ROW_IN_FILE = "_file", "_row_in_file"
 FLAT_TABLES = ("fct_events", "fct_sessions", "fct_daily_metrics", "fct_product_performance")
 
 
 def read_event_files(
-    spark: SparkSession, folder: str, schema: T.StructType | None = None
+    spark: SparkSession, folder: str, schema: T.StructType | None = None, places: bool = False
 ) -> DataFrame:
     """All ``events_*.parquet`` of a folder as one table; an error if there is none.
 
     Without a schema the table has the columns of all files; a row is null in those that its
-    file lacks. Files whose timestamps count nanoseconds are read to the microsecond.
+    file lacks. Files whose timestamps count nanoseconds are read to the microsecond. With ``places``
+    every row knows its file and its place in it (``FILE`` and ``ROW_IN_FILE``).
     """
     pattern = f"{folder}/events_*.parquet"
+
+    def placed(df: DataFrame) -> DataFrame:
+        if not places:
+            return df
+        return df.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW_IN_FILE))
+
     if schema is not None:
-        return spark.read.schema(schema).parquet(pattern)
+        return placed(spark.read.schema(schema).parquet(pattern))
     try:
-        return spark.read.option("mergeSchema", True).parquet(pattern)
+        return placed(spark.read.option("mergeSchema", True).parquet(pattern))
     except AnalysisException as error:
         if not _counts_nanoseconds(error):
             raise
     # file by file: only in those that are refused is a 64-bit number a time
     files = spark.read.format("binaryFile").load(pattern).select("path").collect()
-    parts = [_read_either(spark, row["path"]) for row in files]
+    parts = [placed(_read_either(spark, row["path"])) for row in files]
     # the reading tasks need it as well
     spark.conf.set(NANOS_AS_LONG, "true")
     whole = parts[0]
@@ -43,6 +52,19 @@ def read_event_files(
     return whole
 
 
+def with_row_numbers(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows that know their place, numbered from 0 over all files in the order of their paths.
+
+    ``files`` are all rows of the files; they are counted per file, and only those counts are put
+    in order, a row per file. So any part of the rows can be numbered without sorting the rest.
+    """
+    earlier = Window.orderBy(FILE).rowsBetween(Window.unboundedPreceding, -1)
+    counts = files.groupBy(FILE).agg(F.count(F.lit(1)).alias("n"))
+    starts = counts.select(FILE, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_start"))
+    numbered = rows.join(starts, FILE).withColumn("row", F.col("_start") + F.col(ROW_IN_FILE))
+    return numbered.drop("_start", FILE, ROW_IN_FILE)
+
+
 def _counts_nanoseconds(error: AnalysisException) -> bool:
     return error.getCondition() == "PARQUET_TYPE_ILLEGAL" and "TIMESTAMP(NANOS" in str(error)
 

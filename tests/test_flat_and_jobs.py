@@ -307,6 +307,21 @@ def test_files_with_different_columns(spark, tmp_path, make_events):
     assert (figures.total_records, figures.valid_records) == (4, 1)
 
 
+def test_rows_are_numbered_over_all_files(spark, tmp_path, make_events):
+    rows_ = [{"event_id": f"EVT_{i:016X}", "device": "tv" if i % 3 == 0 else "mobile"} for i in range(30)]
+    for number, (start, end) in enumerate([(0, 7), (7, 7), (7, 20), (20, 30)]):
+        part = make_events(*rows_[start:end]).coalesce(1).sortWithinPartitions("event_id")
+        part.write.option("parquet.block.size", 1024).parquet(f"{tmp_path}/events_{number}.parquet")
+    events = tables.read_event_files(spark, str(tmp_path), places=True)
+    place = [tables.FILE, tables.ROW_IN_FILE]
+    numbered = tables.with_row_numbers(events.select("event_id", *place), events)
+    assert sorted((r["row"], r["event_id"]) for r in numbered.collect()) == [(i, f"EVT_{i:016X}") for i in range(30)]
+    found = tables.with_row_numbers(validate_events(events).first_errors(place, 4), events).orderBy("row").collect()
+    assert [(r["position"], r["row"], r["rule"]) for r in found] == [(i + 1, 3 * i, "device") for i in range(4)]
+    assert found[1]["message"] == "ValidationError: device"
+    assert found[1]["data"].startswith('{"event_id":"EVT_0000000000000003","event_type":') and len(found[1]["data"]) == 200
+
+
 def test_files_with_nanoseconds(spark, tmp_path, make_events):
     folder = tmp_path / "in"
     tables.write_file(make_events({"timestamp": "2024-01-03 00:00:01"}), str(folder), "events_1")

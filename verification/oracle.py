@@ -785,6 +785,17 @@ _RATES = (
 )
 _EVENT_FORMS = ("", "timestamp", "revenue")
 
+# An event as one line of JSON.
+_ROW_TEXT = " || ',' || ".join(
+    f"""'"{c.strip()}":' || """
+    + {
+        "timestamp": "'\"' || strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%g') || '\"'",
+        "revenue": "ifnull(revenue::DECIMAL(18,2)::VARCHAR, 'null')",
+    }.get(c.strip(), f"ifnull(to_json({c.strip()})::VARCHAR, 'null')")
+    for c in EVENT_COLUMNS.split(",")
+)
+_ROW_TEXT = "'{' || " + _ROW_TEXT + " || '}'"
+
 ORACLE: dict[str, str] = {
     "stg_events": _out("se", *_STG_EVENT_FORMS),
     "stg_events_mid_month": _out("se_mid", *_STG_EVENT_FORMS),
@@ -905,6 +916,15 @@ HAVING count(*) > 0"""),
 SELECT rule, position, event_id
 FROM (SELECT rule, event_id,
              row_number() OVER (PARTITION BY rule ORDER BY event_id) AS position FROM broken)
+WHERE position <= 5"""),
+    "validate_files_samples": _chain(f"""
+SELECT rule, position, row, 'ValidationError: ' || codes AS message, left(text, 200) AS data
+FROM (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY row) AS position
+      FROM (SELECT row_number() OVER (ORDER BY timestamp >= {MID_MONTH}, event_id) - 1 AS row,
+                   {_strip("event_id")} AS known, {_ROW_TEXT} AS text FROM ev_damaged)
+      JOIN (SELECT event_id AS known, rule, string_agg(rule, ',') OVER (
+              PARTITION BY event_id ORDER BY list_position([{", ".join(f"'{c.strip()}'" for c in EVENT_COLUMNS.split(","))}], rule)
+              ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS codes FROM broken) USING (known))
 WHERE position <= 5"""),
     "validate_products": _chain("""
 SELECT product_id, product_name, category, subcategory, round(price, 6) AS price, brand,
@@ -1094,6 +1114,72 @@ SELECT extracted AS records_extracted, validated AS records_validated,
        round(100.0::DOUBLE * validated / extracted, 6) AS validity_rate, 0::BIGINT AS errors_count
 FROM (SELECT (SELECT count(*) FROM valid) AS extracted, (SELECT count(*) FROM good) AS validated)"""),
 }
+WEEKS = [f"TIMESTAMP '2024-01-{day:02d} 00:00:00'" for day in (8, 15, 22)]
+SUB["streamed"] = f"""
+SELECT user_id, session_start, max(timestamp) AS session_end, count(*) AS event_count
+FROM gap_events GROUP BY user_id, session_start
+HAVING max(timestamp) + INTERVAL 30 MINUTE
+       <= (SELECT date_trunc('milliseconds', max(timestamp)) FROM ev) - INTERVAL 1 HOUR"""
+SUB["snapshots"] = f"""
+SELECT user_id, segment, city, {WEEKS[0]} AS taken FROM usr WHERE user_id[-1] <> '1'
+UNION ALL
+SELECT user_id, segment, if(user_id[-1] = '3', 'MOVED', city), {WEEKS[1]} FROM usr WHERE user_id[-1] <> '2'
+UNION ALL
+SELECT user_id, if(user_id[-1] = '3', NULL, segment), if(user_id[-1] = '3', 'MOVED', city), {WEEKS[2]}
+FROM usr WHERE user_id[-1] <> '4'"""
+SUB["history"] = f"""
+SELECT user_id, segment, city, row_number() OVER mine AS version, taken AS valid_from,
+       nullif(coalesce(least(lead(taken) OVER mine, gone), TIMESTAMP '9999-01-01'), TIMESTAMP '9999-01-01') AS valid_to
+FROM (SELECT *, lag(user_id) OVER times IS NULL OR lag(taken) OVER times < taken - INTERVAL 7 DAY
+                OR lag(segment) OVER times IS DISTINCT FROM segment
+                OR lag(city) OVER times IS DISTINCT FROM city AS opens,
+             -- the first time after this one at which the user is absent
+             CASE WHEN user_id[-1] = '2' AND taken < {WEEKS[1]} THEN {WEEKS[1]}
+                  WHEN user_id[-1] = '4' THEN {WEEKS[2]} END AS gone
+      FROM snapshots WINDOW times AS (PARTITION BY user_id ORDER BY taken))
+WHERE opens WINDOW mine AS (PARTITION BY user_id ORDER BY taken)"""
+ORACLE["streamed_sessions"] = _out("streamed", "", "session_start session_end")
+ORACLE["user_history"] = _chain("""
+SELECT user_id, segment, city, version::INTEGER AS version,
+       strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f') AS valid_from,
+       strftime(valid_to, '%Y-%m-%d %H:%M:%S.%f') AS valid_to
+FROM history""")
+ORACLE["revenue_by_segment_at_purchase"] = _chain("""
+SELECT h.segment, h.city, h.version::INTEGER AS version, count(*) AS purchases,
+       round(sum(revenue_amount)::DOUBLE, 6) AS revenue
+FROM se LEFT JOIN history h ON h.user_id = se.user_id AND event_timestamp >= valid_from
+  AND (valid_to IS NULL OR event_timestamp < valid_to)
+WHERE is_revenue_event GROUP BY h.segment, h.city, h.version""")
+ORACLE["incremental_funnel"] = ORACLE["fct_funnel"]
+ORACLE["incremental_revenue"] = ORACLE["fct_revenue"]
+ORACLE["trailing_active_users"] = _chain("""
+SELECT strftime(day, '%Y-%m-%d') AS event_date,
+       count(DISTINCT user_id) FILTER (WHERE event_date > day - 7) AS active_users_7d,
+       count(DISTINCT user_id) FILTER (WHERE event_date > day - 30) AS active_users_30d
+FROM (SELECT DISTINCT event_date AS day FROM se) JOIN se ON event_date BETWEEN day - 29 AND day
+GROUP BY day""")
+ORACLE["validate_events_moments"] = _chain("""
+SELECT event_id, strftime(CASE digit
+         WHEN 0 THEN date_trunc('second', timestamp) WHEN 1 THEN timestamp
+         WHEN 2 THEN date_trunc('second', timestamp)
+         WHEN 3 THEN date_trunc('second', timestamp) - INTERVAL 2 HOUR
+         WHEN 4 THEN date_trunc('day', timestamp) WHEN 8 THEN date_trunc('second', timestamp)
+         WHEN 9 THEN date_trunc('second', timestamp) + INTERVAL 7 MILLISECOND
+         WHEN 10 THEN TIMESTAMP '1970-01-01 00:00:00' END, '%Y-%m-%d %H:%M:%S.%f') AS timestamp
+FROM (SELECT event_id, timestamp, ('0x' || event_id[-1])::INTEGER AS digit FROM ev)
+WHERE digit IN (0, 1, 2, 3, 4, 8, 9, 10)""")
+SUB["issues_good"] = _issues("good", AS_OF, 1000)
+ORACLE["batch_job_record"] = _chain("""
+SELECT extracted AS records_extracted, validated AS records_validated,
+       validated + sessions + dates + products AS records_loaded,
+       round(100.0::DOUBLE * validated / extracted, 6) AS validity_rate, issues AS quality_issues_count,
+       0::BIGINT AS errors_count
+FROM (SELECT (SELECT count(*) FROM valid) AS extracted, (SELECT count(*) FROM good) AS validated,
+             (SELECT count(*) FROM (SELECT DISTINCT session_id, user_id FROM good)) AS sessions,
+             (SELECT count(DISTINCT timestamp::DATE) FROM good) AS dates,
+             (SELECT count(*) FROM (SELECT DISTINCT product_id, category FROM good
+                                    WHERE product_id IS NOT NULL AND category IS NOT NULL)) AS products,
+             (SELECT count(*) FROM issues_good) AS issues)""")
 SUB["fdm_good"] = _daily("good")
 SUB["fdm_mixed"] = _daily("good_mixed")
 ORACLE["batch_job_daily_metrics"] = _out("fdm_good", *_DAILY_FORMS)

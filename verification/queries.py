@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 from functools import cached_property, lru_cache
@@ -11,22 +12,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartlens.functions import metrics, values
-from cartlens.operators import assertions, quality, ranking, sessionize, validation
-from cartlens.plans import calendar, dashboard, dimensions, facts, flat, intermediate, staging
+from cartlens.operators import assertions, history, quality, ranking, sessionize, trailing, validation
+from cartlens.plans import calendar, dashboard, dimensions, facts, flat, incremental, intermediate, staging
 from cartlens.plans.job import layered_models, run_flat_job
 from cartlens.session import configure, durable, shared_folder
 from cartlens.sources import testbed
 from cartlens.sources.tables import (
+    FILE,
+    ROW_IN_FILE,
     create_namespaces,
     create_view,
     export_reference_data,
+    read_event_files,
     read_file,
     read_reference_data,
     register_table,
     source,
+    with_row_numbers,
     write_file,
 )
 from cartlens.sources.testbed import AS_OF, MID_MONTH
+from cartlens.streaming import sessions as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -354,6 +360,117 @@ def _samples(t: Tables) -> DataFrame:
     return found.select("rule", "position", "event_id")
 
 
+def _file_samples(t: Tables) -> DataFrame:
+    """The first broken rows of two event files: their number over both, message and text."""
+    folder = _batch_folder(t)
+    late = F.col("timestamp") >= F.lit(MID_MONTH)
+    for number, part in enumerate((~late, late)):
+        rows = t.damaged.filter(part).coalesce(1).sortWithinPartitions("event_id")
+        rows.write.parquet(f"{folder}/events_{number}.parquet")
+    events = read_event_files(t.spark, folder, places=True)
+    found = validation.validate_events(events).first_errors([FILE, ROW_IN_FILE])
+    return with_row_numbers(found, events)
+
+
+WEEKS = [MID_MONTH - dt.timedelta(days=7), MID_MONTH, MID_MONTH + dt.timedelta(days=7)]
+
+
+def _arriving(t: Tables) -> str:
+    """Four event files, a week each; the purchases of all but the last come twice."""
+    folder = _batch_folder(t)
+    at = F.col("timestamp")
+    for number, (start, end) in enumerate(zip([None, *WEEKS], [*WEEKS, None], strict=True)):
+        part = t.events
+        part = part if start is None else part.filter(at >= F.lit(start))
+        part = part if end is None else testbed.with_copies(part.filter(at < F.lit(end)))
+        # one file, so that files keep the order of time
+        part.coalesce(1).write.mode("overwrite").parquet(f"{folder}/in/events_{number}.parquet")
+    return folder
+
+
+def _streamed_sessions(t: Tables) -> DataFrame:
+    folder = _arriving(t)
+    events = stream.event_stream(t.spark, f"{folder}/in", t.events.schema, files_per_batch=1)
+    closed = stream.closed_sessions(stream.deduplicated(events))
+    return stream.run_available(closed, f"{folder}/sessions", f"{folder}/state")
+
+
+def _history(t: Tables) -> DataFrame:
+    """The users at three times: some come later, move, leave, or come back."""
+    users = t.users.select("user_id", "segment", "city")
+    last = F.substring("user_id", -1, 1)
+    first = users.filter(last != "1")
+    second = users.filter(last != "2").withColumn("city", F.when(last == "3", "MOVED").otherwise(F.col("city")))
+    third = second.withColumn("segment", F.when(last == "3", F.lit(None)).otherwise(F.col("segment")))
+    third = third.unionByName(users.filter(last == "2")).filter(last != "4")
+    found = history.first_version(first, "user_id", WEEKS[0])
+    for snapshot, at in ((second, WEEKS[1]), (third, WEEKS[2])):
+        found = history.with_snapshot(found, snapshot, "user_id", at)
+    return found
+
+
+def _segments_at_purchase(t: Tables) -> DataFrame:
+    """Revenue by the segment and city that a user had at the time."""
+    bought = t.stg_events.filter(F.col("is_revenue_event")).select("user_id", "event_timestamp", "revenue_amount")
+    known = history.as_of_join(bought, _history(t), "user_id", "event_timestamp", ["segment", "city", "version"])
+    return known.groupBy("segment", "city", "version").agg(
+        F.count(F.lit(1)).alias("purchases"), F.sum("revenue_amount").alias("revenue")
+    )
+
+
+def _incremental(t: Tables) -> str:
+    """A store filled by three batches, of which the later ones hold events of earlier days too."""
+    store = _batch_folder(t)
+    number = F.pmod(F.xxhash64("event_id"), F.lit(10))
+    late = F.col("timestamp") >= F.lit(MID_MONTH)
+    batches = [~late & (number < 8), late & (number < 9), (~late & (number >= 8)) | (late & (number >= 9))]
+    for i, part in enumerate(batches):
+        days = incremental.add_events(t.spark, store, t.events.filter(part), f"b{i}")
+        incremental.refresh(t.spark, store, days, AS_OF)
+    # a batch that is repeated changes nothing
+    days = incremental.add_events(t.spark, store, t.events.filter(batches[1]), "b1")
+    incremental.refresh(t.spark, store, days, AS_OF)
+    return store
+
+
+def _incremental_revenue(t: Tables) -> DataFrame:
+    return incremental.revenue_mart(t.spark, _incremental(t), t.stg_products, AS_OF)
+
+
+def _moments(t: Tables) -> DataFrame:
+    """Timestamps as texts and as whole numbers: which are accepted, and as what."""
+    at = F.col("timestamp")
+    text = F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+    forms = [
+        text,
+        F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+        F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")),
+        F.concat(text, F.lit("+02:00")),
+        F.date_format(at, "yyyyMMdd"),
+        F.date_format(at, "dd.MM.yyyy"),
+        F.lit("2024-02-30 10:00:00"),
+        F.lit(""),
+    ]
+    digit = F.conv(F.substring("event_id", -1, 1), 16, 10).cast("int")
+    texts, numbers = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    for i, form in enumerate(forms):
+        texts = F.when(digit == i, form).otherwise(texts)
+    seconds = F.unix_seconds(at.cast("timestamp"))
+    numbers = F.when(digit == 8, seconds).when(digit == 9, seconds * 1000 + 7).when(digit == 10, F.lit(0))
+    results = [
+        validation.validate_events(t.events.filter(own).withColumn("timestamp", values_)).valid
+        for own, values_ in ((digit < 8, texts), (digit >= 8, numbers))
+    ]
+    return _union([result.select("event_id", "timestamp") for result in results])
+
+
+def _batch_record(t: Tables) -> DataFrame:
+    """The run's whole record but its times."""
+    folder = _batch_folder(t)
+    t.damaged.write.parquet(f"{folder}/in/events_all.parquet")
+    return _run_batch(t, folder).record(t.spark).drop("start_time", "end_time", "duration_seconds")
+
+
 PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "stg_events": lambda t: _staged(t.events, AS_OF),
     "stg_events_mid_month": lambda t: _staged(t.events, MID_MONTH),
@@ -383,6 +500,17 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "validate_events": lambda t: validation.validate_events(t.damaged).valid,
     "validate_events_errors": lambda t: validation.validate_events(t.damaged).error_summary(),
     "validate_events_samples": _samples,
+    "validate_files_samples": _file_samples,
+    "validate_events_moments": _moments,
+    "batch_job_record": _batch_record,
+    "trailing_active_users": lambda t: trailing.trailing_distinct(
+        t.stg_events, "user_id", "event_date", {"active_users_7d": 7, "active_users_30d": 30}
+    ),
+    "streamed_sessions": _streamed_sessions,
+    "user_history": _history,
+    "revenue_by_segment_at_purchase": _segments_at_purchase,
+    "incremental_funnel": lambda t: incremental.funnel_mart(t.spark, _incremental(t), AS_OF).drop("_updated_at"),
+    "incremental_revenue": lambda t: _incremental_revenue(t).drop("_updated_at"),
     "validate_products": lambda t: validation.validate_products(
         testbed.damaged_products(t.spark, t.folder)
     ).valid,
