@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,17 +41,51 @@ def read_event_files(
     except AnalysisException as error:
         if not _counts_nanoseconds(error):
             raise
-    # file by file: only in those that are refused is a 64-bit number a time
-    files = spark.read.format("binaryFile").load(pattern).select("path").collect()
-    parts = [placed(_read_either(spark, row["path"])) for row in files]
     # the reading tasks need it as well
     spark.conf.set(NANOS_AS_LONG, "true")
+    plain, counting = _by_unit(spark, pattern)
+    merged = spark.read.option("mergeSchema", True)
+    parts = [placed(merged.parquet(*plain))] if plain else []
+    if counting:
+        numbers = placed(merged.parquet(*counting))
+        parts.append(numbers.withColumn("timestamp", _moment_of_number(F.col("timestamp"))))
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part, allowMissingColumns=True)
     return whole
 
 
+def _by_unit(spark: SparkSession, pattern: str) -> tuple[list[str], list[str]]:
+    """The files whose timestamps Spark can read as such, and the others that have rows.
+
+    Two jobs over all files, whatever their number: one asks for the timestamps and skips files
+    where they have another type, the other lists the files with rows. The driver sees paths.
+    """
+
+    asked = spark.read.schema("timestamp timestamp_ntz").option("ignoreCorruptFiles", True).parquet(pattern)
+    # an aggregate of the time, so that it is read and not only the place
+    read = asked.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("timestamp").alias("n"))
+    plain = {row["path"] for row in read.collect()}
+    places = spark.read.schema("event_id string").parquet(pattern).select("_metadata.file_path").distinct()
+    every = {row["file_path"] for row in places.collect()}
+    return sorted(plain), sorted(every - plain)
+
+
+def _counts_nanoseconds(error: AnalysisException) -> bool:
+    return error.getCondition() == "PARQUET_TYPE_ILLEGAL" and "TIMESTAMP(NANOS" in str(error)
+
+
+def _moment_of_number(number: Column) -> Column:
+    """The time of a count of nanoseconds; smaller numbers are left to validation's rule for them.
+
+    10^17 nanoseconds end in March 1973, as many milliseconds in the year 3,170,843.
+    """
+    nanoseconds = F.abs(number) >= 10**17
+    micros = F.when(nanoseconds, F.expr("timestamp div 1000"))
+    seconds = F.when(F.abs(number) <= 10**10, F.timestamp_seconds(number)).otherwise(F.timestamp_millis(number))
+    return F.when(nanoseconds, F.timestamp_micros(micros)).otherwise(seconds).cast("timestamp_ntz")
+
+
 def with_row_numbers(rows: DataFrame, files: DataFrame) -> DataFrame:
     """Rows that know their place, numbered from 0 over all files in the order of their paths.
 
@@ -65,23 +99,6 @@ def with_row_numbers(rows: DataFrame, files: DataFrame) -> DataFrame:
     return numbered.drop("_start", FILE, ROW_IN_FILE)
 
 
-def _counts_nanoseconds(error: AnalysisException) -> bool:
-    return error.getCondition() == "PARQUET_TYPE_ILLEGAL" and "TIMESTAMP(NANOS" in str(error)
-
-
-def _read_either(spark: SparkSession, path: str) -> DataFrame:
-    spark.conf.set(NANOS_AS_LONG, "false")
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if not _counts_nanoseconds(error):
-            raise
-    spark.conf.set(NANOS_AS_LONG, "true")
-    df = spark.read.parquet(path)
-    moment = F.timestamp_micros(F.expr("timestamp div 1000")).cast("timestamp_ntz")
-    return df.withColumn("timestamp", moment) if dict(df.dtypes).get("timestamp") == "bigint" else df
-
-
 def source(spark: SparkSession, namespace: str, table: str) -> DataFrame:
     """A source table of the catalog."""
     return spark.table(f"{namespace}.{table}")

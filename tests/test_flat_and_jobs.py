@@ -337,6 +337,28 @@ def test_files_with_nanoseconds(spark, tmp_path, make_events):
     spark.conf.set(tables.NANOS_AS_LONG, "false")
 
 
+def test_two_thousand_files_of_several_schemas(spark, tmp_path):
+    units = ["ns", "us", "ms", "us"]
+    moment = dt.datetime(2024, 1, 2, 3, 4, 5, 678000)
+    for i in range(2000):
+        columns = {
+            "event_id": [f"EVT_{i:016X}"],
+            "timestamp": pa.array([moment + dt.timedelta(seconds=i)], pa.timestamp(units[i % 4])),
+            ["device", "country", "category"][i % 3]: ["x"],
+        }
+        table = pa.table(columns) if i != 9 else pa.table(columns).slice(0, 0)
+        pq.write_table(table, tmp_path / f"events_{i:04d}.parquet", version="2.6")
+    found = tables.read_event_files(spark, str(tmp_path), places=True)
+    assert set(found.columns) == {"event_id", "timestamp", "device", "country", "category", tables.FILE, tables.ROW_IN_FILE}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 2 and plan.count("Union") == 1
+    figures = found.agg(
+        F.count("event_id"), F.count("device"), F.min("timestamp"), F.max("timestamp"), F.countDistinct("timestamp")
+    ).first()
+    assert tuple(figures) == (1999, 666, moment, moment + dt.timedelta(seconds=1999), 1999)
+    spark.conf.set(tables.NANOS_AS_LONG, "false")
+
+
 def test_layered_job(spark, tmp_path):
     models = run_layered_job(
         spark,
