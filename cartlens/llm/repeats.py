@@ -13,9 +13,11 @@ anchor form a window, and windows can only share strings where their anchors are
 3. Those few windows get their bytes from the documents and enter suffix arrays, one for
    some anchors at a time. A stack scan over the common prefixes of neighbours walks the
    tree of prefix intervals; an interval whose occurrences are preceded by different bytes
-   is a maximal repeat, given with all its occurrences. An anchor with more than
-   ``most_windows`` different windows is compared string by string in a grouping instead,
-   so no task holds an unbounded group.
+   is a maximal repeat. The tree itself is the output: a row per repeat with its parent, and each
+   occurrence once, at the longest repeat that holds it, so it grows with the windows and not
+   with the pairs of nested repeats and occurrences. Occurrences in equal windows follow by a join.
+   An anchor with more than ``most_windows`` different windows is compared string by string in a
+   grouping instead, which names repeats of ``length`` bytes.
 4. Occurrences other than the first cover bytes; covered bytes go.
 
 Repeats are reported as far as a window reaches (up to ``2 * length`` bytes); a longer one is
@@ -31,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +53,12 @@ PLACE = (1 << 21) - 1
 TAG_BITS = 24
 
 WINDOWS = "salt int, h long, c long, doc long, at long, n int, copies int"
-TEXTS = "h long, doc long, at long, n int, bytes binary"
-GROUPS = "repeat long, length int, doc long, at long, first boolean"
+TEXTS = "h long, c long, doc long, at long, n int, bytes binary"
+GROUPS = (
+    "repeat long, length int, parent long, h long, c long, place int, doc long, at long, covered int"
+)
+#: Windows of an anchor in one suffix array: with 69 starts of 168 bytes each, under 100 MB of suffixes.
+MOST_WINDOWS = 8192
 REPORT = "doc long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>"
 
 
@@ -168,22 +175,36 @@ def _texts(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
             ):
                 for x in wanted or ():
                     start = x["at"] >> TAG_BITS
-                    rows.append((x["h"], doc, x["at"], x["n"], text[start : start + x["n"] + length - 1]))
+                    rows.append((x["h"], x["c"], doc, x["at"], x["n"], text[start : start + x["n"] + length - 1]))
             if rows:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
                 columns = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["h", "doc", "at", "n", "bytes"])
+                yield pa.RecordBatch.from_arrays(columns, ["h", "c", "doc", "at", "n", "bytes"])
 
     return run
 
 
-def maximal_repeats(
-    texts: list[bytes], starts: list[int], length: int
-) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Maximal repeats of at least ``length`` bytes: size, then text and place of all occurrences.
+class Tree(NamedTuple):
+    """Maximal repeats as nodes, and the suffixes that lie in one."""
+
+    size: np.ndarray
+    parent: np.ndarray  # the next shorter one that holds all its occurrences, or -1
+    first: np.ndarray  # the suffix that comes before all others
+    node: np.ndarray  # of each suffix, the longest node that holds it, or -1
+    text: np.ndarray
+    place: np.ndarray
+    covered: np.ndarray  # of each suffix, the size of the longest node in which it is not the first
+
+
+def maximal_repeats(texts: list[bytes], starts: list[int], length: int, rank: Callable | None = None) -> Tree:
+    """The tree of maximal repeats of at least ``length`` bytes.
 
     Of ``texts[i]`` the first ``starts[i]`` suffixes are entered. A suffix at the very start of
-    its text counts as preceded by a byte of its own.
+    its text counts as preceded by a byte of its own. An interval of the suffix array holds those
+    inside it, and if different bytes precede its suffixes, so they do in the intervals around it: what
+    is kept is the upper part of the tree, a row per interval, and each suffix once, at its deepest
+    one. The occurrences of a node are its own suffixes and those of the nodes below. ``rank`` gives the
+    order of (text, place) pairs; by default they are ordered as they are.
     """
     sizes = np.array([len(x) for x in texts])
     counts = np.array(starts)
@@ -201,64 +222,129 @@ def maximal_repeats(
     common = np.where(differs.any(axis=1), differs.argmax(axis=1), width)
     common = np.minimum(common, np.minimum(left_of[1:], left_of[:-1]))
     before = np.where(place > 0, data[origin[text] + place - 1], -1 - np.arange(len(text)))
+    node = np.full(len(text), -1)
+    covered = np.zeros(len(text), np.int64)
+    size: list[int] = []
+    parent: list[int] = []
+    firsts: list[int] = []
     long = np.r_[False, common >= length, False]
     first, last = np.flatnonzero(~long[:-1] & long[1:]), np.flatnonzero(long[:-1] & ~long[1:])
-    if not len(first):
-        return
     bounds = np.c_[first, last + 1].ravel()
-    bounds = bounds[:-1] if bounds[-1] == len(before) else bounds
-    diverse = np.minimum.reduceat(before, bounds)[::2] != np.maximum.reduceat(before, bounds)[::2]
-    for begin, end in zip(first[diverse], last[diverse] + 1, strict=True):
-        # stack of open intervals: common prefix, first suffix, the one byte before all or None
+    bounds = bounds[:-1] if len(bounds) and bounds[-1] == len(before) else bounds
+    if len(first):
+        diverse = np.minimum.reduceat(before, bounds)[::2] != np.maximum.reduceat(before, bounds)[::2]
+        first, last = first[diverse], last[diverse]
+        place_in_order = np.empty(len(text), np.int64)
+        place_in_order[np.lexsort((place, text)) if rank is None else rank(text, place)] = np.arange(len(text))
+    #: the next suffix that has no node yet, found by following and shortening the way
+    free = list(range(len(text) + 1))
+
+    def next_free(i: int) -> int:
+        while free[i] != i:
+            free[i] = free[free[i]]
+            i = free[i]
+        return i
+
+    for begin, end in zip(first, last + 1, strict=True):
+        # open intervals: common prefix, first place, the one byte before all or None, earliest, nodes inside
         stack: list[list] = []
         for i in range(begin + 1, end + 1):
             height = int(common[i - 1]) if i < end else 0
-            start, byte = i - 1, int(before[i - 1])
+            low, byte, early, inside = i - 1, int(before[i - 1]), i - 1, []
             while stack and stack[-1][0] > height:
-                size, low, own = stack.pop()
-                own = own if own == byte else None
-                start, byte = low, own
-                if own is None:
-                    yield size, text[low:i], place[low:i]
-            if not stack or stack[-1][0] < height:
-                if height:
-                    stack.append([height, start, byte])
-            elif stack[-1][2] != byte:
-                stack[-1][2] = None
+                own_size, low, own_byte, own_early, own_inside = stack.pop()
+                byte = byte if own_byte == byte else None
+                early = min(early, own_early, key=place_in_order.__getitem__)
+                inside = own_inside + inside
+                if byte is None:
+                    new = len(size)
+                    size.append(own_size)
+                    parent.append(-1)
+                    firsts.append(early)
+                    for x in inside:
+                        parent[x] = new
+                    j = next_free(low)
+                    while j < i:
+                        node[j], free[j] = new, j + 1
+                        j = next_free(j)
+                    inside = [new]
+            if height and (not stack or stack[-1][0] < height):
+                stack.append([height, low, byte, early, inside])
+            elif height:
+                top = stack[-1]
+                top[2] = top[2] if top[2] == byte else None
+                top[3] = min(top[3], early, key=place_in_order.__getitem__)
+                top[4] = top[4] + inside
+    tree = Tree(np.array(size, np.int64), np.array(parent, np.int64), np.array(firsts, np.int64), node, text, place, covered)
+    if len(size):
+        held = node >= 0
+        covered[held] = tree.size[node[held]]
+        # the first of a node is covered only by a node above in which another one is the first
+        covered[tree.first] = 0
+        up = np.flatnonzero(tree.parent >= 0)
+        up = up[tree.first[tree.parent[up]] != tree.first[up]]
+        covered[tree.first[up]] = tree.size[tree.parent[up]]
+    return tree
 
 
 def _arrays(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Suffix arrays over windows sorted by anchor, some whole anchors at a time."""
+    """Suffix arrays over windows sorted by anchor, some whole anchors at a time.
+
+    A row per maximal repeat (doc is null) and per suffix in one: both grow with the windows alone.
+    """
 
     def groups(rows: list[tuple]) -> pa.RecordBatch | None:
-        doc = np.array([x[1] for x in rows])
-        at = np.array([x[2] for x in rows])
-        texts = [x[4] for x in rows]
-        out = []
-        for size, text, place in maximal_repeats(texts, [x[3] for x in rows], length):
-            docs, places = doc[text], at[text] + (place << TAG_BITS)
-            tag = places & ((1 << TAG_BITS) - 1)
-            best = np.lexsort((places >> TAG_BITS, tag, docs))[0]
-            first = (docs == docs[best]) & (places == places[best])
-            name = xxhash.xxh64_intdigest(texts[text[0]][place[0] : place[0] + size])
-            name = np.full(len(docs), name, np.uint64).view(np.int64)
-            out.append((name, np.full(len(docs), size, np.int32), docs, places, first))
-        if not out:
+        h, c, doc, at = (np.array([x[i] for x in rows], np.int64) for i in range(4))
+        texts = [x[5] for x in rows]
+
+        def order(text: np.ndarray, place: np.ndarray) -> np.ndarray:
+            where = at[text]
+            return np.lexsort(((where >> TAG_BITS) + place, where & ((1 << TAG_BITS) - 1), doc[text]))
+
+        tree = maximal_repeats(texts, [x[4] for x in rows], length, order)
+        if not len(tree.size):
             return None
-        columns = [pa.array(np.concatenate(x)) for x in zip(*out, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, ["repeat", "length", "doc", "at", "first"])
+        name = np.empty(len(tree.size), np.int64)
+        for i, (size, early) in enumerate(zip(tree.size, tree.first, strict=True)):
+            start = tree.place[early]
+            digest = xxhash.xxh64_intdigest(texts[tree.text[early]][start : start + size])
+            name[i] = digest - 2**64 if digest >= 2**63 else digest
+        member = np.flatnonzero(tree.node >= 0)
+        own, text, place = tree.node[member], tree.text[member], tree.place[member]
+        anchor = h[tree.text[tree.first]]
+        parent = pa.array(name[np.maximum(tree.parent, 0)], mask=tree.parent < 0)
+        nothing = len(tree.size)
+
+        def column(nodes: np.ndarray, members: np.ndarray | None, kind: pa.DataType) -> pa.Array:
+            below = pa.nulls(len(member), kind) if members is None else pa.array(members).cast(kind)
+            return pa.concat_arrays([pa.nulls(nothing, kind) if nodes is None else pa.array(nodes).cast(kind), below])
+
+        columns = {
+            "repeat": column(name, name[own], pa.int64()),
+            "length": column(tree.size, tree.size[own], pa.int32()),
+            "parent": pa.concat_arrays([parent, pa.nulls(len(member), pa.int64())]),
+            "h": column(anchor, h[text], pa.int64()),
+            "c": column(None, c[text], pa.int64()),
+            "place": column(None, place, pa.int32()),
+            "doc": column(None, doc[text], pa.int64()),
+            "at": column(None, at[text] + (place << TAG_BITS), pa.int64()),
+            "covered": column(None, tree.covered[member], pa.int32()),
+        }
+        return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         held = 0
         for batch in batches:
             for row in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                if rows and row[:4] == rows[-1][:4]:  # repeated rows are one document
+                    continue
                 if held >= SLICE and row[0] != rows[-1][0]:
                     if found := groups(rows):
                         yield found
                     rows, held = [], 0
                 rows.append(row)
-                held += len(row[4])
+                held += len(row[5])
         if rows and (found := groups(rows)):
             yield found
 
@@ -284,13 +370,16 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def repeat_groups(documents: DataFrame, length: int = 100, most_windows: int = 65_536) -> DataFrame:
-    """All repeats of at least ``length`` bytes with all their occurrences.
+def repeat_groups(documents: DataFrame, length: int = 100, most_windows: int = MOST_WINDOWS) -> tuple[DataFrame, DataFrame]:
+    """All maximal repeats of at least ``length`` bytes, and where they occur.
 
-    Columns: repeat (names the bytes of a group), length, doc, at (place and checksum of the
-    text), first (the occurrence that comes before all others).
+    The first table has repeat (names the bytes), length and parent: a shorter repeat that occurs
+    wherever this one does, at the same places. The second has repeat, doc and at (place and checksum
+    of the text): every occurrence once, at the longest repeat that holds it. So a repeat occurs
+    where it and those below it do, and both tables grow with the windows of the documents.
     """
-    return _repeat_groups(_by_document(documents), _documents(documents), length, most_windows)
+    found = _Repeats(_by_document(documents), _documents(documents), length, most_windows)
+    return found.groups(), found.occurrences()
 
 
 def _by_document(documents: DataFrame) -> DataFrame:
@@ -298,44 +387,93 @@ def _by_document(documents: DataFrame) -> DataFrame:
     return texts.repartition(_partitions(documents), "doc", "tag")
 
 
-def _repeat_groups(dealt: DataFrame, texts: DataFrame, length: int, most_windows: int) -> DataFrame:
-    same = Window.partitionBy("salt", "h", "c").orderBy("doc", _tag(), "at")
-    anchor = Window.partitionBy("salt", "h")
-    windows = (
-        texts.mapInArrow(_windows(length), WINDOWS)
-        .repartition(_partitions(texts), "salt", "h")
-        .withColumn("first", (F.col("salt") == 0) & (F.rank().over(same) == 1))
-        .withColumn("different", F.sum(F.col("first").cast("int")).over(anchor))
-        .withColumn("windows", F.count("*").over(anchor))
-        .where("salt > 0 or windows > 1 or copies > 1")
-        .withColumn("compared", F.expr("first and different > 1"))
-        .select("h", "c", "doc", "at", "n", "first", "compared", "different")
-    )
-    windows = stored(windows)
-    wanted = (
-        windows.where("compared")
-        .groupBy("doc", _tag().alias("tag"))
-        .agg(F.collect_list(F.struct("h", "at", "n")).alias("wanted"))
-    )
-    bytes_of = (
-        dealt.join(wanted.hint("shuffle_hash"), ["doc", "tag"], "left")
-        .select("doc", "bytes", "wanted")
-        .mapInArrow(_texts(length), TEXTS)
-    )
-    crowded = windows.where(F.col("compared") & (F.col("different") > most_windows)).select("h").distinct()
-    few = bytes_of if crowded.isEmpty() else bytes_of.join(crowded, "h", "left_anti")
-    found = (
-        few.repartition(_partitions(texts), "h")
-        .sortWithinPartitions("h", "doc", "at")
-        .mapInArrow(_arrays(length), GROUPS)
-    )
-    alike = windows.select(
-        F.col("c").alias("repeat"), (F.col("n") + length - 1).alias("length"), "doc", "at", "first"
-    )
-    found = alike.unionByName(found)
-    if crowded.isEmpty():
-        return found
-    return found.unionByName(_by_string(bytes_of.join(crowded, "h", "left_semi"), length))
+class _Repeats:
+    """The windows of documents and what is found by comparing those of equal anchors."""
+
+    def __init__(self, dealt: DataFrame, texts: DataFrame, length: int, most_windows: int):
+        self.length = length
+        same = Window.partitionBy("salt", "h", "c").orderBy("doc", _tag(), "at")
+        anchor = Window.partitionBy("salt", "h")
+        windows = (
+            texts.mapInArrow(_windows(length), WINDOWS)
+            .repartition(_partitions(texts), "salt", "h")
+            .withColumn("first", (F.col("salt") == 0) & (F.rank().over(same) == 1))
+            .withColumn("different", F.sum(F.col("first").cast("int")).over(anchor))
+            .withColumn("windows", F.count("*").over(anchor))
+            .where("salt > 0 or windows > 1 or copies > 1")
+            .withColumn("compared", F.expr("first and different > 1"))
+            .select("h", "c", "doc", "at", "n", "first", "compared", "different")
+        )
+        self.windows = stored(windows)
+        wanted = (
+            self.windows.where("compared")
+            .groupBy("doc", _tag().alias("tag"))
+            .agg(F.collect_list(F.struct("h", "c", "at", "n")).alias("wanted"))
+        )
+        bytes_of = (
+            dealt.join(wanted, ["doc", "tag"], "left")
+            .select("doc", "bytes", "wanted")
+            .mapInArrow(_texts(length), TEXTS)
+        )
+        crowded = self.windows.where(F.col("compared") & (F.col("different") > most_windows)).select("h").distinct()
+        self.crowded = not crowded.isEmpty()
+        few = bytes_of.join(crowded, "h", "left_anti") if self.crowded else bytes_of
+        self.trees = (
+            few.repartition(_partitions(texts), "h")
+            .sortWithinPartitions("h", "doc", "at")
+            .mapInArrow(_arrays(length), GROUPS)
+        )
+        self.strings = _by_string(bytes_of.join(crowded, "h", "left_semi"), length) if self.crowded else None
+
+    def _places(self) -> DataFrame:
+        """The windows, those of repeated rows once."""
+        return self.windows.dropDuplicates(["h", "c", "doc", "at"])
+
+    def _alike(self) -> DataFrame:
+        """Windows of equal bytes, which are a repeat in full: h, c, length and the repeat they start with.
+
+        Unless the tree has a repeat of just these bytes, which other windows hold inside them.
+        """
+        counts = self._places().groupBy("h", "c").agg(
+            F.count(F.lit(1)).alias("places"), (F.min("n") + self.length - 1).alias("length")
+        )
+        starts = self.trees.where("place = 0").select(
+            "h", "c", F.col("repeat").alias("parent"), F.col("length").alias("inside")
+        )
+        several = counts.where("places > 1").join(starts, ["h", "c"], "left")
+        return several.where("inside is null or inside < length").select("h", "c", "length", "parent")
+
+    def groups(self) -> DataFrame:
+        trees = self.trees.where("doc is null").select("repeat", "length", "parent")
+        found = trees.unionByName(self._alike().select(F.col("c").alias("repeat"), "length", "parent"))
+        if self.strings is None:
+            return found
+        single = self.strings.select("repeat", F.lit(self.length).alias("length"), F.lit(None).cast("long").alias("parent"))
+        return found.unionByName(single.distinct())
+
+    def occurrences(self) -> DataFrame:
+        # a suffix stands for the same place in all windows that equal its own
+        members = self.trees.where("doc is not null").select("repeat", "h", "c", "place")
+        alike = self._alike().select("h", "c")
+        # the start of a repeated window is held by the window, which is longer
+        members = members.join(alike.withColumn("place", F.lit(0)), ["h", "c", "place"], "left_anti")
+        whole = alike.select(F.col("c").alias("repeat"), "h", "c", F.lit(0).alias("place"))
+        shift = F.shiftleft(F.col("place").cast("long"), TAG_BITS)
+        found = (
+            members.unionByName(whole)
+            .join(self._places().select("h", "c", "doc", "at"), ["h", "c"])
+            .select("repeat", "doc", (F.col("at") + shift).alias("at"))
+        )
+        return found if self.strings is None else found.unionByName(self.strings.select("repeat", "doc", "at"))
+
+    def covered(self) -> DataFrame:
+        """doc, at, covered: occurrences that are not the first of theirs, and how many bytes they cover."""
+        trees = self.trees.where("covered > 0").select("doc", "at", "covered")
+        copies = self.windows.where("not first").select("doc", "at", (F.col("n") + self.length - 1).alias("covered"))
+        found = trees.unionByName(copies)
+        if self.strings is None:
+            return found
+        return found.unionByName(self.strings.where("not first").select("doc", "at", F.lit(self.length).alias("covered")))
 
 
 def _by_string(windows: DataFrame, length: int) -> DataFrame:
@@ -353,11 +491,7 @@ def _by_string(windows: DataFrame, length: int) -> DataFrame:
         .where("places > 1")
     )
     return strings.join(earliest, "string").select(
-        F.xxhash64("string").alias("repeat"),
-        F.lit(length).alias("length"),
-        "doc",
-        "at",
-        (_order() == F.col("earliest")).alias("first"),
+        F.xxhash64("string").alias("repeat"), "doc", "at", (_order() == F.col("earliest")).alias("first")
     )
 
 
@@ -404,7 +538,7 @@ def _report(digest: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
 
 def remove_repeats(
-    documents: DataFrame, length: int = 100, most_windows: int = 65_536, digest: bool = False
+    documents: DataFrame, length: int = 100, most_windows: int = MOST_WINDOWS, digest: bool = False
 ) -> DataFrame:
     """Documents without the bytes of strings of ``length`` bytes that also start earlier.
 
@@ -412,16 +546,14 @@ def remove_repeats(
     bytes, or with ``digest`` only their SHA-256.
     """
     dealt = _by_document(documents)
-    groups = _repeat_groups(dealt, _documents(documents), length, most_windows)
+    found = _Repeats(dealt, _documents(documents), length, most_windows).covered()
     start = F.shiftright("at", TAG_BITS)
-    covered = (
-        groups.where("not first")
-        .groupBy("doc", _tag().alias("tag"))
-        .agg(F.collect_set(F.struct(start.alias("start"), (start + F.col("length")).alias("end"))).alias("covered"))
+    covered = found.groupBy("doc", _tag().alias("tag")).agg(
+        F.collect_set(F.struct(start.alias("start"), (start + F.col("covered")).alias("end"))).alias("covered")
     )
     schema = REPORT + (", kept_sha256 string" if digest else ", kept binary")
     report = (
-        dealt.join(covered.hint("shuffle_hash"), ["doc", "tag"], "left")
+        dealt.join(covered, ["doc", "tag"], "left")
         .select("doc", "bytes", "covered")
         .mapInArrow(_report(digest), schema)
     )
