@@ -1,11 +1,13 @@
-"""License scans: phrases, and an exact set-similarity join of text lines with templates.
+"""License scans: phrases, and an exact set-similarity join of text blocks with templates.
 
-Tokens are ordered by their frequency in the corpus, rare ones first. A line contains a template
-if it holds at least ``least`` of the template's distinct tokens. It can only do so if it
-holds one of the template's rarest tokens (prefix filter), if it has enough tokens (length
-filter), and if from its first shared token on enough tokens are left on both sides (position
-filter). Lines that pass are verified by counting. The prefixes are looked up for every
-line of every document, so no line is missed.
+Blocks are the lines of a text, and all runs of as many words as a template has, across lines, so
+that a notice is found however it is wrapped. Tokens are ordered by their frequency in the corpus,
+rare ones first. A block contains a template if it holds at least ``least`` of the template's
+distinct tokens. It can only do so if it holds one of the template's rarest tokens (prefix
+filter), if it has enough tokens (length filter), and if from its first shared token on enough
+tokens are left on both sides (position filter). Blocks that pass are verified by counting: lines on
+their own, runs by sliding over the places of the template's tokens near those of its prefix. The
+prefixes are looked up in every text, so no block is missed.
 
 The templates are a parameter of at most ``MOST_TEMPLATES``; each task holds them.
 
@@ -41,6 +43,10 @@ TEMPLATES = [
     ("mit-text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0"),
     ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("mit-text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("apache-text", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("gpl-text", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("isc-text", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("bsd-text", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
 ]
 #: Share of a template's tokens that a line must hold.
@@ -91,6 +97,8 @@ class Templates:
             for place, rank in enumerate(ranks[: len(ranks) - need + 1]):
                 self.index.setdefault(rank, []).append((t, place))
         self.rare = {x for x, rank in self.rank.items() if rank in self.index}
+        self.lengths = [len(words_of(text.encode()).split()) for _, text in templates]
+        self.members = [set(x) for x in self.sets]
 
     def contained(self, line: set[bytes]) -> dict[int, float]:
         """Templates contained in a line of distinct words, with the share of their tokens."""
@@ -111,10 +119,50 @@ class Templates:
         return found
 
 
+    def windows(self, words: list[bytes]) -> list[tuple[int, int, int, float]]:
+        """(template, first word, end, share) where runs of a template's length contain it.
+
+        Runs that overlap are one block, with the largest share of any of them.
+        """
+        ranked = [(i, self.rank[x]) for i, x in enumerate(words) if x in self.rank]
+        found = []
+        for t in sorted({t for _, rank in ranked for t, _ in self.index.get(rank, ())}):
+            places = [(i, rank) for i, rank in ranked if rank in self.members[t]]
+            found += self._runs(t, places)
+        return found
+
+    def _runs(self, t: int, places: list[tuple[int, int]]) -> Iterator[tuple[int, int, int, float]]:
+        length, need = self.lengths[t], self.needs[t]
+        if len(places) < need:
+            return
+        held: dict[int, int] = {}
+        low, block = 0, None
+        for place, rank in places:
+            held[rank] = held.get(rank, 0) + 1
+            while places[low][0] <= place - length:
+                own = places[low][1]
+                held[own] -= 1
+                if not held[own]:
+                    del held[own]
+                low += 1
+            if len(held) < need:
+                continue
+            share = len(held) / len(self.sets[t])
+            if block and places[low][0] < block[2]:
+                block = (t, block[1], place + 1, max(block[3], share))
+                continue
+            if block:
+                yield block
+            block = (t, places[low][0], place + 1, share)
+        if block:
+            yield block
+
+
 SCHEMA = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long,"
     " base_labels string, labels string, score double,"
-    " blocks array<struct<line: int, label: string, share: double>>"
+    " blocks array<struct<line: int, label: string, share: double>>,"
+    " windows array<struct<first: long, end: long, label: string, share: double>>"
 )
 
 
@@ -127,7 +175,8 @@ def scan(
     """Phrases and templates per document.
 
     Columns: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score (the
-    largest share of a template), blocks (line number from 0, label, share).
+    largest share of a template), blocks (line number from 0, label, share), windows (first word from 0,
+    end, label, share).
     """
     if len(templates) > MOST_TEMPLATES:
         raise ValueError(f"at most {MOST_TEMPLATES} templates")
@@ -157,12 +206,13 @@ def scan(
                             at = x.start()
                             places.append(before)
                         labels.add(label)
-                blocks = []
+                blocks, windows = [], []
                 if not index.rare.isdisjoint(split):
                     for number, line in enumerate(text.split(b"\n")):
                         held = index.contained(set(words_of(line).split()))
                         blocks += [(number, index.labels[t], share) for t, share in sorted(held.items())]
-                every = labels.union(x[1] for x in blocks)
+                    windows = [(a, b, index.labels[t], share) for t, a, b, share in index.windows(split)]
+                every = labels.union((x[1] for x in blocks), (x[2] for x in windows))
                 rows.append(
                     (
                         doc,
@@ -172,15 +222,17 @@ def scan(
                         max(places, default=None),
                         ",".join(sorted(labels)),
                         ",".join(sorted(every)),
-                        max((x[2] for x in blocks), default=0.0),
+                        max([x[2] for x in blocks] + [x[3] for x in windows], default=0.0),
                         [{"line": a, "label": b, "share": c} for a, b, c in blocks],
+                        [{"first": a, "end": b, "label": c, "share": d} for a, b, c, d in windows],
                     )
                 )
             if rows:
                 block = pa.struct([("line", pa.int32()), ("label", pa.string()), ("share", pa.float64())])
-                kinds = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.float64(), pa.list_(block)]
+                window = pa.struct([("first", pa.int64()), ("end", pa.int64()), ("label", pa.string()), ("share", pa.float64())])
+                kinds = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.float64(), pa.list_(block), pa.list_(window)]
                 columns = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)]
-                names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks"]
+                names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks", "windows"]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     texts = documents.select(

@@ -202,12 +202,12 @@ def mixed_documents(
     copies = _copies(documents, least_entropy, most_repeats, block_tokens)
     # rows equal in doc_id and text share one entry: each is read as often as the entry says
     copies = copies.groupBy("doc_id", "tag").agg(F.max("copies").alias("copies"))
-    copies = copies.select(
-        F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag"), F.col("copies").alias("_copies")
+    # rows travel as records, so that their columns may have any name
+    rows = documents.select(
+        documents["doc_id"].alias("doc_id"),
+        F.xxhash64(text_of(documents)).alias("tag"),
+        F.struct(*(documents[name] for name in documents.columns)).alias("row"),
     )
-    tag = F.xxhash64(text_of(documents))
-    same = documents["doc_id"].eqNullSafe(copies["_doc"]) & (tag == copies["_tag"])
-    joined = documents.join(copies.hint("shuffle_hash"), same)
-    names = [documents[name] for name in documents.columns]
-    once = joined.select(*names, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_reading"))
-    return once.select(*(F.col(name) for name in documents.columns))
+    same = rows["doc_id"].eqNullSafe(copies["doc_id"]) & (rows["tag"] == copies["tag"])
+    read = rows.join(copies, same).select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return read.select(*(F.col("row").getField(name).alias(name) for name in documents.columns))

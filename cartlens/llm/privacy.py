@@ -146,7 +146,7 @@ FOUND = (
     "kind string, entity string, term string, n long, doc_id long,"
     " base array<struct<kind: string, start: long, end: long>>, base_sha256 string,"
     " near array<struct<entity: string, term: string, start: long, end: long>>,"
-    " entities array<string>, text string"
+    " entities array<string>, text string, text_sha256 string"
 )
 
 
@@ -164,8 +164,8 @@ def _scanned(near: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
         [("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]
     )
     types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.list_(span), pa.string(), pa.list_(term)]
-    types += [pa.list_(pa.string()), pa.string()]
-    names = ["kind", "entity", "term", "n", "doc_id", "base", "base_sha256", "near", "entities", "text"]
+    types += [pa.list_(pa.string()), pa.string(), pa.string()]
+    names = ["kind", "entity", "term", "n", "doc_id", "base", "base_sha256", "near", "entities", "text", "text_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,7 +173,7 @@ def _scanned(near: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
             entities: Counter[str] = Counter()
             pairs: Counter[tuple[str, str]] = Counter()
             docs, bases, digests, nears = batch.column(0).to_pylist(), [], [], []
-            values, kept = [], []
+            values, kept, whole = [], [], []
             for text in batch.column(1):
                 text = text.as_py()
                 spans = base_spans(text)
@@ -186,17 +186,18 @@ def _scanned(near: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                 bases.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
                 digests.append(hashlib.sha256(joined(spans).encode()).hexdigest())
                 nears.append([{"entity": e, "term": t, "start": a, "end": b} for e, t, a, b in found])
-                kept.append(text if spans and near is None else None)
+                kept.append(text if spans else None)
+                whole.append(hashlib.sha256(text.encode()).hexdigest())
             counts = [
                 ("term", [None] * len(terms), [x.decode() for x in terms], list(terms.values())),
                 ("entity", list(entities), [None] * len(entities), list(entities.values())),
                 ("pair", [x[0] for x in pairs], [x[1] for x in pairs], list(pairs.values())),
             ]
             none = [None] * batch.num_rows
-            blocks = [(["document"] * batch.num_rows, none, none, [1] * batch.num_rows, docs, bases, digests, nears, values, kept)]
+            blocks = [(["document"] * batch.num_rows, none, none, [1] * batch.num_rows, docs, bases, digests, nears, values, kept, whole)]
             for kind, entity, word, n in counts:
                 none = [None] * len(n)
-                blocks.append(([kind] * len(n), entity, word, n, none, none, none, none, none, none))
+                blocks.append(([kind] * len(n), entity, word, n, *[none] * 7))
             for block in blocks:
                 if block[0]:
                     columns = [pa.array(x, t) for x, t in zip(block, types, strict=True)]
@@ -317,20 +318,28 @@ def find(
 ) -> DataFrame:
     """Spans per document.
 
-    Columns: doc_id, base and terms (arrays of kind, start, end; of terms
-    also remove), base_sha256.
+    Columns: doc_id, base (array of kind, start, end) and its digest, terms (array of start, end and
+    whether the term is removed or only generalised), and digests of the text as given and as sanitised.
     """
     texts = documents.select(documents["doc_id"].cast("long").alias("doc_id"), text_of(documents).alias("text"))
     scanned = stored(texts.mapInArrow(_scanned(near), FOUND).withColumn("row", F.monotonically_increasing_id()))
-    found = scanned.where("kind = 'document'").select("row", "doc_id", "base", "base_sha256")
+    names = ["doc_id", "base", "base_sha256", "text_sha256"]
+    found = scanned.where("kind = 'document'").select("row", *names, "text")
     if near is None:
         terms = _places(scanned, telling_terms(scanned, support, generalise), remove)
     else:
         terms = _near_places(scanned, support, generalise, remove)
     empty = F.expr("cast(array() as array<struct<start: long, end: long, remove: boolean>>)")
-    return found.join(terms, "row", "left").select(
-        "doc_id", "base", "base_sha256", F.coalesce("terms", empty).alias("terms")
-    )
+
+    @F.udf("string", useArrow=True)
+    def digest(text: str, base: list, terms: list) -> str:
+        return hashlib.sha256(redacted(text, base, terms).encode()).hexdigest()
+
+    whole = found.join(terms, "row", "left").withColumn("terms", F.coalesce("terms", empty))
+    # only documents with values carry their text and change
+    changed = whole.where("text is not null").withColumn("sanitised_sha256", digest("text", "base", "terms"))
+    same = whole.where("text is null").withColumn("sanitised_sha256", F.col("text_sha256"))
+    return changed.unionByName(same).select(*names, "terms", "sanitised_sha256")
 
 
 def redacted(text: str, base: list[dict], terms: list[dict]) -> str:
@@ -348,29 +357,30 @@ def redacted(text: str, base: list[dict], terms: list[dict]) -> str:
 def sanitise(documents: DataFrame, **options) -> DataFrame:
     """The documents with all their columns and redacted texts, a missing text as empty.
 
-    Documents meet their spans by doc_id and the spans' digest, so rows that share only the
-    doc_id are told apart.
+    Documents meet their spans by doc_id and a digest of the whole text, so rows that share only the
+    doc_id, or none, are told apart, and equal ones have equal spans. Rows travel as records, so
+    that their columns may have any name.
     """
-    rows = documents.withColumns({"_doc": documents["doc_id"].cast("long"), "_text": text_of(documents)})
-    found = find(documents, **options).select(
-        F.col("doc_id").alias("_found"), "base_sha256", "base", F.col("terms")
+    text = text_of(documents)
+    digest = F.sha2(text, 256)
+    keyed = documents.select(
+        documents["doc_id"].cast("long").alias("doc"),
+        digest.alias("digest"),
+        text.alias("text"),
+        F.struct(*(documents[name] for name in documents.columns)).alias("row"),
     )
-    found = found.groupBy("_found", "base_sha256").agg(F.first("base").alias("base"), F.max("terms").alias("terms"))
-
-    @F.udf("string", useArrow=True)
-    def digest(text: str) -> str:
-        return hashlib.sha256(joined(base_spans(text)).encode()).hexdigest()
+    found = find(documents, **options).select(F.col("doc_id").alias("found"), "text_sha256", "base", "terms")
+    found = found.groupBy("found", "text_sha256").agg(F.first("base").alias("base"), F.max("terms").alias("terms"))
 
     @F.udf("string", useArrow=True)
     def marked(text: str, base: list, terms: list) -> str:
         return redacted(text, base, terms)
 
-    rows = rows.withColumn("_digest", digest("_text"))
-    same = rows["_doc"].eqNullSafe(found["_found"]) & (rows["_digest"] == found["base_sha256"])
-    joined_rows = rows.join(found.hint("shuffle_hash"), same)
-    return joined_rows.select(
+    same = keyed["doc"].eqNullSafe(found["found"]) & (keyed["digest"] == found["text_sha256"])
+    both = keyed.join(found, same).withColumn("redacted", marked("text", "base", "terms"))
+    return both.select(
         *(
-            marked(rows["_text"], found["base"], found["terms"]).alias("text") if x == "text" else rows[x]
-            for x in documents.columns
+            (F.col("redacted") if name == "text" else F.col("row").getField(name)).alias(name)
+            for name in documents.columns
         )
     )

@@ -27,11 +27,9 @@ WINDOW = 5
 LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 SYMBOLS = "#*$%&|<>"
-#: Documents of a host that may share a line: this many in any host, and less in a small one.
-MOST_DOCUMENTS = 500
-#: In the given tables the most frequent line of a host is held by 22 % (11 of 50 texts) and 13 %
-#: (65 of 493); the next by under 5 %, of hosts of about 500 texts.
-SHARE_OF_HOST = 0.3
+#: A line is boilerplate if more than this share of a host's distinct texts hold it, and more than a few.
+#: In the given tables one line of a host is held by 11 to 22 % of its texts, the next by under 5 %.
+SHARE_OF_HOST = 0.08
 FEW_DOCUMENTS = 10
 #: Share of words that must remain.
 LEAST_SHARE = 0.3
@@ -103,28 +101,29 @@ def _lines(documents: DataFrame) -> DataFrame:
     return rows.select("doc", "tag", "host", "x.place", "x.line", "x.words")
 
 
-def boilerplate(documents: DataFrame, most_documents: int = MOST_DOCUMENTS) -> DataFrame:
-    """Hashes of the lines that too many distinct texts of a host hold."""
+def boilerplate(
+    documents: DataFrame, share_of_host: float = SHARE_OF_HOST, few_documents: int = FEW_DOCUMENTS
+) -> DataFrame:
+    """Hashes of the lines that too many distinct texts of a host hold; one rule for hosts of any size."""
     held = (
         _lines(documents)
         .select("host", "line", "tag")
         .distinct()
         .groupBy("host", "line")
         .count()
-        .where(F.col("count") > min(most_documents, FEW_DOCUMENTS))
+        .where(F.col("count") > few_documents)
     )
     texts = documents.select(
         F.xxhash64(_host(documents)).alias("host"), F.xxhash64(text_of(documents)).alias("tag")
     )
     hosts = texts.distinct().groupBy("host").agg(F.count("*").alias("texts"))
-    share = F.greatest(F.lit(FEW_DOCUMENTS), F.lit(SHARE_OF_HOST) * F.col("texts"))
-    limited = held.join(hosts, "host").where(F.col("count") > F.least(F.lit(most_documents), share))
+    limited = held.join(hosts, "host").where(F.col("count") > F.lit(share_of_host) * F.col("texts"))
     return limited.select("line")
 
 
-def _removed(documents: DataFrame, most_documents: int) -> DataFrame:
+def _removed(documents: DataFrame, share_of_host: float, few_documents: int) -> DataFrame:
     """The documents with boilerplate: its lines (distinct hashes) and the words in them."""
-    found = _lines(documents).join(stored(boilerplate(documents, most_documents)), "line")
+    found = _lines(documents).join(stored(boilerplate(documents, share_of_host, few_documents)), "line")
     # a set, so that repeated rows count once
     places = F.collect_set(F.struct("place", "line", "words")).alias("places")
     return (
@@ -159,7 +158,10 @@ def _failed() -> Column:
 
 
 def judge(
-    documents: DataFrame, most_documents: int = MOST_DOCUMENTS, least_share: float = LEAST_SHARE
+    documents: DataFrame,
+    share_of_host: float = SHARE_OF_HOST,
+    few_documents: int = FEW_DOCUMENTS,
+    least_share: float = LEAST_SHARE,
 ) -> DataFrame:
     """Counts and verdict per document.
 
@@ -170,7 +172,7 @@ def judge(
     rows = documents.select(id_of(documents).alias("doc"), text.alias("text"), words_of(text).alias("words"))
     counts = _counts(rows)
     rows = rows.select("doc", F.xxhash64("text").alias("tag"), *(x.alias(n) for n, x in counts.items()))
-    removed = _removed(documents, most_documents).select("doc", "tag", "removed")
+    removed = _removed(documents, share_of_host, few_documents).select("doc", "tag", "removed")
     gone = F.coalesce("removed", F.lit(0).cast("long"))
     return rows.join(removed, ["doc", "tag"], "left").select(
         shown_id("doc").alias("doc_id"),
@@ -182,7 +184,10 @@ def judge(
 
 
 def clean(
-    documents: DataFrame, most_documents: int = MOST_DOCUMENTS, least_share: float = LEAST_SHARE
+    documents: DataFrame,
+    share_of_host: float = SHARE_OF_HOST,
+    few_documents: int = FEW_DOCUMENTS,
+    least_share: float = LEAST_SHARE,
 ) -> DataFrame:
     """The documents that are kept, without their boilerplate lines; all columns.
 
@@ -198,7 +203,7 @@ def clean(
         words_of(text).alias("words"),
     )
     rows = rows.select("*", *(x.alias(n) for n, x in _counts(rows).items())).where(~_failed()).drop("words")
-    removed = _removed(documents, most_documents).hint("shuffle_hash")
+    removed = _removed(documents, share_of_host, few_documents)
     kept = rows.join(removed, ["doc", "tag"], "left").where(
         F.col("removed").isNull() | (F.col("n_words") - F.col("removed") >= least_share * F.col("n_words"))
     )

@@ -31,7 +31,7 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return licenses.scan(table(spark, folder, "documents")).drop("blocks")
+    return licenses.scan(table(spark, folder, "documents")).drop("blocks", "windows")
 
 
 def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,7 +56,16 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.sort_array(F.concat(base, terms)),
         lambda x: F.concat_ws(":", names[x["order"]], x["start"].cast("string"), x["end"].cast("string")),
     )
-    return found.select("doc_id", *counts, "base_sha256", F.array_join(shown, ",").alias("spans"))
+    gone = F.size(F.filter("terms", lambda x: x["remove"])).cast("long")
+    return found.select(
+        "doc_id",
+        *counts,
+        "base_sha256",
+        F.array_join(shown, ",").alias("spans"),
+        gone.alias("n_terms_removed"),
+        (F.size("terms") - gone).alias("n_terms_generalised"),
+        "sanitised_sha256",
+    )
 
 
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:

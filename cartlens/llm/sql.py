@@ -24,9 +24,12 @@ normal AS (
     FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ),
 duplicates AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM normal GROUP BY doc_id),
+hosts AS (SELECT source, count(DISTINCT text) AS n FROM texts GROUP BY source),
 boilerplate AS (
-    SELECT source, plain FROM normal GROUP BY source, plain
-    HAVING count(DISTINCT text) > {quality.MOST_DOCUMENTS}
+    SELECT held.source, plain
+    FROM (SELECT source, plain, count(DISTINCT text) AS n FROM normal GROUP BY source, plain) held
+    JOIN hosts ON hosts.source IS NOT DISTINCT FROM held.source
+    WHERE held.n > {quality.FEW_DOCUMENTS} AND held.n > CAST({quality.SHARE_OF_HOST} AS DOUBLE) * hosts.n
 ),
 removed AS (
     SELECT doc_id, sum(len(string_split(normal.plain, ' '))) AS removed

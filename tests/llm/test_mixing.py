@@ -113,3 +113,13 @@ def test_a_source_of_empty_texts_is_many_blocks(make_documents, monkeypatch):
     found = mixing.mix(df).groupBy("block").count().collect()
     assert len(found) == 20
     assert sum(r["count"] for r in found) == 1000
+
+
+def test_columns_of_any_name(spark):
+    rows = [(i, f"text {i} of some words", f"s{i % 2}", "mine", "mine", "mine") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _reading string, tag string, row string")
+    found = mixing.mixed_documents(df)
+    assert found.columns == df.columns
+    mixed = found.collect()
+    assert {r["doc_id"] for r in mixed} == set(range(20))
+    assert all(r["_reading"] == r["tag"] == r["row"] == "mine" for r in mixed)

@@ -160,3 +160,22 @@ def test_terms_anywhere_in_the_document(make_documents):
         assert got == {k: x for (k, _), x in zip(rows, expected, strict=True)}
     falcon = {r["doc_id"]: r["text"] for r in privacy.sanitise(make_documents(*rows)).collect()}
     assert "falcon" not in falcon[1].lower() and "falcon" not in falcon[2] and "falcons" in falcon[3]
+
+
+def test_rows_that_share_ids_or_have_none(spark):
+    rows = [(None, "a@b.cc quagga"), (None, "a@b.cc ordinary words here"), (1, "a@b.cc x"), (1, "a@b.cc"), (1, "a@b.cc"), (2, None)]
+    schema = "doc_id long, text string, _text string, _doc string, _digest string, row string, found int, base int"
+    df = spark.createDataFrame([(*r, "mine", "mine", "mine", "mine", 3, 4) for r in rows], schema)
+    found = privacy.sanitise(df).collect()
+    assert sorted(r["text"] for r in found) == sorted(
+        ["[EMAIL] quagga", "[EMAIL] ordinary words here", "[EMAIL] x", "[EMAIL]", "[EMAIL]", ""]
+    )
+    assert all(r["_text"] == r["_doc"] == r["_digest"] == r["row"] == "mine" and (r["found"], r["base"]) == (3, 4) for r in found)
+
+
+def test_digests_of_sanitised_texts(make_documents):
+    rows = [(1, "call a@b.cc now"), (2, "nothing here"), (3, None), (4, "")]
+    df = make_documents(*rows)
+    texts = {r["doc_id"]: r["text"] for r in privacy.sanitise(df).collect()}
+    found = {r["doc_id"]: r["sanitised_sha256"] for r in privacy.find(df).collect()}
+    assert found == {k: brute.sha(v) for k, v in texts.items()} and texts[1] == "call [EMAIL] now"

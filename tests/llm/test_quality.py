@@ -55,10 +55,10 @@ def test_lines_of_many_documents(make_documents):
     rows = sample()
     expected = expected_verdicts(rows, 20, 0.6)
     df = make_documents(*rows)
-    found = {r["doc_id"]: (r["n_removed_words"], r["kept"]) for r in quality.judge(df, 20, 0.6).collect()}
+    found = {r["doc_id"]: (r["n_removed_words"], r["kept"]) for r in quality.judge(df, 0.0, 20, 0.6).collect()}
     assert found == {k: x[:2] for k, x in expected.items()}
     assert {x[1] for x in expected.values()} == {True, False}
-    cleaned = {r["doc_id"]: r for r in quality.clean(df, 20, 0.6).collect()}
+    cleaned = {r["doc_id"]: r for r in quality.clean(df, 0.0, 20, 0.6).collect()}
     assert {k: r["text"] for k, r in cleaned.items()} == {k: x[2] for k, x in expected.items() if x[1]}
     assert all(r["n_chars"] == len(r["text"]) and r["kept"] == "x" and r["count"] == 7 for r in cleaned.values())
 
@@ -66,7 +66,7 @@ def test_lines_of_many_documents(make_documents):
 def test_repeated_rows_and_missing_ids(make_documents):
     rows = sample()
     df = make_documents(*rows, *rows[:4], (None, "a b " * 20, "s0"), (0, "other words " * 2, "s0"))
-    found = quality.judge(df, 20, 0.6).collect()
+    found = quality.judge(df, 0.0, 20, 0.6).collect()
     assert len(found) == len(rows) + 6
     expected = expected_verdicts(rows, 20, 0.6)
     assert all(
@@ -77,7 +77,7 @@ def test_repeated_rows_and_missing_ids(make_documents):
 def test_copies_are_no_boilerplate(make_documents):
     text = "one line of a text that many share as a whole and nobody else"
     df = make_documents(*((i, text) for i in range(30)))
-    assert all(r["kept"] for r in quality.judge(df, 5).collect())
+    assert all(r["kept"] for r in quality.judge(df, 0.0, 5).collect())
 
 
 def test_empty_table(make_documents):
@@ -90,12 +90,12 @@ def test_small_hosts_with_the_given_limits(make_documents):
     """A line of all texts of a host goes, however few; one that a smaller share holds stays."""
     chance = random.Random(8)
     rows = []
-    for host, size, menus in [("small", 12, 12), ("half", 40, 20), ("fifth", 100, 20), ("tiny", 9, 9), (None, 30, 30)]:
+    for host, size, menus in [("small", 12, 12), ("tenth", 200, 20), ("few", 200, 14), ("tiny", 9, 9), (None, 30, 30)]:
         for i in range(size):
             own = " ".join(f"w{chance.randrange(10**6)}" for _ in range(30))
             rows.append((len(rows), f"{'Home | about us' if i < menus else own[:9]}\n{own}", host))
     found = {r["doc_id"]: r["n_removed_words"] for r in quality.judge(make_documents(*rows)).collect()}
-    expected = {k: 4 * (x.startswith("Home") and host in ("small", "half", None)) for k, x, host in rows}
+    expected = {k: 4 * (x.startswith("Home") and host in ("small", "tenth", None)) for k, x, host in rows}
     assert found == expected and set(expected.values()) == {0, 4}
     cleaned = {r["doc_id"]: r["text"] for r in quality.clean(make_documents(*rows)).collect()}
     assert cleaned == {k: x.split("\n")[1] if expected[k] else x for k, x, _ in rows}
