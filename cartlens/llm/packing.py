@@ -34,8 +34,8 @@ CAPACITY = 2048
 END = 1
 #: Pieces that are packed together, on average.
 BLOCK = 4096
-#: Words whose tokens a task remembers.
-REMEMBERED = 600_000
+#: Bytes of the words and of the runs whose tokens a task remembers, and what an entry takes besides.
+REMEMBERED, ENTRY = 48 << 20, 200
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = f"{PIECES}, sequence_id long, offset long"
 
@@ -63,14 +63,17 @@ class Tokens(dict[bytes, bytes]):
         # marks are one run too; an apostrophe may begin a contraction
         self.latin = re.compile("([" + "".join(letters) + r"]+)([!-&(-/:-@\[-`{-~]*)")
         self.runs: dict[str, bytes] = {}
+        self.held = self.held_runs = 0
         self.written_ids = [x.to_bytes(4, "little") for x in range(self.tokenizer.get_vocab_size())]
 
     def of(self, text: bytes) -> bytes:
         """The ids of a text."""
-        if len(self) > REMEMBERED:
+        if self.held > REMEMBERED:
             self.clear()
-        if len(self.runs) > REMEMBERED:
+            self.held = 0
+        if self.held_runs > REMEMBERED:
             self.runs.clear()
+            self.held_runs = 0
         return b"".join(map(self.__getitem__, text.split()))
 
     def __missing__(self, word: bytes) -> bytes:
@@ -82,6 +85,7 @@ class Tokens(dict[bytes, bytes]):
         else:
             ids = np.array(self.tokenizer.encode(plain, add_special_tokens=False).ids, "<u4").tobytes()
         self[word] = ids
+        self.held += len(word) + len(ids) + ENTRY
         return ids
 
     def _run(self, written: str) -> bytes:
@@ -90,6 +94,7 @@ class Tokens(dict[bytes, bytes]):
             ids = self.runs[written] = b"".join(
                 [self.written_ids[x.id] for x in self.model.tokenize(written)]
             )
+            self.held_runs += len(written) + len(ids) + ENTRY
         return ids
 
 
