@@ -45,7 +45,9 @@ class Run:
     def __init__(self, spark: SparkSession, target: str, name: str | None = None, inputs: str = "") -> None:
         self.spark, self.target, self.inputs = spark, target, inputs
         name = name or uuid.uuid4().hex
-        published = [entry for entry in _entries(spark, f"{target}/manifest", MANIFEST) if entry["run"].split("/")[0] == name]
+        entries = _entries(spark, f"{target}/manifest", MANIFEST)
+        self.newest = max((entry["number"] for entry in entries), default=0)
+        published = [entry for entry in entries if entry["run"].split("/")[0] == name]
         same = [entry["run"] for entry in published if entry["inputs"] == inputs]
         # what is published stays as it is: other inputs get another folder
         self.name = same[0] if same else f"{name}/{len({entry['number'] for entry in published})}"
@@ -88,11 +90,11 @@ class Run:
             spread = counted.hint("rebalance", F.col(by))
             spread.write.mode("overwrite").partitionBy(by).parquet(self.path(table))
         figures = json.dumps(watched.get if watched else {})
-        row = (table, seen.get["rows"], self.inputs, figures)
-        note = self.spark.createDataFrame([row], NOTES)
+        note = {"table": table, "rows": seen.get["rows"], "inputs": self.inputs, "figures": figures}
         # a folder each, because tables are written at the same time
-        note.coalesce(1).write.mode("append").json(f"{self.folder}/notes/{table}")
-        self.notes[table] = note.first()
+        written = self.spark.createDataFrame([tuple(note.values())], NOTES).coalesce(1)
+        written.write.mode("append").json(f"{self.folder}/notes/{table}")
+        self.notes[table] = note
 
     def publish(self, tables: list[str]) -> None:
         """Let readers see these tables, which must be complete, instead of those of the run before."""
@@ -101,8 +103,8 @@ class Run:
         missing = [table for table in tables if not self.has(table)]
         if missing:
             raise ValueError(f"not written yet: {', '.join(missing)}")
-        before = max((entry["number"] for entry in _entries(self.spark, f"{self.target}/manifest", MANIFEST)), default=0)
-        number = max(before + 1, time.time_ns() // 1000)
+        # in the order of time, also where a clock goes back
+        number = max(self.newest + 1, time.time_ns() // 1000)
         rows = [(number, self.name, self.inputs, table, f"runs/{self.name}/{table}.parquet") for table in tables]
         # one file, whose appearance is what publishes the run
         self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").json(f"{self.target}/manifest")
