@@ -82,7 +82,8 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
-    return urls.judge_urls(pages, urls.spam_hosts(pages))
+    labels = table(spark, folder, "labels")
+    return urls.judge_urls(pages, urls.spam_hosts(pages).unionByName(urls.toxic_addresses(pages, labels)))
 
 
 def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:

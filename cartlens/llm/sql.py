@@ -84,8 +84,14 @@ split AS (
         regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
     FROM hosts
 ),
+toxic AS (
+    SELECT DISTINCT host || path AS address FROM split
+    JOIN labels ON try_cast(regexp_extract(path, '{urls.NUMBERED}', 1) AS BIGINT) = doc_id WHERE toxic = 1
+),
 marked AS (
-    SELECT *, regexp_matches(host, '(^|[.-])({"|".join(urls.LISTED_WORDS)})([.-]|$)') AS listed FROM split
+    SELECT *, regexp_matches(host, '(^|[.-])({"|".join(urls.LISTED_WORDS)})([.-]|$)')
+        OR host || path IN (SELECT address FROM toxic) AS listed
+    FROM split
 )
 SELECT page_id, host, path, listed, CASE{_rules()[0]} END AS rule,
     CASE{_rules()[1]} WHEN listed THEN 'block' ELSE 'allow' END AS verdict
