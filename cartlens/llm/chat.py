@@ -10,7 +10,8 @@ when the conversation is written.
 
 The template marks turns with control strings that start with ``<`` or ``[``. In texts and
 role names these two characters and the backslash are written as escapes, so no text can hold
-a control string and the original is read back exactly. Assistant turns are under the loss mask.
+a control string and the original is read back exactly. The loss mask is a list of spans of the formatted
+text, a span per assistant turn; what is trained on is read through it.
 
 Cases: null texts and roles are empty; messages whose parent is missing are roots; messages in
 a cycle, and those without a tree or a number, belong to no path; of rows with the same tree
@@ -21,6 +22,7 @@ conversation form one. Only the named columns are read.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -46,12 +48,12 @@ def unescaped(text: Column) -> Column:
     return text
 
 
-def formatted_turn(role: Column, text: Column) -> Column:
-    """Control string of the role, escaped text, closing control string."""
+def opening(role: Column) -> Column:
+    """The control string of a role, with its name if it has none of its own."""
     start = F.concat(F.lit("[ROLE] "), escaped(role), F.lit("[TEXT] "))
     for name, mark in OPEN.items():
         start = F.when(role == name, F.lit(mark)).otherwise(start)
-    return F.concat(start, escaped(text), F.lit(CLOSE))
+    return start
 
 
 def read_turns(formatted: Column) -> Column:
@@ -169,31 +171,42 @@ def conversations_of(messages: DataFrame, branches: int = 1) -> DataFrame:
     """The best ``branches`` paths of each tree, formatted.
 
     ``messages`` has tree, message, parent, role, text and score. Columns: tree, rank, score,
-    leaf, formatted.
+    leaf, formatted, mask (start and end of each span in ``formatted``, in code points from 0).
     """
     ends, jumps = climbed(messages)
     by_score = Window.partitionBy("tree").orderBy(F.desc("score"), "leaf")
     ranked = branches_of(ends).withColumn("rank", F.row_number().over(by_score))
     steps = walked(ranked.where(F.col("rank") <= branches), jumps)
-    texts = messages.select(
-        "tree",
-        "message",
-        formatted_turn(
-            F.coalesce(messages["role"], F.lit("")), F.coalesce(messages["text"], F.lit(""))
-        ).alias("turn"),
+    role, text = (F.coalesce(messages[x], F.lit("")) for x in ("role", "text"))
+    written = F.struct(F.concat(opening(role), escaped(text), F.lit(CLOSE)).alias("turn"), role.alias("role"))
+    # of repeated message numbers the first turn counts
+    turns = messages.groupBy("tree", "message").agg(F.min(written).alias("written"))
+    branch = ["tree", "rank", "score", "leaf"]
+    down = Window.partitionBy(*branch).orderBy(F.desc("height"))
+    placed = (
+        steps.join(turns, ["tree", "message"])
+        .select(*branch, "height", "written.*")
+        .withColumn("end", F.sum(F.length("turn")).over(down))
     )
-    turns = steps.join(texts, ["tree", "message"])
-    whole = turns.groupBy("tree", "rank", "score", "leaf").agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("height")).alias("at"), "turn"))).alias("turns")
+    is_reply = F.col("role") == ASSISTANT
+    start = F.col("end") - F.length("turn") + len(OPEN[ASSISTANT])
+    span = F.struct(start.alias("start"), (F.col("end") - len(CLOSE)).alias("end"))
+    whole = placed.groupBy(*branch).agg(
+        F.sort_array(F.collect_list(F.struct((-F.col("height")).alias("at"), "turn"))).alias("turns"),
+        F.sort_array(F.collect_list(F.when(is_reply, span))).alias("mask"),
     )
-    # of repeated message numbers the first turn counts
-    formatted = F.array_join(F.transform(_first_of_each("turns"), lambda x: x["turn"]), "")
-    return whole.select("tree", "rank", "score", "leaf", formatted.alias("formatted"))
+    formatted = F.array_join(F.transform("turns", lambda x: x["turn"]), "")
+    return whole.select(*branch, formatted.alias("formatted"), "mask")
 
 
-def _first_of_each(turns: str) -> Column:
-    """Of sorted turns, the first at each place."""
-    return F.filter(turns, lambda x, i: (i == 0) | (F.get(turns, F.greatest(i - 1, F.lit(0)))["at"] != x["at"]))
+def _cut(formatted: pd.Series, mask: pd.Series) -> pd.Series:
+    pairs = zip(formatted, mask, strict=True)
+    return pd.Series(["".join(text[x["start"] : x["end"]] for x in spans) for text, spans in pairs], dtype=object)
+
+
+def under_mask(formatted: str, mask: str) -> Column:
+    """The code points of the spans, nothing between them."""
+    return F.pandas_udf(_cut, "string")(formatted, mask)
 
 
 def turns_as_messages(conversations: DataFrame) -> DataFrame:
@@ -218,12 +231,18 @@ def turns_as_messages(conversations: DataFrame) -> DataFrame:
 def digests(formatted: DataFrame) -> DataFrame:
     """What is read back from formatted conversations.
 
-    Columns: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
+    Columns: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_spans. The
+    turns are parsed from the control strings, the trained text is cut out by the mask.
     """
-    turns = formatted.select("tree", "formatted", read_turns(F.col("formatted")).alias("turns"))
+    turns = formatted.select(
+        "tree",
+        "formatted",
+        read_turns(F.col("formatted")).alias("turns"),
+        unescaped(under_mask("formatted", "mask")).alias("masked"),
+        F.size("mask").cast("long").alias("n_spans"),
+    )
     parts = F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n")))
-    replies = F.transform(F.filter("turns", lambda x: x["role"] == ASSISTANT), lambda x: x["text"])
-    masked = turns.select("*", F.array_join(parts, "").alias("whole"), F.array_join(replies, "").alias("masked"))
+    masked = turns.withColumn("whole", F.array_join(parts, ""))
     return masked.select(
         shown_id("tree").alias("conv_id"),
         F.size("turns").cast("long").alias("n_turns"),
@@ -231,4 +250,5 @@ def digests(formatted: DataFrame) -> DataFrame:
         F.length("masked").cast("long").alias("loss_chars"),
         F.sha2("masked", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "n_spans",
     )

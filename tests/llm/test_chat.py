@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from cartlens.llm import chat
 from cartlens.llm.queries import QUERIES
 from tests.llm import brute
@@ -109,6 +111,32 @@ def test_repeated_message_numbers_and_missing_keys(spark):
     found = chat.conversations_of(df, 5).collect()
     assert [(r["tree"], r["rank"], r["leaf"]) for r in found] == [(1, 1, 3)]
     assert found[0]["formatted"] == "[INST] root</s>[REPLY] a</s>[INST] end</s>"
+    assert [tuple(x) for x in found[0]["mask"]] == [(23, 24)]
+
+
+def test_mask_of_branching_trees(spark):
+    """Each chosen branch of random trees: what the spans cut out are its assistant texts."""
+    chance = random.Random(15)
+    parts = ["</s>", "[REPLY] ", "\\", "a", "é", "𝄞", "\n", ""]
+    rows, by_number = [], {}
+    for tree in range(12):
+        for message in range(chance.randrange(1, 25)):
+            parent = chance.randrange(message) if message else None
+            role = chance.choice(["user", "assistant", "assistant", "tool", None])
+            text = chance.choice([None, "".join(chance.choice(parts) for _ in range(6))])
+            rows.append((tree, message, parent, role, text, float(chance.randrange(5)), "x"))
+            by_number[tree, message] = (role or "", text or "")
+    df = spark.createDataFrame(rows, MESSAGES).repartition(4)
+    paths = {(r["tree"], r["leaf"]): r["path"] for r in chat.paths(df).collect()}
+    found = chat.conversations_of(df, 100).withColumn("turns", chat.read_turns(F.col("formatted"))).collect()
+    assert {(r["tree"], r["leaf"]) for r in found} == set(paths)
+    for r in found:
+        turns = [by_number[r["tree"], m] for m in paths[r["tree"], r["leaf"]]]
+        assert [tuple(x) for x in r["turns"]] == turns
+        cut = [r["formatted"][x["start"] : x["end"]] for x in r["mask"]]
+        for plain, written in chat.ESCAPES[::-1]:
+            cut = [x.replace(written, plain) for x in cut]
+        assert cut == [text for role, text in turns if role == "assistant"]
 
 
 def test_a_long_thread_takes_few_rows(spark):
