@@ -109,12 +109,13 @@ def fct_daily_engagement(
     stg_events: DataFrame, int_sessions: DataFrame, as_of: dt.datetime
 ) -> DataFrame:
     """One row per date with activity, rolling and period-over-period figures."""
-    sessions = daily_sessions(int_sessions).drop("sessions")
-    days = (
-        daily_events(stg_events)
-        .join(sessions, F.col("event_date") == F.col("session_date"), "left")
-        .drop("session_date")
-    )
+    return engagement_over_days(daily_events(stg_events), daily_sessions(int_sessions), as_of)
+
+
+def engagement_over_days(activity: DataFrame, sessions: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Daily engagement of ``daily_events`` and ``daily_sessions`` rows."""
+    begun = sessions.drop("sessions")
+    days = activity.join(begun, F.col("event_date") == F.col("session_date"), "left").drop("session_date")
     week = _last(7, _by_date())
     return (
         days.withColumns(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions.dates import seconds_crossed
@@ -22,6 +22,49 @@ ENGAGEMENT_WEIGHTS = {
 }
 
 
+# The event types that the score counts.
+ENGAGEMENT_TYPES = {
+    "page_views": "page_view",
+    "product_views": "product_view",
+    "searches": "search",
+    "add_to_cart_events": "add_to_cart",
+    "checkout_starts": "begin_checkout",
+    "purchases": "purchase",
+}
+
+
+def _engagement_score() -> Column:
+    return sum((F.col(c) * weight for c, weight in ENGAGEMENT_WEIGHTS.items()), F.lit(0.0))
+
+
+def session_days(stg_events: DataFrame) -> DataFrame:
+    """What a day adds to a session: one row per date, session and user, to be added up later."""
+    return stg_events.groupBy("event_date", "session_id", "user_id").agg(
+        F.min("event_timestamp").alias("session_start"),
+        F.max("event_timestamp").alias("session_end"),
+        F.count(F.lit(1)).alias("total_events"),
+        *[count_type(kind).alias(name) for name, kind in ENGAGEMENT_TYPES.items()],
+    )
+
+
+def sessions_of_days(days: DataFrame, max_hours: int = MAX_SESSION_HOURS) -> DataFrame:
+    """The sessions of ``session_days`` rows, with the columns of ``int_sessions`` that daily
+    engagement reads."""
+    sums = ["total_events", *ENGAGEMENT_TYPES]
+    return (
+        days.groupBy("session_id", "user_id")
+        .agg(
+            F.min("session_start").alias("session_start"),
+            F.max("session_end").alias("session_end"),
+            F.min("event_date").alias("session_date"),
+            *[F.sum(name).alias(name) for name in sums],
+        )
+        .withColumn("session_duration_seconds", seconds_crossed("session_start", "session_end"))
+        .filter(F.col("session_duration_seconds") <= max_hours * 3600)
+        .withColumns({"is_converted": F.col("purchases") > 0, "engagement_score": _engagement_score()})
+    )
+
+
 def int_sessions(stg_events: DataFrame, max_hours: int = MAX_SESSION_HOURS) -> DataFrame:
     """One row per session and user; sessions longer than ``max_hours`` are dropped.
 
@@ -77,7 +120,6 @@ def int_sessions(stg_events: DataFrame, max_hours: int = MAX_SESSION_HOURS) -> D
     bought, checkout, cart = (
         F.col(name) > 0 for name in ("purchases", "checkout_starts", "add_to_cart_events")
     )
-    score = sum((F.col(c) * weight for c, weight in ENGAGEMENT_WEIGHTS.items()), F.lit(0.0))
     return (
         grouped.withColumn(
             "session_duration_seconds", seconds_crossed("session_start", "session_end")
@@ -94,7 +136,7 @@ def int_sessions(stg_events: DataFrame, max_hours: int = MAX_SESSION_HOURS) -> D
                 "is_converted": bought,
                 "has_cart_activity": cart,
                 "started_checkout": checkout,
-                "engagement_score": score,
+                "engagement_score": _engagement_score(),
                 "session_quality": F.when(bought, "High Value")
                 .when(checkout, "High Intent")
                 .when(cart, "Engaged")

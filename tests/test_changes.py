@@ -85,7 +85,7 @@ def test_marts_follow_new_events(spark, tmp_path, make_events):
                 "event_id": f"EVT_{i:016X}",
                 "event_type": kind,
                 "user_id": f"U{user}",
-                "session_id": f"S{user}-{random.randrange(3)}",
+                "session_id": random.choice([f"S{user}-{random.randrange(9)}", None, f"S{user}"]),
                 "timestamp": str(dt.datetime(2024, 1, random.choice([1, 2, 3, 8, 20]), random.randrange(24))),
                 "category": random.choice(["A", "B", None]),
                 "product_id": "P",
@@ -101,11 +101,38 @@ def test_marts_follow_new_events(spark, tmp_path, make_events):
     for found, whole in (
         (incremental.funnel_mart(spark, store, AS_OF), facts.fct_funnel(intermediate.int_user_journey(staged), AS_OF)),
         (incremental.revenue_mart(spark, store, products, AS_OF), facts.fct_revenue(staged, products, AS_OF)),
+        (
+            incremental.engagement_mart(spark, store, AS_OF),
+            facts.fct_daily_engagement(staged, intermediate.int_sessions(staged), AS_OF),
+        ),
     ):
         columns = sorted(whole.columns)
         assert sorted(map(str, found.select(columns).collect())) == sorted(map(str, whole.select(columns).collect()))
 
 
+def test_late_events_move_join_and_end_sessions(spark, tmp_path, make_events):
+    """Over midnight, backwards over midnight, and beyond the longest session."""
+
+    def event(i, user, time):
+        return {"event_id": f"EVT_{i:016X}", "user_id": user, "session_id": f"S{user}", "timestamp": f"2024-01-{time}"}
+
+    first = [event(1, "a", "05 23:00:00"), event(2, "b", "06 01:00:00"), event(3, "c", "02 10:00:00"), event(4, "d", "01 10:00:00"), event(5, "d", "04 10:00:00")]
+    later = [event(6, "a", "06 00:30:00"), event(7, "b", "05 23:30:00"), event(8, "c", "09 10:00:00"), event(9, "d", "09 10:00:00")]
+    store, seen = str(tmp_path), []
+    for batch, part in (("a", first), ("b", later)):
+        seen += part
+        days = incremental.add_events(spark, store, make_events(*part), batch)
+        incremental.refresh(spark, store, days, AS_OF)
+        staged = staging.stg_events(make_events(*seen), AS_OF)
+        whole = facts.fct_daily_engagement(staged, intermediate.int_sessions(staged), AS_OF)
+        found = incremental.engagement_mart(spark, store, AS_OF).select(whole.columns)
+        assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+    rows = spark.read.parquet(f"{store}/session_days")
+    again = incremental.sessions_to_date_again(rows, days)
+    assert [x.day for x in again] == [2, 5, 6, 9]  # not the days of d, whose session was too long before
+    assert {r.session_date.day: r.sessions for r in spark.read.parquet(f"{store}/daily_sessions").collect()}[2] is None
+
+
 def test_only_new_days_are_computed(spark, tmp_path, make_events):
     store = str(tmp_path)
     first = make_events({"timestamp": "2024-01-01 10:00:00"}, {"timestamp": "2024-01-02 10:00:00"})

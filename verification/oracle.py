@@ -1150,6 +1150,7 @@ SELECT h.segment, h.city, h.version::INTEGER AS version, count(*) AS purchases,
 FROM se LEFT JOIN history h ON h.user_id = se.user_id AND event_timestamp >= valid_from
   AND (valid_to IS NULL OR event_timestamp < valid_to)
 WHERE is_revenue_event GROUP BY h.segment, h.city, h.version""")
+ORACLE["incremental_engagement"] = ORACLE["fct_daily_engagement"]
 ORACLE["incremental_funnel"] = ORACLE["fct_funnel"]
 ORACLE["incremental_revenue"] = ORACLE["fct_revenue"]
 ORACLE["trailing_active_users"] = _chain("""

@@ -510,6 +510,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "user_history": _history,
     "revenue_by_segment_at_purchase": _segments_at_purchase,
     "incremental_funnel": lambda t: incremental.funnel_mart(t.spark, _incremental(t), AS_OF).drop("_updated_at"),
+    "incremental_engagement": lambda t: incremental.engagement_mart(t.spark, _incremental(t), AS_OF).drop("_updated_at"),
     "incremental_revenue": lambda t: _incremental_revenue(t).drop("_updated_at"),
     "validate_products": lambda t: validation.validate_products(
         testbed.damaged_products(t.spark, t.folder)
