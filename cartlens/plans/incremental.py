@@ -19,7 +19,7 @@ name, and replacing a day again gives the same rows.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,17 +69,23 @@ def _replace_days(df: DataFrame, path: str, column: str) -> None:
     )
 
 
-def refresh(spark: SparkSession, store: str, days: list[dt.date], as_of: dt.datetime) -> None:
-    """Compute these days of all bases again from the events of the store."""
+def refresh(
+    spark: SparkSession, store: str, days: list[dt.date], as_of: dt.datetime, bases: Collection[str] = tuple(BASES)
+) -> None:
+    """Compute these days of the bases again from the events of the store.
+
+    A store that keeps only some marts names their bases, the same ones each time.
+    """
     if not days:
         return
     events = spark.read.parquet(f"{store}/events")
     # literals, so that the folders of other days are not listed for reading
     touched = events.filter(F.col("event_date").isin(days)).drop("event_date", "batch")
     staged = staging.stg_events(touched, as_of)
-    for name, build in BASES.items():
-        _replace_days(build(staged), f"{store}/{name}", "event_date")
-    _refresh_sessions(spark, store, days)
+    for name in bases:
+        _replace_days(BASES[name](staged), f"{store}/{name}", "event_date")
+    if "session_days" in bases:
+        _refresh_sessions(spark, store, days)
 
 
 def _of_sessions(rows: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -418,7 +418,7 @@ def _segments_at_purchase(t: Tables) -> DataFrame:
     )
 
 
-def _incremental(t: Tables) -> str:
+def _incremental(t: Tables, *bases: str) -> str:
     """A store filled by three batches, of which the later ones hold events of earlier days too."""
     store = _batch_folder(t)
     number = F.pmod(F.xxhash64("event_id"), F.lit(10))
@@ -426,15 +426,24 @@ def _incremental(t: Tables) -> str:
     batches = [~late & (number < 8), late & (number < 9), (~late & (number >= 8)) | (late & (number >= 9))]
     for i, part in enumerate(batches):
         days = incremental.add_events(t.spark, store, t.events.filter(part), f"b{i}")
-        incremental.refresh(t.spark, store, days, AS_OF)
+        incremental.refresh(t.spark, store, days, AS_OF, bases)
     # a batch that is repeated changes nothing
     days = incremental.add_events(t.spark, store, t.events.filter(batches[1]), "b1")
-    incremental.refresh(t.spark, store, days, AS_OF)
+    incremental.refresh(t.spark, store, days, AS_OF, bases)
     return store
 
 
 def _incremental_revenue(t: Tables) -> DataFrame:
-    return incremental.revenue_mart(t.spark, _incremental(t), t.stg_products, AS_OF)
+    store = _incremental(t, "daily_category_revenue")
+    return incremental.revenue_mart(t.spark, store, t.stg_products, AS_OF)
+
+
+def _incremental_engagement(t: Tables) -> DataFrame:
+    return incremental.engagement_mart(t.spark, _incremental(t, "daily_activity", "session_days"), AS_OF)
+
+
+def _incremental_funnel(t: Tables) -> DataFrame:
+    return incremental.funnel_mart(t.spark, _incremental(t, "daily_funnel"), AS_OF)
 
 
 def _moments(t: Tables) -> DataFrame:
@@ -509,8 +518,8 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "streamed_sessions": _streamed_sessions,
     "user_history": _history,
     "revenue_by_segment_at_purchase": _segments_at_purchase,
-    "incremental_funnel": lambda t: incremental.funnel_mart(t.spark, _incremental(t), AS_OF).drop("_updated_at"),
-    "incremental_engagement": lambda t: incremental.engagement_mart(t.spark, _incremental(t), AS_OF).drop("_updated_at"),
+    "incremental_funnel": lambda t: _incremental_funnel(t).drop("_updated_at"),
+    "incremental_engagement": lambda t: _incremental_engagement(t).drop("_updated_at"),
     "incremental_revenue": lambda t: _incremental_revenue(t).drop("_updated_at"),
     "validate_products": lambda t: validation.validate_products(
         testbed.damaged_products(t.spark, t.folder)
