@@ -20,15 +20,17 @@ TIMEOUT = 1800
 
 
 def event_stream(
-    spark: SparkSession, folder: str, schema: T.StructType = EVENTS, files_per_batch: int = 1000
+    spark: SparkSession, folder: str, schema: T.StructType = EVENTS, files_per_batch: int | None = 1000
 ) -> DataFrame:
-    """The files ``events_*.parquet`` of a folder, oldest first."""
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(f"{folder}/events_*.parquet")
-    )
+    """The files ``events_*.parquet`` of a folder, oldest first.
+
+    The watermark moves between batches, so files of the same time belong in one; with None all that
+    a run finds are one batch.
+    """
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(f"{folder}/events_*.parquet")
 
 
 def deduplicated(events: DataFrame, lateness: str = LATENESS) -> DataFrame:

@@ -15,6 +15,7 @@ from cartlens.operators.validation import validate_events
 from cartlens.plans import facts, incremental, intermediate, staging
 from cartlens.sources.testbed import AS_OF
 from cartlens.streaming import sessions as stream
+from verification import queries
 
 DAY = dt.timedelta(days=1)
 START = dt.date(2024, 1, 1)
@@ -173,6 +174,33 @@ def test_streams_go_on_where_they_stopped(spark, tmp_path, make_events):
     assert sorted(map(tuple, found.select(names).collect())) == sorted(map(tuple, batch.select(names).collect()))
 
 
+def test_a_week_arrives_from_several_tasks(spark, tmp_path, monkeypatch):
+    def event(i, time, user=7, kind="click"):
+        return i, dt.datetime.fromisoformat(f"2024-01-{time}"), user, kind, 1.0, '{"k": 1}'
+
+    first = [event(1, "07 23:40:00", kind="purchase"), event(2, "01 09:00:00"), event(3, "01 09:20:00"), event(4, "05 10:00:00", 8)]
+    later = [event(5, "08 00:05:00"), event(6, "14 12:00:00", 8), event(7, "14 12:30:00", 8), event(8, "20 08:00:00"), event(9, "29 08:00:00")]
+    # a file per row, in no order of time
+    for row in first + later:
+        events = spark.createDataFrame([row], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+        events.coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    parts = spark.range(20).selectExpr("id AS p_partkey", "'a kind' AS p_type")
+    parts.write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(queries, "_batch_folder", lambda t: f"{tmp_path}/batch")
+    found = queries.QUERIES["streamed_sessions"](spark, str(tmp_path)).collect()
+    # the session over the end of the week is whole, the last event may still be followed
+    assert sorted((r.user_id[-1], r.session_start[8:16], r.session_end[8:16], r.event_count) for r in found) == [
+        ("7", "01 09:00", "01 09:20", 2),
+        ("7", "07 23:40", "08 00:05", 2),
+        ("7", "20 08:00", "20 08:00", 1),
+        ("8", "05 10:00", "05 10:00", 1),
+        ("8", "14 12:00", "14 12:00", 1),
+        ("8", "14 12:30", "14 12:30", 1),
+    ]
+    # no task writes a whole week
+    assert len(list(tmp_path.glob("batch/in/events_0.parquet/part-*"))) > 1
+
+
 def test_iso_texts_without_separators(spark):
     texts = ["20240102", "20240102T030405", "20240102 030405", "2024-01-02T03:04:05.5", "20240102T030405Z", "2024010", "20240102x"]
     df = spark.createDataFrame([(f"EVT_{i:016X}", t) for i, t in enumerate(texts)], "event_id string, timestamp string")

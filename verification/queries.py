@@ -375,24 +375,29 @@ def _file_samples(t: Tables) -> DataFrame:
 WEEKS = [MID_MONTH - dt.timedelta(days=7), MID_MONTH, MID_MONTH + dt.timedelta(days=7)]
 
 
-def _arriving(t: Tables) -> str:
-    """Four event files, a week each; the purchases of all but the last come twice."""
-    folder = _batch_folder(t)
-    at = F.col("timestamp")
-    for number, (start, end) in enumerate(zip([None, *WEEKS], [*WEEKS, None], strict=True)):
+def _weeks(t: Tables) -> list[DataFrame]:
+    """The events in four parts, a week each; the purchases of all but the last come twice."""
+    at, parts = F.col("timestamp"), []
+    for start, end in zip([None, *WEEKS], [*WEEKS, None], strict=True):
         part = t.events
         part = part if start is None else part.filter(at >= F.lit(start))
         part = part if end is None else testbed.with_copies(part.filter(at < F.lit(end)))
-        # one file, so that files keep the order of time
-        part.coalesce(1).write.mode("overwrite").parquet(f"{folder}/in/events_{number}.parquet")
-    return folder
+        parts.append(part)
+    return parts
 
 
 def _streamed_sessions(t: Tables) -> DataFrame:
-    folder = _arriving(t)
-    events = stream.event_stream(t.spark, f"{folder}/in", t.events.schema, files_per_batch=1)
-    closed = stream.closed_sessions(stream.deduplicated(events))
-    return stream.run_available(closed, f"{folder}/sessions", f"{folder}/state")
+    """Sessions from weeks that arrive one by one, each read by a run of its own.
+
+    The files of a week are in no order of time, so a run takes all of them as one batch.
+    """
+    folder = _batch_folder(t)
+    for number, week in enumerate(_weeks(t)):
+        week.write.parquet(f"{folder}/in/events_{number}.parquet")
+        events = stream.event_stream(t.spark, f"{folder}/in", t.events.schema, files_per_batch=None)
+        closed = stream.closed_sessions(stream.deduplicated(events))
+        sessions = stream.run_available(closed, f"{folder}/sessions", f"{folder}/state")
+    return sessions
 
 
 def _history(t: Tables) -> DataFrame:
