@@ -20,6 +20,7 @@ from cartlens.sources.runs import Run
 from cartlens.sources import tables, testbed
 from cartlens.sources.testbed import AS_OF, raw_events, raw_products, raw_users
 from tests.conftest import rows
+from verification import queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -322,6 +323,31 @@ def test_rows_are_numbered_over_all_files(spark, tmp_path, make_events):
     assert found[1]["data"].startswith('{"event_id":"EVT_0000000000000003","event_type":') and len(found[1]["data"]) == 200
 
 
+def test_sorted_files_come_from_several_tasks(spark, tmp_path, monkeypatch):
+    # two days before and after the middle of the month in turn, ids in another order than times
+    rows_ = [(i * 37 % 1024, dt.datetime(2024, 1, 13 + i % 4, i % 24), i % 9, "click", 1.0, '{"k": 3}') for i in range(1024)]
+    events = spark.createDataFrame(rows_, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(20).selectExpr("id AS p_partkey", "'a kind' AS p_type").write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(queries, "_batch_folder", lambda t: f"{tmp_path}/batch")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as with more rows
+    try:
+        found = queries.QUERIES["validate_files_samples"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    damaged = testbed.damaged_events(spark, str(tmp_path))
+    broken = {r["raw"].event_id: r["errors"] for r in validate_events(damaged).invalid.collect()}
+    ordered = sorted((r.timestamp >= testbed.MID_MONTH, r.event_id) for r in damaged.collect())
+    expected: dict[str, list[int]] = {}
+    for number, (_, event_id) in enumerate(ordered):
+        for rule in broken.get(event_id, []):
+            expected.setdefault(rule, []).append(number)
+    places = [(rule, i + 1, number) for rule, numbers in expected.items() for i, number in enumerate(numbers[:5])]
+    assert sorted((r["rule"], r["position"], r["row"]) for r in found) == sorted(places)
+    # no task sorts and writes a whole half
+    assert all(len(list(tmp_path.glob(f"batch/events_{i}.parquet/part-*"))) > 1 for i in range(2))
+
+
 def test_files_with_nanoseconds(spark, tmp_path, make_events):
     folder = tmp_path / "in"
     tables.write_file(make_events({"timestamp": "2024-01-03 00:00:01"}), str(folder), "events_1")

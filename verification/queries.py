@@ -361,11 +361,12 @@ def _samples(t: Tables) -> DataFrame:
 
 
 def _file_samples(t: Tables) -> DataFrame:
-    """The first broken rows of two event files: their number over both, message and text."""
+    """The first broken rows of two sorted event tables: their number over both, message and text."""
     folder = _batch_folder(t)
     late = F.col("timestamp") >= F.lit(MID_MONTH)
     for number, part in enumerate((~late, late)):
-        rows = t.damaged.filter(part).coalesce(1).sortWithinPartitions("event_id")
+        # a file per range of ids, named in their order; the other columns part rows of one id
+        rows = t.damaged.filter(part).orderBy("event_id", "timestamp", "user_id")
         rows.write.parquet(f"{folder}/events_{number}.parquet")
     events = read_event_files(t.spark, folder, places=True)
     found = validation.validate_events(events).first_errors([FILE, ROW_IN_FILE])
